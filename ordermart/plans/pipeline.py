@@ -1,0 +1,59 @@
+"""The whole refresh: stage the cleaned tables, publish star schema, aggregates and marts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ordermart.operators.aggregates import AGGREGATES
+from ordermart.operators.clean import CleanTables, clean_tables
+from ordermart.operators.fanout import KEY, LINE_TABLES
+from ordermart.operators.marts import MARTS
+from ordermart.operators.star import build_dimension, build_fact
+from ordermart.schemas import DIMENSIONS
+from ordermart.sources.catalog import create_database, publish, read_table
+
+STAGED = ["orders", *LINE_TABLES]
+STAGE = "stage_{}"
+
+
+def stage(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int) -> CleanTables:
+    """Write the cleaned tables once, bucketed by order, and return them as table scans.
+
+    They have the size of the sources, not of the multiplied wide table, and all later joins on the
+    order find their rows already in place.
+    """
+    tables = clean_tables(sources)
+    for name in STAGED:
+        publish(getattr(tables, name), database, STAGE.format(name), bucket_by=(buckets, KEY))
+    return staged(spark, database)
+
+
+def staged(spark: SparkSession, database: str) -> CleanTables:
+    return CleanTables(**{name: read_table(spark, database, STAGE.format(name)) for name in STAGED})
+
+
+def publish_star(spark: SparkSession, tables: CleanTables, database: str, mode: str = "overwrite") -> None:
+    """Dimensions first; the fact table then looks its keys up in the published ones."""
+    for name in DIMENSIONS:
+        publish(build_dimension(tables, name), database, name, mode)
+    dimensions = {name: read_table(spark, database, name) for name in DIMENSIONS}
+    publish(build_fact(tables, dimensions), database, "fact_orders", mode)
+
+
+def publish_aggregates(tables: CleanTables, database: str) -> None:
+    for name, build in AGGREGATES.items():
+        publish(build(tables), database, name)
+
+
+def publish_marts(tables: CleanTables, database: str) -> None:
+    for name, build in MARTS.items():
+        publish(build(tables), database, name)
+
+
+def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int = 256) -> CleanTables:
+    create_database(spark, database)
+    tables = stage(spark, sources, database, buckets)
+    publish_star(spark, tables, database)
+    publish_aggregates(tables, database)
+    publish_marts(tables, database)
+    return tables

@@ -1,0 +1 @@
+"""Empty on purpose: the workload is batch only, every refresh is a full rebuild."""
