@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, fan_out, hot_orders
+from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, fan_out, hot_orders, line_counts
 from ordermart.operators.merge import item_rows, order_rows
 from ordermart.operators.statistics import merged_statistics, wide_statistics
 from ordermart.schemas import (
@@ -98,17 +98,25 @@ class CleanTables:
     reviews: DataFrame
     items: DataFrame
     rows_per_slice: int = ROWS_PER_SLICE
-    # Cheaper frames to count the lines of an order with; they may hold more rows, never fewer.
+    # Cheaper frames to count lines with, which may hold more of them; by default the tables above.
     raw: dict[str, DataFrame] = field(default_factory=dict)
+    counts: DataFrame | None = None
     _hot: dict[tuple[str, ...], DataFrame | None] = field(default_factory=dict)
 
     def hot(self, *names: str) -> DataFrame | None:
         """Orders too large for one task when these line tables meet; looked for once."""
         if names not in self._hot:
-            lines = {n: self.raw.get(n, getattr(self, n)) for n in names}
-            self._hot[names] = hot_orders(lines, self.rows_per_slice)
+            self._hot[names] = self._find_hot(names)
         return self._hot[names]
 
+    def _find_hot(self, names: tuple[str, ...]) -> DataFrame | None:
+        if self.counts is None:
+            lines = {t: self.raw.get(t, getattr(self, t)) for t in LINE_TABLES}
+            if len(names) == 1 and lines[names[0]].count() <= self.rows_per_slice:
+                return None
+            self.counts = line_counts(lines)
+        return hot_orders(self.counts, list(names), self.rows_per_slice)
+
 
 def clean_tables(
     sources: dict[str, DataFrame], columns: list[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE
@@ -121,7 +129,8 @@ def clean_tables(
     value somewhere; with all columns asked for, an empty one drops every row, as it should.
     """
     wanted = [c for c in STATISTIC_COLUMNS if columns is None or c in columns]
-    numbers = merged_statistics(sources, wanted, rows_per_slice)
+    counts = line_counts(sources) if wanted else None
+    numbers = merged_statistics(sources, wanted, counts, rows_per_slice)
 
     def cleaned(df: DataFrame, allow: tuple[str, ...] = ()) -> DataFrame:
         df = df.drop(*[c for c in STATISTIC_COLUMNS if c not in wanted])
@@ -139,6 +148,7 @@ def clean_tables(
         items=cleaned(item_rows(sources)),
         rows_per_slice=rows_per_slice,
         raw={t: sources[t] for t in LINE_TABLES},
+        counts=counts,
     )
 
 

@@ -21,30 +21,30 @@ KEY = "order_id"
 LINE_TABLES = ["payments", "reviews", "items"]
 
 
-def order_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each line table per order, in one aggregation that reads only the key column."""
+def line_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each line table per order, written once: one aggregation that reads only the keys."""
+    names = [t for t in LINE_TABLES if t in tables]
     parts = [
-        df.select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in tables])
-        for name, df in tables.items()
+        tables[name].select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in names])
+        for name in names
     ]
-    return reduce(DataFrame.unionAll, parts).groupBy(KEY).agg(*[F.sum(f"n_{t}").alias(f"n_{t}") for t in tables])
+    counts = reduce(DataFrame.unionAll, parts).groupBy(KEY).agg(*[F.sum(f"n_{t}").alias(f"n_{t}") for t in names])
+    return materialise(counts.filter(F.col(KEY).isNotNull()))
 
 
-def hot_orders(tables: dict[str, DataFrame], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame | None:
+def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame | None:
     """Orders whose joined rows exceed one slice: (order_id, slices, spread); None without any.
 
-    Runs a job. Every row stands for more than ``rows_per_slice`` joined rows, so the frame has at
-    most (joined rows / rows_per_slice) rows, which is what makes broadcasting it safe.
+    Every row stands for more than ``rows_per_slice`` joined rows, so the frame has at most
+    (joined rows / rows_per_slice) rows, which is what makes broadcasting it safe.
     """
-    if len(tables) == 1 and next(iter(tables.values())).count() <= rows_per_slice:
-        return None
-    sizes = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in tables]
+    sizes = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in names]
     joined = reduce(Column.__mul__, [s.cast("double") for s in sizes])
     largest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    spread = F.coalesce(*[F.when(s == largest, F.lit(t)) for s, t in zip(sizes, tables)])
+    spread = F.coalesce(*[F.when(s == largest, F.lit(t)) for s, t in zip(sizes, names)])
     slices = F.least(F.ceil(joined / rows_per_slice), largest)
-    hot = order_counts(tables).filter(F.col(KEY).isNotNull() & (joined > rows_per_slice))
-    hot = materialise(hot.select(KEY, slices.cast("int").alias("_slices"), spread.alias("_spread")))
+    hot = counts.filter(joined > rows_per_slice)
+    hot = hot.select(KEY, slices.cast("int").alias("_slices"), spread.alias("_spread"))
     return None if hot.isEmpty() else hot
 
 
@@ -83,7 +83,7 @@ def fan_out(center: DataFrame, tables: dict[str, DataFrame], hot: DataFrame | No
 
 
 def join_order_rows(lines: DataFrame, orders: DataFrame, table: str, hot: DataFrame | None) -> DataFrame:
-    """Inner join of one line table with per-order rows; ``hot`` comes from that table alone."""
+    """Inner join of one line table with per-order rows; ``hot`` is found for that table alone."""
     if hot is None:
         return lines.join(orders, KEY)
     left = slice_rows(lines, hot, table).drop("_slices", "_spread")

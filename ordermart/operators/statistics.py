@@ -1,22 +1,39 @@
-"""Exact means and medians of columns, from counted values.
+"""Exact means and medians of columns, as plain numbers.
 
-All functions here run jobs and return plain numbers, one per column. The values are counted on the
-cluster and written once to the shared folder; everything after that reads only distinct values.
+A median takes one pass that counts rows per histogram bin and, for a column with many different
+values, a second pass over the rows of its middle bin alone. Only bins and the values of one bin are
+shuffled or sorted, never a whole column.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.functions.casts import weighted
-from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, hot_orders, join_order_rows, order_counts
+from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, hot_orders, join_order_rows, line_counts
 from ordermart.schemas import MEAN_COLUMNS, MEDIAN_COLUMNS, SOURCE_COLUMNS
-from ordermart.session import materialise
 
-BINS = 16384
+# Bins are even on a logarithmic scale, about 0.1 % wide: all doubles fall into 1.5 million of them,
+# and an outlier does not push the other values into the same bin.
+BINS_PER_UNIT = 1024
+
+# Middle bins per column; None stands for all values.
+Bins = dict[str, list[int]] | None
+
+
+def bin_number(value: Column) -> Column:
+    return F.floor(F.signum(value) * F.log1p(F.abs(value) * 1000) * BINS_PER_UNIT).cast("int")
+
+
+def keep_bins(df: DataFrame, bins: Bins, columns: list[str]) -> DataFrame:
+    """Rows with a value in the bins of any column."""
+    if bins is None:
+        return df
+    return df.filter(reduce(Column.__or__, [bin_number(F.col(c)).isin(bins[c]) for c in columns]))
 
 
 def long_values(df: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
@@ -28,99 +45,125 @@ def long_values(df: DataFrame, columns: list[str], weight: str | None = None) ->
     return rows.unpivot(["weight"], columns, "name", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def medians(values: DataFrame) -> DataFrame:
-    """Interpolating median of counted values: (name, value, n) to (name, result).
+def medians(columns: list[str], values: Callable[[list[str], Bins], DataFrame]) -> dict[str, float]:
+    """Interpolating medians; ``values(columns, bins)`` gives the long values to count.
 
-    A coarse histogram, at most ``BINS`` rows per name, shows which bin holds the middle; only the
-    values of that bin are then sorted. Bins are even on a logarithmic scale, so one outlier does
-    not push all other values into the same bin.
+    The driver receives two rows per column at most. A column without any value is absent.
     """
-    values = values.withColumn("size", F.signum("value") * F.log1p(F.abs("value") * 1000))
-    span = values.groupBy("name").agg(
-        F.min("size").alias("low"), F.max("size").alias("high"), F.sum("n").alias("total")
-    )
-    share = F.try_divide(F.col("size") - F.col("low"), F.col("high") - F.col("low"))
-    bin_number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(BINS - 1)).cast("int")
-    # One row per name: bounded by the number of columns asked for.
-    binned = values.join(F.broadcast(span), "name").select("name", "value", "n", "total", bin_number.alias("bin"))
-
-    by_bin = Window.partitionBy("name").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    if not columns:
+        return {}
+    name = Window.partitionBy("name")
+    upto = F.sum("n").over(name.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     middle = (
-        binned.groupBy("name", "bin", "total")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(by_bin))
+        values(columns, None)
+        .groupBy("name", bin_number(F.col("value")).alias("bin"))
+        .agg(F.sum("weight").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumns({"upto": upto, "total": F.sum("n").over(name)})
         .withColumn("first", F.floor((F.col("total") - 1) / 2) + 1)
         .withColumn("last", F.floor(F.col("total") / 2) + 1)
         .filter((F.col("upto") >= F.col("first")) & (F.col("upto") - F.col("n") < F.col("last")))
-        .select("name", "bin", "first", "last", (F.col("upto") - F.col("n")).alias("before"))
+        .withColumn("before", F.col("upto") - F.col("n"))
+        .select("name", "bin", "before", "first", "last", "low", "high")
+        .orderBy("name", "bin")
+        .collect()
     )
-    by_value = Window.partitionBy("name", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    # At most two bins per name.
-    return (
-        binned.join(F.broadcast(middle), ["name", "bin"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(by_value))
-        .filter((F.col("upto") >= F.col("first")) & (F.col("upto") - F.col("n") < F.col("last")))
+    by_name = {c: [row for row in middle if row["name"] == c] for c in columns}
+    found, bins = {}, {}
+    for c, rows in by_name.items():
+        if rows and all(row["low"] == row["high"] for row in rows):
+            found[c] = rows[0]["low"] * 0.5 + rows[-1]["low"] * 0.5
+        elif rows:
+            bins[c] = [row["bin"] for row in rows]
+    if not bins:
+        return found
+
+    # Ranks within the kept bins, which follow each other: subtract the rows before the first one.
+    ranks = {c: [by_name[c][0][r] - by_name[c][0]["before"] for r in ("first", "last")] for c in bins}
+    rank = [reduce(lambda other, c: F.when(F.col("name") == c, ranks[c][i]).otherwise(other), bins, F.lit(0)) for i in (0, 1)]
+    chosen = reduce(Column.__or__, [(F.col("name") == c) & bin_number(F.col("value")).isin(b) for c, b in bins.items()])
+    by_value = name.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    rows = (
+        values(list(bins), bins)
+        .filter(chosen)
+        .groupBy("name", "value")
+        .agg(F.sum("weight").alias("n"))
+        .withColumn("upto", F.sum("n").over(by_value))
+        .filter((F.col("upto") >= rank[0]) & (F.col("upto") - F.col("n") < rank[1]))
         .groupBy("name")
-        .agg((F.min("value") * 0.5 + F.max("value") * 0.5).alias("result"))
+        .agg((F.min("value") * 0.5 + F.max("value") * 0.5).alias("median"))
+        .collect()
     )
+    return found | {row["name"]: row["median"] for row in rows}
 
 
-def means(values: DataFrame) -> DataFrame:
+def mean(rows: DataFrame, c: str, weight: str | None = None) -> dict[str, float]:
+    """Mean of one column, added up in decimals; absent without any value."""
+    value = F.col(c).cast("double")
+    weight_of = F.col(weight) if weight else F.lit(1)
+    present = rows.filter(value.isNotNull() & ~F.isnan(value)).select(value.alias("value"), weight_of.alias("weight"))
+    counted = present.groupBy("value").agg(F.sum("weight").alias("n"))
     total = F.sum(weighted(F.col("value"), F.col("n"))).cast("double")
-    return values.groupBy("name").agg((total / F.sum("n")).alias("result"))
-
-
-def _numbers(long: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Result per column; a column without any value is absent."""
-    values = materialise(long.groupBy("name", "value").agg(F.sum("weight").alias("n")))
-    parts = []
-    if any(c in MEDIAN_COLUMNS for c in columns):
-        parts.append(medians(values.filter(F.col("name").isin(MEDIAN_COLUMNS))))
-    if any(c in MEAN_COLUMNS for c in columns):
-        parts.append(means(values.filter(F.col("name").isin(MEAN_COLUMNS))))
-    # One row per column asked for.
-    return {row["name"]: row["result"] for row in reduce(DataFrame.unionAll, parts).collect()}
+    found = counted.agg((total / F.sum("n")).alias("mean")).first()["mean"]
+    return {} if found is None else {c: found}
 
 
 def wide_statistics(df: DataFrame, columns: list[str], approx: bool = False) -> dict[str, float]:
     """Mean or median of each column over the rows of ``df``."""
-    if not columns:
-        return {}
-    if not approx:
-        return _numbers(long_values(df, columns), columns)
-    pick = lambda c: F.avg(c) if c in MEAN_COLUMNS else F.percentile_approx(c, 0.5, 100_000)
-    row = df.agg(*[pick(c).cast("double").alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns if row[c] is not None}
+    of_means = [c for c in columns if c in MEAN_COLUMNS]
+    of_medians = [c for c in columns if c in MEDIAN_COLUMNS]
+    if approx and of_medians:
+        row = df.agg(*[F.percentile_approx(c, 0.5, 100_000).cast("double").alias(c) for c in of_medians]).first()
+        numbers = {c: row[c] for c in of_medians if row[c] is not None}
+    else:
+        numbers = medians(of_medians, lambda cs, bins: long_values(keep_bins(df, bins, cs), cs))
+    for c in of_means:
+        numbers |= mean(df, c)
+    return numbers
 
 
 def merged_statistics(
-    sources: dict[str, DataFrame], columns: list[str], rows_per_slice: int = ROWS_PER_SLICE
+    sources: dict[str, DataFrame],
+    columns: list[str],
+    counts: DataFrame | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> dict[str, float]:
     """The same numbers over the merged table, without building it.
 
     A payment appears in the merged table once per review and item of its order, and likewise for
     reviews and items. So each value is taken once from its own table with that count as weight.
+    ``counts`` are the ``line_counts`` of the sources, if known already.
     """
     if not columns:
         return {}
-    of = {t: [c for c in columns if c in SOURCE_COLUMNS[t]] for t in [*LINE_TABLES, "products"]}
-    long = []
-    for table in LINE_TABLES:
-        products = of["products"] if table == "items" else []
-        if not of[table] and not products:
-            continue
-        others = [t for t in LINE_TABLES if t != table]
-        counts = order_counts({t: sources[t] for t in others})
-        sizes = [F.greatest(F.coalesce(F.col(f"n_{t}"), F.lit(1)), F.lit(1)) for t in others]
-        orders = sources["orders"].select(KEY).join(counts, KEY, "left")
-        orders = orders.select(KEY, (sizes[0] * sizes[1]).alias("weight"))
-        lines = sources[table].select(KEY, *of[table], *(["product_id"] if products else []))
-        hot = hot_orders({table: sources[table]}, rows_per_slice)
-        rows = join_order_rows(lines, orders, table, hot)
-        if of[table]:
-            long.append(long_values(rows, of[table], "weight"))
-        if products:
+    counts = line_counts(sources) if counts is None else counts
+    orders = sources["orders"].select(KEY).join(counts, KEY, "left")
+    used = [t for t in LINE_TABLES if any(c in SOURCE_COLUMNS[t] for c in columns)]
+    if any(c in SOURCE_COLUMNS["products"] for c in columns) and "items" not in used:
+        used.append("items")
+    hot = {t: hot_orders(counts, [t], rows_per_slice) for t in used}
+
+    def weigh(table: str, lines: DataFrame) -> DataFrame:
+        a, b = [F.greatest(F.coalesce(F.col(f"n_{t}"), F.lit(1)), F.lit(1)) for t in LINE_TABLES if t != table]
+        return join_order_rows(lines, orders.select(KEY, (a * b).alias("weight")), table, hot[table])
+
+    def values(names: list[str], bins: Bins) -> DataFrame:
+        parts = []
+        for table in ("payments", "items"):
+            of_table = [c for c in names if c in SOURCE_COLUMNS[table]]
+            if of_table:
+                lines = keep_bins(sources[table].select(KEY, *of_table), bins, of_table)
+                parts.append(long_values(weigh(table, lines), of_table, "weight"))
+        of_products = [c for c in names if c in SOURCE_COLUMNS["products"]]
+        if of_products:
             # Weights add up per product first, so the join with products is small and even.
+            rows = weigh("items", sources["items"].select(KEY, "product_id"))
             per_product = rows.groupBy("product_id").agg(F.sum("weight").alias("weight"))
-            long.append(long_values(per_product.join(sources["products"], "product_id"), products, "weight"))
-    return _numbers(reduce(DataFrame.unionAll, long), columns)
+            products = keep_bins(sources["products"], bins, of_products)
+            parts.append(long_values(per_product.join(products, "product_id"), of_products, "weight"))
+        return reduce(DataFrame.unionAll, parts)
+
+    numbers = medians([c for c in columns if c in MEDIAN_COLUMNS], values)
+    for c in columns:
+        if c in MEAN_COLUMNS:
+            numbers |= mean(weigh("reviews", sources["reviews"].select(KEY, c)), c, "weight")
+    return numbers

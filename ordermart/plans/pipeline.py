@@ -10,50 +10,63 @@ from ordermart.operators.fanout import KEY, LINE_TABLES
 from ordermart.operators.marts import MARTS
 from ordermart.operators.star import build_dimension, build_fact
 from ordermart.schemas import DIMENSIONS
+from ordermart.session import at_once
 from ordermart.sources.catalog import create_database, publish, read_table
 
 STAGED = ["orders", *LINE_TABLES]
-STAGE = "stage_{}"
 
 
-def stage(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int) -> CleanTables:
-    """Write the cleaned tables once, bucketed by order, and return them as table scans.
+def stage(
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    database: str,
+    columns: list[str] | None = None,
+    prefix: str = "stage",
+) -> CleanTables:
+    """Write the cleaned tables once and return them as table scans.
 
-    They have the size of the sources, not of the multiplied wide table, and all later joins on the
-    order find their rows already in place.
+    They have the size of the sources, not of the multiplied wide table. They are bucketed by order,
+    so all later joins on the order find their rows in place; a table with an order too large for
+    one task is written as it comes instead.
     """
-    tables = clean_tables(sources)
-    for name in STAGED:
-        publish(getattr(tables, name), database, STAGE.format(name), bucket_by=(buckets, KEY))
-    return staged(spark, database)
+    tables = clean_tables(sources, columns)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def write(name: str) -> None:
+        hot = name in LINE_TABLES and tables.hot(name) is not None
+        publish(getattr(tables, name), database, f"{prefix}_{name}", bucket_by=None if hot else (buckets, KEY))
 
-def staged(spark: SparkSession, database: str) -> CleanTables:
-    return CleanTables(**{name: read_table(spark, database, STAGE.format(name)) for name in STAGED})
+    at_once(spark, {name: lambda name=name: write(name) for name in STAGED})
+    return staged(spark, database, prefix)
+
+
+def staged(spark: SparkSession, database: str, prefix: str = "stage") -> CleanTables:
+    return CleanTables(**{name: read_table(spark, database, f"{prefix}_{name}") for name in STAGED})
+
+
+def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str, mode: str = "overwrite") -> None:
+    at_once(spark, {n: lambda n=n, df=df: publish(df, database, n, mode) for n, df in tables.items()})
 
 
 def publish_star(spark: SparkSession, tables: CleanTables, database: str, mode: str = "overwrite") -> None:
     """Dimensions first; the fact table then looks its keys up in the published ones."""
-    for name in DIMENSIONS:
-        publish(build_dimension(tables, name), database, name, mode)
+    publish_all(spark, {name: build_dimension(tables, name) for name in DIMENSIONS}, database, mode)
     dimensions = {name: read_table(spark, database, name) for name in DIMENSIONS}
     publish(build_fact(tables, dimensions), database, "fact_orders", mode)
 
 
-def publish_aggregates(tables: CleanTables, database: str) -> None:
-    for name, build in AGGREGATES.items():
-        publish(build(tables), database, name)
+def publish_aggregates(spark: SparkSession, tables: CleanTables, database: str) -> None:
+    publish_all(spark, {name: build(tables) for name, build in AGGREGATES.items()}, database)
 
 
-def publish_marts(tables: CleanTables, database: str) -> None:
-    for name, build in MARTS.items():
-        publish(build(tables), database, name)
+def publish_marts(spark: SparkSession, tables: CleanTables, database: str) -> None:
+    publish_all(spark, {name: build(tables) for name, build in MARTS.items()}, database)
 
 
-def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int = 256) -> CleanTables:
+def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], database: str) -> CleanTables:
     create_database(spark, database)
-    tables = stage(spark, sources, database, buckets)
+    tables = stage(spark, sources, database)
     publish_star(spark, tables, database)
-    publish_aggregates(tables, database)
-    publish_marts(tables, database)
+    publish_aggregates(spark, tables, database)
+    publish_marts(spark, tables, database)
     return tables

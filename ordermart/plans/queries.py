@@ -14,7 +14,7 @@ from ordermart.operators.convert import convert_types
 from ordermart.operators.keys import surrogate_key
 from ordermart.operators.merge import LOOKUPS, left_join, merge_wide
 from ordermart.operators.statistics import merged_statistics
-from ordermart.plans.pipeline import run_pipeline
+from ordermart.plans.pipeline import publish_aggregates, run_pipeline, stage
 from ordermart.schemas import (
     DIMENSIONS,
     FACT_LOOKUPS,
@@ -23,11 +23,11 @@ from ordermart.schemas import (
     RENAMES,
     UNKNOWN_COLUMNS,
 )
-from ordermart.session import application_dir, configure
+from ordermart.session import application_dir, at_once, configure, materialise
 from ordermart.sources.catalog import create_database, list_tables, publish, read_table
 from ordermart.sources.files import read_csv, write_csv
 from ordermart.sources.jdbc import relational_rows
-from ordermart.sources.testdata import ZIP_TYPES, load_raw_sources, load_sources
+from ordermart.sources.testdata import ZIP_TYPES, load_raw_sources, load_sources, read_driver_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,18 @@ def cleaned(spark: SparkSession, sf_dir: str, *results: str) -> clean.CleanTable
     return clean.clean_tables(load_sources(spark, sf_dir), columns)
 
 
+def staged(spark: SparkSession, sf_dir: str, prefix: str, *results: str) -> clean.CleanTables:
+    """The cleaned tables written once, for queries that read them several times."""
+    columns = sorted({c for r in results for c in READS[r]})
+    return stage(spark, load_sources(spark, sf_dir), _scratch(spark), columns, prefix)
+
+
+def dimensions(spark: SparkSession, tables: clean.CleanTables, names: list[str]) -> dict[str, DataFrame]:
+    """Dimensions, each computed once and written."""
+    built = {name: star.build_dimension(tables, name) for name in names}
+    return at_once(spark, {name: lambda df=df: materialise(df) for name, df in built.items()})
+
+
 def result(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An aggregate or mart straight from the sources."""
     return BUILDERS[name](cleaned(spark, sf_dir, name))
@@ -177,14 +189,14 @@ def _convert_types(spark, sf_dir):
 
 @query("nan_to_null")
 def _nan_to_null(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read_driver_table(spark, sf_dir, "events")
     value = F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
     return nan_to_null(events.select("event_id", value.alias("value")))
 
 
 @query("sanitize_columns")
 def _sanitize_columns(spark, sf_dir):
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = read_driver_table(spark, sf_dir, "customer")
     return sanitize_columns(
         customers.select("c_custkey", F.col("c_name").alias("full-name"), F.col("c_mktsegment").alias("market segment"))
     )
@@ -218,8 +230,8 @@ for _name in DIMENSIONS:
 
 @query("fact_orders")
 def _fact_orders(spark, sf_dir):
-    tables = cleaned(spark, sf_dir, "fact_orders", *DIMENSIONS)
-    return star.build_fact(tables, {name: star.build_dimension(tables, name) for name in FACT_LOOKUPS})
+    tables = staged(spark, sf_dir, "fact", "fact_orders", *FACT_LOOKUPS)
+    return star.build_fact(tables, dimensions(spark, tables, list(FACT_LOOKUPS)))
 
 
 # --- aggregates and marts ----------------------------------------------------------------------
@@ -236,7 +248,9 @@ for _name, _build in aggregates.STAR_AGGREGATES.items():
     @query("star_" + _name.lower())
     def _star_aggregate(spark, sf_dir, build=_build):
         """The same aggregate as joins of star tables."""
-        return build(star.build_star(cleaned(spark, sf_dir, "fact_orders", *DIMENSIONS)))
+        tables = staged(spark, sf_dir, "star", "fact_orders", *DIMENSIONS)
+        tables_of_star = dimensions(spark, tables, list(DIMENSIONS))
+        return build(tables_of_star | {"fact_orders": star.build_fact(tables, tables_of_star)})
 
 
 for _name, _build in marts.WIDE_MARTS.items():
@@ -292,14 +306,14 @@ def _top10_customers(spark, sf_dir):
 @query("chart_series")
 def _chart_series(spark, sf_dir):
     names = list(dict.fromkeys(t for t, _, _ in insights.CHARTS.values()))
-    tables = cleaned(spark, sf_dir, *names)
+    tables = staged(spark, sf_dir, "chart", *names)
     return insights.chart_series({name: BUILDERS[name](tables) for name in names})
 
 
 @query("preview_dims")
 def _preview_dims(spark, sf_dir):
     """The first five rows of each star table, as (table, key, natural key)."""
-    tables = cleaned(spark, sf_dir, *DIMENSIONS)
+    tables = staged(spark, sf_dir, "preview", *DIMENSIONS)
     parts = []
     for name, (key, _) in DIMENSIONS.items():
         first = insights.preview(star.build_dimension(tables, name), [key])
@@ -366,9 +380,8 @@ def _scan_table(spark, sf_dir):
 @query("list_agg_tables")
 def _list_agg_tables(spark, sf_dir):
     database = create_database(spark, "ordermart_listed")
-    tables = cleaned(spark, sf_dir, *aggregates.AGGREGATES)
-    for name, build in aggregates.AGGREGATES.items():
-        publish(build(tables), database, name)
+    tables = staged(spark, sf_dir, "listed", *aggregates.AGGREGATES)
+    publish_aggregates(spark, tables, database)
     publish(marts.MARTS["dm_payment_analysis"](tables), database, "dm_payment_analysis")
     return list_tables(spark, database)
 
@@ -376,16 +389,16 @@ def _list_agg_tables(spark, sf_dir):
 @query("relational_rows")
 def _relational_rows(spark, sf_dir):
     """Rows as they are loaded into a relational table: all text with a running id."""
-    path = f"{sf_dir}/customer.parquet"
-    rows = relational_rows(spark.read.parquet(path).select("c_custkey", "c_name", "c_mktsegment"), last_id=1000)
-    return rows.withColumn("table_name", F.lit(table_name(path)))
+    customers = read_driver_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = relational_rows(customers, last_id=1000)
+    return rows.withColumn("table_name", F.lit(table_name(f"{sf_dir}/customer.parquet")))
 
 
 @query("pipeline_tables")
 def _pipeline_tables(spark, sf_dir):
     """A full refresh: rows of each published table."""
     database = create_database(spark, "ordermart_pipeline")
-    run_pipeline(spark, load_sources(spark, sf_dir), database, buckets=8)
+    run_pipeline(spark, load_sources(spark, sf_dir), database)
     names = [*DIMENSIONS, "fact_orders", *BUILDERS]
     counts = [
         read_table(spark, database, n).agg(F.count("*").alias("n_rows")).select(F.lit(n.lower()).alias("table_name"), "n_rows")

@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+JOBS_AT_ONCE = 4
+
 # Runtime settings the plans count on; a value the user has set is left alone.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,6 +55,18 @@ def application_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute a frame once and cut its lineage, in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute a frame once: written to the shared folder and read back as a plain scan.
+
+    Files survive the loss of an executor, and their known size lets the optimizer decide on
+    broadcasting them.
+    """
+    path = f"{application_dir(df.sparkSession)}/stage/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs side by side, so that one fills the executors another leaves idle."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
+        return {name: future.result() for name, future in running.items()}

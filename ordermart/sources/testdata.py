@@ -15,6 +15,22 @@ TRANSLATION = [
     ("SMALL", "small"),
     ("LARGE", "large"),
 ]
+TRANSLATION_COLUMNS = "product_category_name, product_category_name_english"
+
+# Columns of the driver's files. Declared, so that no job runs to look at the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 ZIP_TYPES = {"customer_zip_code_prefix": "int", "seller_zip_code_prefix": "int"}
 
 
@@ -37,11 +53,15 @@ def _zip(key: str) -> Column:
     return F.lpad((F.col(key) % 1000).cast("string"), 5, "0")
 
 
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def load_raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Source frames as delivered: nulls present, zip prefixes still text."""
 
     def tables(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return read_driver_table(spark, sf_dir, name)
 
     every = lambda key, n: F.col(key) % n == 0
     order = tables("orders")
@@ -89,7 +109,8 @@ def load_raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _unless(every("p_partkey", 18), (F.col("p_size") + 1).cast("double")).alias("product_height_cm"),
         _unless(every("p_partkey", 19), (F.col("p_size") + 2).cast("double")).alias("product_width_cm"),
     )
-    translation = spark.createDataFrame(TRANSLATION, "product_category_name string, product_category_name_english string")
+    pairs = ", ".join(f"('{name}', '{english}')" for name, english in TRANSLATION)
+    translation = spark.sql(f"SELECT * FROM VALUES {pairs} AS t({TRANSLATION_COLUMNS})")
     # Every order has one payment or, every tenth order, two: one row per array element.
     main = F.struct(
         F.lit(1).alias("payment_sequential"),
