@@ -101,7 +101,7 @@ class CleanTables:
     # Cheaper frames to count lines with, which may hold more of them; by default the tables above.
     raw: dict[str, DataFrame] = field(default_factory=dict)
     counts: DataFrame | None = None
-    _hot: dict[tuple[str, ...], DataFrame | None] = field(default_factory=dict)
+    _hot: dict[tuple[str, ...], DataFrame | None] = field(default_factory=dict, repr=False)
 
     def hot(self, *names: str) -> DataFrame | None:
         """Orders too large for one task when these line tables meet; looked for once."""

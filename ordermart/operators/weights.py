@@ -15,14 +15,18 @@ from ordermart.functions.casts import exact_sum
 from ordermart.operators.clean import CleanTables
 from ordermart.operators.fanout import KEY, join_order_rows
 
+COUNTS = ["n_payments", "n_reviews", "n_items"]
+
 
 def per_order(tables: CleanTables, *names: str) -> DataFrame:
     """Orders with the counts and sums of the named line tables; orders without such lines drop out.
 
     payments: ``n_payments``, ``paid``; reviews: ``n_reviews``; items: ``n_items`` and,
-    where prices are filled, ``priced``.
+    where prices are filled, ``priced``. Orders that carry all counts already are returned as they are.
     """
     out = tables.orders
+    if all(c in out.columns for c in COUNTS):
+        return out
     if "payments" in names:
         payments = tables.payments.groupBy(KEY).agg(
             F.count("*").alias("n_payments"), exact_sum(F.col("payment_value")).alias("paid")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.operators.aggregates import AGGREGATES
@@ -9,11 +11,11 @@ from ordermart.operators.clean import CleanTables, clean_tables
 from ordermart.operators.fanout import KEY, LINE_TABLES
 from ordermart.operators.marts import MARTS
 from ordermart.operators.star import build_dimension, build_fact
+from ordermart.operators.weights import per_order
 from ordermart.schemas import DIMENSIONS
 from ordermart.session import at_once
-from ordermart.sources.catalog import create_database, publish, read_table
+from ordermart.sources.catalog import create_database, publish, publish_bucketed, read_table
 
-STAGED = ["orders", *LINE_TABLES]
 
 
 def stage(
@@ -25,23 +27,24 @@ def stage(
 ) -> CleanTables:
     """Write the cleaned tables once and return them as table scans.
 
-    They have the size of the sources, not of the multiplied wide table. They are bucketed by order,
-    so all later joins on the order find their rows in place; a table with an order too large for
-    one task is written as it comes instead.
+    They have the size of the sources, not of the multiplied wide table. All are bucketed by order,
+    so later joins on the order find their rows in place; a table with an order too large for one
+    task is written as it comes instead. Orders carry the counts of their lines, so most results
+    need one join or none.
     """
     tables = clean_tables(sources, columns)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def write(name: str) -> None:
-        hot = name in LINE_TABLES and tables.hot(name) is not None
-        publish(getattr(tables, name), database, f"{prefix}_{name}", bucket_by=None if hot else (buckets, KEY))
-
-    at_once(spark, {name: lambda name=name: write(name) for name in STAGED})
-    return staged(spark, database, prefix)
-
 
-def staged(spark: SparkSession, database: str, prefix: str = "stage") -> CleanTables:
-    return CleanTables(**{name: read_table(spark, database, f"{prefix}_{name}") for name in STAGED})
+    def write(name: str, df: DataFrame) -> DataFrame:
+        table = f"{prefix}_{name}"
+        if name in LINE_TABLES and tables.hot(name) is not None:
+            publish(df, database, table)
+        else:
+            publish_bucketed(df, database, table, KEY)
+        return read_table(spark, database, table)
+
+    lines = at_once(spark, {name: lambda name=name: write(name, getattr(tables, name)) for name in LINE_TABLES})
+    written = replace(tables, **lines, raw={})
+    return replace(written, orders=write("orders", per_order(written, *LINE_TABLES)))
 
 
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str, mode: str = "overwrite") -> None:

@@ -15,23 +15,17 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     return name
 
 
-def publish(
-    df: DataFrame,
-    database: str,
-    table: str,
-    mode: str = "overwrite",
-    bucket_by: tuple[int, str] | None = None,
-) -> None:
-    """Write a table: ``overwrite`` replaces it, ``append`` adds the rows once more.
-
-    With ``bucket_by`` the files are laid out by that key, and joins on it need no exchange.
-    """
-    writer = df.write.mode(mode).format("parquet")
-    if bucket_by:
-        buckets, key = bucket_by
-        # One shuffle by the same hash, so each bucket is one file instead of one per task.
-        writer = df.repartition(buckets, key).write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(f"`{database}`.`{table}`")
+def publish(df: DataFrame, database: str, table: str, mode: str = "overwrite") -> None:
+    """Write a table: ``overwrite`` replaces it, ``append`` adds the rows once more."""
+    df.write.mode(mode).format("parquet").saveAsTable(f"`{database}`.`{table}`")
+
+
+def publish_bucketed(df: DataFrame, database: str, table: str, key: str) -> None:
+    """Replace a table whose files are laid out by ``key``: joins and groupings on it need no exchange."""
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # One shuffle by the same hash, so each bucket is one file instead of one per task.
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{database}`.`{table}`")
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame | None:
