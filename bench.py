@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ordermart.plans.queries import QUERIES  # noqa: E402
+from ordermart.session import clear_stage  # noqa: E402
 
 HEADLINE = [
     "merge_wide",
@@ -35,7 +36,7 @@ HEADLINE = [
     "dm_payment_analysis",
     "top10_customers",
     "share_sales_by_seller_state",
-    "pipeline_tables",
+    "warehouse_refresh",
 ]
 
 
@@ -64,6 +65,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best.append(time.perf_counter() - start)
         times[name] = round(sorted(best)[len(best) // 2], 3)
+    clear_stage(spark)
     spark.stop()
     print(
         json.dumps(

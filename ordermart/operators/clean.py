@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, fan_out, hot_orders, line_counts
-from ordermart.operators.merge import item_rows, order_rows
+from ordermart.operators.merge import LOOKUPS, left_join, order_rows
 from ordermart.operators.statistics import merged_statistics, wide_statistics
 from ordermart.schemas import (
     CLEAN_COLUMNS,
@@ -89,6 +89,7 @@ def clean_wide(df: DataFrame, approx: bool = False) -> DataFrame:
 class CleanTables:
     """The cleaned table before its rows multiply: orders, and the lines that go with them.
 
+    ``items`` carry their product and seller; these are also kept apart, one row each.
     ``orders.delivered`` tells whether the order had a delivery date before the fill, and
     ``orders.delivered_at`` which one.
     """
@@ -97,6 +98,8 @@ class CleanTables:
     payments: DataFrame
     reviews: DataFrame
     items: DataFrame
+    products: DataFrame
+    sellers: DataFrame
     rows_per_slice: int = ROWS_PER_SLICE
     # Cheaper frames to count lines with, which may hold more of them; by default the tables above.
     raw: dict[str, DataFrame] = field(default_factory=dict)
@@ -137,6 +140,9 @@ def clean_tables(
         df = rename(fill_statistics(fill_constants(df), numbers))
         return drop_incomplete(df, [c for c in df.columns if c not in allow])
 
+    # Categories are translated per product, and lookups are cleaned before items meet them.
+    products = cleaned(left_join(sources["products"], sources["translation"], LOOKUPS["translation"]))
+    sellers = cleaned(sources["sellers"])
     delivered_at = F.col("order_delivered_customer_date")
     orders = order_rows(sources).withColumns({"delivered": delivered_at.isNotNull(), "delivered_at": delivered_at})
     return CleanTables(
@@ -145,7 +151,9 @@ def clean_tables(
         ),
         payments=cleaned(sources["payments"]),
         reviews=cleaned(sources["reviews"], ("review_creation_date",)),
-        items=cleaned(item_rows(sources)),
+        items=cleaned(sources["items"]).join(products, LOOKUPS["products"]).join(sellers, LOOKUPS["sellers"]),
+        products=products,
+        sellers=sellers,
         rows_per_slice=rows_per_slice,
         raw={t: sources[t] for t in LINE_TABLES},
         counts=counts,

@@ -49,7 +49,6 @@ def build_dimension(tables: CleanTables, name: str) -> DataFrame:
 
     Only ids travel through the order joins; the attributes are attached to the distinct ids.
     """
-    columns = DIMENSIONS[name][1]
     if name == "dim_customers":
         rows = per_order(tables, "payments", "reviews", "items")
     elif name == "dim_payment_types":
@@ -59,7 +58,8 @@ def build_dimension(tables: CleanTables, name: str) -> DataFrame:
     else:
         business = NATURAL_KEYS[name]
         used = item_lines(tables, business, []).select(*business).distinct()
-        rows = tables.items.select(*columns).distinct().join(used, business, "left_semi")
+        lookup = tables.products if name == "dim_products" else tables.sellers
+        rows = lookup.join(used, business, "left_semi")
     return dimension(rows, name)
 
 

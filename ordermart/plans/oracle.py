@@ -339,7 +339,7 @@ SELECTS: dict[str, str] = {
     "relational_rows": f"select 1000 + {dense_key(['c_custkey', 'c_name', 'c_mktsegment', 'copy_number'], 'id')}, "
     "cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, 'customer' as table_name "
     "from (select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, 0 as copy_number from customer)",
-    "pipeline_tables": " union all ".join(
+    "warehouse_refresh": " union all ".join(
         f"select '{name}' as table_name, count(*) as n_rows from {name}" for name in PUBLISHED
     ),
 }

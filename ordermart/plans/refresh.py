@@ -17,6 +17,9 @@ from ordermart.session import at_once
 from ordermart.sources.catalog import create_database, publish, publish_bucketed, read_table
 
 
+# Product and seller columns that results group by.
+ITEM_COLUMNS = ["product_id", "product_category_name", "product_category_name_english", "seller_id", "seller_state"]
+
 
 def stage(
     spark: SparkSession,
@@ -30,20 +33,29 @@ def stage(
     They have the size of the sources, not of the multiplied wide table. All are bucketed by order,
     so later joins on the order find their rows in place; a table with an order too large for one
     task is written as it comes instead. Orders carry the counts of their lines, so most results
-    need one join or none.
+    need one join or none. Items keep the product and seller columns that results group by.
     """
     tables = clean_tables(sources, columns)
+    large = {name for name in LINE_TABLES if tables.hot(name) is not None}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         table = f"{prefix}_{name}"
-        if name in LINE_TABLES and tables.hot(name) is not None:
+        if name in large:
             publish(df, database, table)
         else:
             publish_bucketed(df, database, table, KEY)
         return read_table(spark, database, table)
 
-    lines = at_once(spark, {name: lambda name=name: write(name, getattr(tables, name)) for name in LINE_TABLES})
-    written = replace(tables, **lines, raw={})
+    def write_lookup(name: str) -> DataFrame:
+        publish(getattr(tables, name), database, f"{prefix}_{name}")
+        return read_table(spark, database, f"{prefix}_{name}")
+
+    lookup_columns = {c for name in ("dim_products", "dim_sellers") for c in DIMENSIONS[name][1]}
+    slim = tables.items.drop(*(lookup_columns - set(ITEM_COLUMNS)))
+    lines = {"payments": tables.payments, "reviews": tables.reviews, "items": slim}
+    jobs = {name: lambda name=name, df=df: write(name, df) for name, df in lines.items()}
+    jobs |= {name: lambda name=name: write_lookup(name) for name in ("products", "sellers")}
+    written = replace(tables, **at_once(spark, jobs), raw={})
     return replace(written, orders=write("orders", per_order(written, *LINE_TABLES)))
 
 
@@ -66,7 +78,8 @@ def publish_marts(spark: SparkSession, tables: CleanTables, database: str) -> No
     publish_all(spark, {name: build(tables) for name, build in MARTS.items()}, database)
 
 
-def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], database: str) -> CleanTables:
+def refresh(spark: SparkSession, sources: dict[str, DataFrame], database: str) -> CleanTables:
+    """Rebuild every table of the warehouse."""
     create_database(spark, database)
     tables = stage(spark, sources, database)
     publish_star(spark, tables, database)

@@ -65,6 +65,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stage(spark: SparkSession) -> None:
+    """Delete what ``materialise`` wrote in this application; frames that read it end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{application_dir(spark)}/stage")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def at_once(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent jobs side by side, so that one fills the executors another leaves idle."""
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:

@@ -35,6 +35,21 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame | No
     return spark.table(f"`{database}`.`{table}`")
 
 
+# Names shown to users and the mart each one stands for.
+MART_NAMES = {
+    "Sales Performance": "dm_sales_performance",
+    "Product Category Analysis": "dm_product_category_analysis",
+    "Customer Behavior": "dm_customer_behavior",
+    "Order Fulfillment": "dm_order_fulfillment",
+    "Payment Analysis": "dm_payment_analysis",
+}
+
+
+def read_mart(spark: SparkSession, database: str, shown: str) -> DataFrame | None:
+    """A mart by its shown name."""
+    return read_table(spark, database, MART_NAMES[shown])
+
+
 def list_tables(spark: SparkSession, database: str, pattern: str = "Agg_%") -> DataFrame:
     """Names of tables by SQL pattern, in which ``_`` stands for any one character.
 

@@ -30,7 +30,7 @@ def frame(spark, table, rows):
     """A source table from dicts; columns that are not named are null."""
     columns = SOURCE_COLUMNS[table]
     schema = ", ".join(f"{c} {t}" for c, t in columns.items())
-    return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema)
+    return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema).coalesce(1)
 
 
 def order(i, **more):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ordermart.operators import insights
 from ordermart.operators.keys import surrogate_key
-from ordermart.plans.pipeline import run_pipeline, stage
+from ordermart.plans.refresh import refresh, stage
 from ordermart.schemas import DIMENSIONS, FACT_LOOKUPS
 from ordermart.sources import jdbc
 from ordermart.sources.catalog import create_database, has_rows, list_tables, publish, read_table
@@ -60,8 +60,8 @@ def test_csv_text_and_types(spark, tmp_path):
 
 def test_translation_file_with_byte_order_mark(spark, tmp_path):
     path = tmp_path / "translation.csv"
-    path.write_bytes("﻿product_category_name,product_category_name_english\nbrinquedos,toys".encode())
-    assert [tuple(r) for r in read_csv(spark, str(path), "translation").collect()] == [("brinquedos", "toys")]
+    path.write_bytes("﻿product_category_name,product_category_name_english\nspielzeug,toys".encode())
+    assert [tuple(r) for r in read_csv(spark, str(path), "translation").collect()] == [("spielzeug", "toys")]
 
 
 def test_jdbc_options():
@@ -94,12 +94,12 @@ def test_charts_select_their_columns(spark):
 
 @pytest.fixture(scope="module")
 def warehouse(spark, sources):
-    database = create_database(spark, "pipeline_test")
-    run_pipeline(spark, sources, database)
+    database = create_database(spark, "refresh_test")
+    refresh(spark, sources, database)
     return lambda name: read_table(spark, database, name)
 
 
-def test_pipeline_invariants(warehouse):
+def test_warehouse_invariants(warehouse):
     fact = warehouse("fact_orders")
     n = fact.count()
     assert n == 4725
@@ -133,14 +133,14 @@ def test_large_orders_are_staged_without_buckets(spark, sources):
 
     from ordermart.operators.clean import clean_tables
     from ordermart.operators.marts import MARTS
-    from ordermart.plans import pipeline
+    from ordermart.plans import refresh as module
 
     database = create_database(spark, "staged_hot")
-    original = pipeline.clean_tables
-    pipeline.clean_tables = lambda s, c=None: original(s, c, rows_per_slice=3)
+    original = module.clean_tables
+    module.clean_tables = lambda s, c=None: original(s, c, rows_per_slice=3)
     try:
         tables = stage(spark, sources, database, [])
     finally:
-        pipeline.clean_tables = original
+        module.clean_tables = original
     same(MARTS["dm_payment_analysis"](tables), MARTS["dm_payment_analysis"](clean_tables(sources, [])))
     assert replace(tables).rows_per_slice == 3

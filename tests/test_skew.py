@@ -58,15 +58,21 @@ def test_statistics(name, request):
     assert merged_statistics(sources, STATISTIC_COLUMNS, rows_per_slice=TINY) == expected
 
 
+@pytest.fixture(scope="module")
+def tables(hot_sources):
+    """Cleaned tables that are sliced, and the same without slices."""
+    return clean_tables(hot_sources, rows_per_slice=TINY), clean_tables(hot_sources)
+
+
 @pytest.mark.parametrize("result", [*AGGREGATES, *MARTS])
-def test_results(result, hot_sources):
+def test_results(result, tables):
     build = (AGGREGATES | MARTS)[result]
-    same(build(clean_tables(hot_sources, rows_per_slice=TINY)), build(clean_tables(hot_sources)))
+    same(build(tables[0]), build(tables[1]))
 
 
-def test_star(hot_sources):
-    sliced = build_star(clean_tables(hot_sources, rows_per_slice=TINY))
-    for name, df in build_star(clean_tables(hot_sources)).items():
+def test_star(tables):
+    sliced = build_star(tables[0])
+    for name, df in build_star(tables[1]).items():
         same(sliced[name], df)
 
 
