@@ -9,11 +9,11 @@ HEX_DIGITS = 3  # 16 ** 3 = 4096 groups
 
 
 def surrogate_key(df: DataFrame, name: str, natural_key: list[str], start: int = 1) -> DataFrame:
-    """Prepend a dense key. Rows must be distinct; equal inputs always get equal keys.
+    """Prepend a dense key. The natural key must identify a row; equal inputs always get equal keys.
 
     Rows are put in groups by a digest of the natural key and numbered inside each group; the size
     of the groups before it, 4096 numbers in all, is then added. Group and order depend only on the
-    row, so a lost executor or a second run changes nothing, and no hot value can fill a group.
+    row, so a lost executor or a second run changes nothing, and the digest keeps groups even.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in natural_key])
     grouped = df.withColumn("_group", F.substring(F.md5(text), 1, HEX_DIGITS))

@@ -1,8 +1,8 @@
 """Exact means and medians of columns, as plain numbers.
 
-A median takes one pass that counts rows per histogram bin and, for a column with many different
-values, a second pass over the rows of its middle bin alone. Only bins and the values of one bin are
-shuffled or sorted, never a whole column.
+A median is narrowed down: one pass counts rows per histogram bin, the next pass looks only at the
+bin that holds the middle, until that bin has a single value or few enough rows to sort. Only bins
+and the rows of one small bin are shuffled, never a whole column.
 """
 
 from __future__ import annotations
@@ -17,23 +17,23 @@ from ordermart.functions.casts import weighted
 from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, hot_orders, join_order_rows, line_counts
 from ordermart.schemas import MEAN_COLUMNS, MEDIAN_COLUMNS, SOURCE_COLUMNS
 
-# Bins are even on a logarithmic scale, about 0.1 % wide: all doubles fall into 1.5 million of them,
-# and an outlier does not push the other values into the same bin.
-BINS_PER_UNIT = 1024
+# Log scale bins are about 0.1 % wide: all doubles fall into 1.5 million of them, and an outlier does
+# not push the other values into the same bin.
+LOG_BINS_PER_UNIT = 1024
+# Even bins of every further pass.
+BINS = 4096
+# Rows that are sorted instead of split once more.
+SORT_ROWS = 10_000_000
 
-# Middle bins per column; None stands for all values.
-Bins = dict[str, list[int]] | None
+# Lowest and highest value still in question per column; None stands for all values.
+Ranges = dict[str, tuple[float, float]] | None
 
 
-def bin_number(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value) * 1000) * BINS_PER_UNIT).cast("int")
-
-
-def keep_bins(df: DataFrame, bins: Bins, columns: list[str]) -> DataFrame:
-    """Rows with a value in the bins of any column."""
-    if bins is None:
+def keep_ranges(df: DataFrame, ranges: Ranges, columns: list[str]) -> DataFrame:
+    """Rows with a value in the range of any column."""
+    if ranges is None:
         return df
-    return df.filter(reduce(Column.__or__, [bin_number(F.col(c)).isin(bins[c]) for c in columns]))
+    return df.filter(reduce(Column.__or__, [F.col(c).between(*ranges[c]) for c in columns]))
 
 
 def long_values(df: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
@@ -45,55 +45,62 @@ def long_values(df: DataFrame, columns: list[str], weight: str | None = None) ->
     return rows.unpivot(["weight"], columns, "name", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def medians(columns: list[str], values: Callable[[list[str], Bins], DataFrame]) -> dict[str, float]:
-    """Interpolating medians; ``values(columns, bins)`` gives the long values to count.
+def keep_long(long: DataFrame, ranges: Ranges) -> DataFrame:
+    """Long values in the range of their own column."""
+    if ranges is None:
+        return long
+    return long.filter(
+        reduce(Column.__or__, [(F.col("name") == c) & F.col("value").between(*r) for c, r in ranges.items()])
+    )
+
+
+def medians(columns: list[str], values: Callable[[list[str], Ranges], DataFrame]) -> dict[str, float]:
+    """Interpolating medians; ``values(columns, ranges)`` gives the long values to count.
 
-    The driver receives two rows per column at most. A column without any value is absent.
+    The driver receives two rows per column and pass at most. A column without any value is absent.
     """
-    if not columns:
-        return {}
+    found: dict[str, float] = {}
+    todo, ranges, ranks = list(columns), None, None
+    size = F.signum("value") * F.log1p(F.abs("value") * 1000)
+    bin_of = F.floor(size * LOG_BINS_PER_UNIT).cast("double")
+    while todo:
+        rows = _middle_bins(values(todo, ranges), bin_of, ranks).collect()
+        by_name = {c: sorted((r for r in rows if r["name"] == c), key=lambda r: r["bin"]) for c in todo}
+        found |= {c: b[0]["low"] * 0.5 + b[-1]["low"] * 0.5 for c, b in by_name.items() if b and _single(b)}
+        left = {c: b for c, b in by_name.items() if b and not _single(b)}
+        todo = list(left)
+        ranges = {c: (b[0]["low"], b[-1]["high"]) for c, b in left.items()}
+        ranks = {c: (b[0]["first"] - b[0]["before"], b[0]["last"] - b[0]["before"]) for c, b in left.items()}
+        bin_of = F.col("value")
+        for c, b in left.items():
+            if sum(r["n"] for r in b) > SORT_ROWS:
+                low, high = ranges[c]
+                bin_of = F.when(F.col("name") == c, F.floor((F.col("value") - low) / (high - low) * BINS)).otherwise(bin_of)
+        bin_of = bin_of.cast("double")
+    return found
+
+
+def _single(bins: list) -> bool:
+    return all(b["low"] == b["high"] for b in bins)
+
+
+def _middle_bins(long: DataFrame, bin_of: Column, ranks: dict[str, tuple[int, int]] | None) -> DataFrame:
+    """The one or two bins per name that hold the middle; ``ranks`` are its two positions, if known."""
     name = Window.partitionBy("name")
     upto = F.sum("n").over(name.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    middle = (
-        values(columns, None)
-        .groupBy("name", bin_number(F.col("value")).alias("bin"))
+    if ranks is None:
+        total = F.sum("n").over(name)
+        first, last = F.floor((total - 1) / 2) + 1, F.floor(total / 2) + 1
+    else:
+        position = lambda i: F.coalesce(*[F.when(F.col("name") == c, F.lit(r[i])) for c, r in ranks.items()])
+        first, last = position(0), position(1)
+    return (
+        long.groupBy("name", bin_of.alias("bin"))
         .agg(F.sum("weight").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumns({"upto": upto, "total": F.sum("n").over(name)})
-        .withColumn("first", F.floor((F.col("total") - 1) / 2) + 1)
-        .withColumn("last", F.floor(F.col("total") / 2) + 1)
+        .withColumns({"upto": upto, "first": first, "last": last})
         .filter((F.col("upto") >= F.col("first")) & (F.col("upto") - F.col("n") < F.col("last")))
         .withColumn("before", F.col("upto") - F.col("n"))
-        .select("name", "bin", "before", "first", "last", "low", "high")
-        .orderBy("name", "bin")
-        .collect()
-    )
-    by_name = {c: [row for row in middle if row["name"] == c] for c in columns}
-    found, bins = {}, {}
-    for c, rows in by_name.items():
-        if rows and all(row["low"] == row["high"] for row in rows):
-            found[c] = rows[0]["low"] * 0.5 + rows[-1]["low"] * 0.5
-        elif rows:
-            bins[c] = [row["bin"] for row in rows]
-    if not bins:
-        return found
-
-    # Ranks within the kept bins, which follow each other: subtract the rows before the first one.
-    ranks = {c: [by_name[c][0][r] - by_name[c][0]["before"] for r in ("first", "last")] for c in bins}
-    rank = [reduce(lambda other, c: F.when(F.col("name") == c, ranks[c][i]).otherwise(other), bins, F.lit(0)) for i in (0, 1)]
-    chosen = reduce(Column.__or__, [(F.col("name") == c) & bin_number(F.col("value")).isin(b) for c, b in bins.items()])
-    by_value = name.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (
-        values(list(bins), bins)
-        .filter(chosen)
-        .groupBy("name", "value")
-        .agg(F.sum("weight").alias("n"))
-        .withColumn("upto", F.sum("n").over(by_value))
-        .filter((F.col("upto") >= rank[0]) & (F.col("upto") - F.col("n") < rank[1]))
-        .groupBy("name")
-        .agg((F.min("value") * 0.5 + F.max("value") * 0.5).alias("median"))
-        .collect()
     )
-    return found | {row["name"]: row["median"] for row in rows}
 
 
 def mean(rows: DataFrame, c: str, weight: str | None = None) -> dict[str, float]:
@@ -115,7 +122,7 @@ def wide_statistics(df: DataFrame, columns: list[str], approx: bool = False) ->
         row = df.agg(*[F.percentile_approx(c, 0.5, 100_000).cast("double").alias(c) for c in of_medians]).first()
         numbers = {c: row[c] for c in of_medians if row[c] is not None}
     else:
-        numbers = medians(of_medians, lambda cs, bins: long_values(keep_bins(df, bins, cs), cs))
+        numbers = medians(of_medians, lambda cs, ranges: keep_long(long_values(keep_ranges(df, ranges, cs), cs), ranges))
     for c in of_means:
         numbers |= mean(df, c)
     return numbers
@@ -146,21 +153,21 @@ def merged_statistics(
         a, b = [F.greatest(F.coalesce(F.col(f"n_{t}"), F.lit(1)), F.lit(1)) for t in LINE_TABLES if t != table]
         return join_order_rows(lines, orders.select(KEY, (a * b).alias("weight")), table, hot[table])
 
-    def values(names: list[str], bins: Bins) -> DataFrame:
+    def values(names: list[str], ranges: Ranges) -> DataFrame:
         parts = []
         for table in ("payments", "items"):
             of_table = [c for c in names if c in SOURCE_COLUMNS[table]]
             if of_table:
-                lines = keep_bins(sources[table].select(KEY, *of_table), bins, of_table)
+                lines = keep_ranges(sources[table].select(KEY, *of_table), ranges, of_table)
                 parts.append(long_values(weigh(table, lines), of_table, "weight"))
         of_products = [c for c in names if c in SOURCE_COLUMNS["products"]]
         if of_products:
             # Weights add up per product first, so the join with products is small and even.
             rows = weigh("items", sources["items"].select(KEY, "product_id"))
             per_product = rows.groupBy("product_id").agg(F.sum("weight").alias("weight"))
-            products = keep_bins(sources["products"], bins, of_products)
+            products = keep_ranges(sources["products"], ranges, of_products)
             parts.append(long_values(per_product.join(products, "product_id"), of_products, "weight"))
-        return reduce(DataFrame.unionAll, parts)
+        return keep_long(reduce(DataFrame.unionAll, parts), ranges)
 
     numbers = medians([c for c in columns if c in MEDIAN_COLUMNS], values)
     for c in columns:

@@ -3,13 +3,15 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
-from ordermart.operators.statistics import long_values, mean, medians
+from ordermart.operators import statistics
+from ordermart.operators.statistics import keep_long, keep_ranges, long_values, mean, medians
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_medians_match(spark, seed):
+@pytest.mark.parametrize("seed,sort_rows", [(0, 10_000_000), (1, 10_000_000), (2, 1), (3, 1)])
+def test_medians_match(spark, seed, sort_rows, monkeypatch):
+    monkeypatch.setattr(statistics, "SORT_ROWS", sort_rows)
+    monkeypatch.setattr(statistics, "BINS", 16)
     rng = np.random.default_rng(seed)
     n = int(rng.integers(1, 400))
     frame = pd.DataFrame(
@@ -25,9 +27,8 @@ def test_medians_match(spark, seed):
     df = spark.createDataFrame(frame).repartition(3)
     repeated = frame.loc[frame.index.repeat(frame["weight"])]
 
-    def values(names, bins):
-        kept = df if bins is None else df.filter(F.lit(True))
-        return long_values(kept, names, "weight")
+    def values(names, ranges):
+        return keep_long(long_values(keep_ranges(df, ranges, names), names, "weight"), ranges)
 
     got = medians(columns, values)
     for c in columns:
@@ -37,5 +38,5 @@ def test_medians_match(spark, seed):
 
 def test_no_values(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "v double")
-    assert medians(["v"], lambda names, bins: long_values(df, names)) == {}
+    assert medians(["v"], lambda names, ranges: long_values(df, names)) == {}
     assert mean(df, "v") == {}
