@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, fan_out, hot_orders, line_counts
+from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, LineCounts, fan_out
 from ordermart.operators.merge import LOOKUPS, left_join, order_rows
 from ordermart.operators.statistics import merged_statistics, wide_statistics
 from ordermart.schemas import (
@@ -100,25 +100,8 @@ class CleanTables:
     items: DataFrame
     products: DataFrame
     sellers: DataFrame
-    rows_per_slice: int = ROWS_PER_SLICE
-    # Cheaper frames to count lines with, which may hold more of them; by default the tables above.
-    raw: dict[str, DataFrame] = field(default_factory=dict)
-    counts: DataFrame | None = None
-    _hot: dict[tuple[str, ...], DataFrame | None] = field(default_factory=dict, repr=False)
-
-    def hot(self, *names: str) -> DataFrame | None:
-        """Orders too large for one task when these line tables meet; looked for once."""
-        if names not in self._hot:
-            self._hot[names] = self._find_hot(names)
-        return self._hot[names]
-
-    def _find_hot(self, names: tuple[str, ...]) -> DataFrame | None:
-        if self.counts is None:
-            lines = {t: self.raw.get(t, getattr(self, t)) for t in LINE_TABLES}
-            if len(names) == 1 and lines[names[0]].count() <= self.rows_per_slice:
-                return None
-            self.counts = line_counts(lines)
-        return hot_orders(self.counts, list(names), self.rows_per_slice)
+    # Lines per order, perhaps counted before cleaning, when there were more of them.
+    lines: LineCounts
 
 
 def clean_tables(
@@ -132,8 +115,8 @@ def clean_tables(
     value somewhere; with all columns asked for, an empty one drops every row, as it should.
     """
     wanted = [c for c in STATISTIC_COLUMNS if columns is None or c in columns]
-    counts = line_counts(sources) if wanted else None
-    numbers = merged_statistics(sources, wanted, counts, rows_per_slice)
+    lines = LineCounts(sources, rows_per_slice)
+    numbers = merged_statistics(sources, wanted, lines)
 
     def cleaned(df: DataFrame, allow: tuple[str, ...] = ()) -> DataFrame:
         df = df.drop(*[c for c in STATISTIC_COLUMNS if c not in wanted])
@@ -154,15 +137,13 @@ def clean_tables(
         items=cleaned(sources["items"]).join(products, LOOKUPS["products"]).join(sellers, LOOKUPS["sellers"]),
         products=products,
         sellers=sellers,
-        rows_per_slice=rows_per_slice,
-        raw={t: sources[t] for t in LINE_TABLES},
-        counts=counts,
+        lines=lines,
     )
 
 
 def join_clean(tables: CleanTables) -> DataFrame:
     """The cleaned wide table from the cleaned tables: only inner joins on the order."""
-    wide = fan_out(tables.orders, {t: getattr(tables, t) for t in LINE_TABLES}, tables.hot(*LINE_TABLES), "inner")
+    wide = fan_out(tables.orders, {t: getattr(tables, t) for t in LINE_TABLES}, tables.lines.hot(*LINE_TABLES), "inner")
     dated = F.coalesce(F.col("review_creation_date"), F.col("delivered_at"))
     return wide.withColumn("review_creation_date", dated).filter(dated.isNotNull()).select(*CLEAN_COLUMNS)
 

@@ -9,7 +9,8 @@ repeated for each slice. All other orders have the single slice 0.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,19 +22,47 @@ KEY = "order_id"
 LINE_TABLES = ["payments", "reviews", "items"]
 
 
-def line_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each line table per order, written once: one aggregation that reads only the keys."""
-    names = [t for t in LINE_TABLES if t in tables]
-    parts = [
-        tables[name].select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in names])
-        for name in names
-    ]
-    counts = reduce(DataFrame.unionAll, parts).groupBy(KEY).agg(*[F.sum(f"n_{t}").alias(f"n_{t}") for t in names])
-    return materialise(counts.filter(F.col(KEY).isNotNull()))
-
-
-def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame | None:
-    """Orders whose joined rows exceed one slice: (order_id, slices, spread); None without any.
+class LineCounts:
+    """Rows of each line table per order, counted on first use and written once."""
+
+    def __init__(self, tables: dict[str, DataFrame], rows_per_slice: int = ROWS_PER_SLICE):
+        self.tables = {t: tables[t] for t in LINE_TABLES}
+        self.rows_per_slice = rows_per_slice
+        self._hot: dict[tuple[str, ...], DataFrame | None] = {}
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        """(order_id, n_payments, n_reviews, n_items): one aggregation that reads only the keys."""
+        parts = [
+            df.select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in LINE_TABLES])
+            for name, df in self.tables.items()
+        ]
+        sums = [F.sum(f"n_{t}").alias(f"n_{t}") for t in LINE_TABLES]
+        return materialise(reduce(DataFrame.unionAll, parts).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(*sums))
+
+    @cached_property
+    def largest(self) -> dict[str, int]:
+        """Most lines of a single order, per table."""
+        row = self.frame.agg(*[F.max(f"n_{t}").alias(t) for t in LINE_TABLES]).first()
+        return {t: max(row[t] or 0, 1) for t in LINE_TABLES}
+
+    def hot(self, *names: str) -> DataFrame | None:
+        """Orders too large for one slice when these tables meet; None, as usual, without any."""
+        if names not in self._hot:
+            self._hot[names] = self._find(names)
+        return self._hot[names]
+
+    def _find(self, names: tuple[str, ...]) -> DataFrame | None:
+        if len(names) == 1 and "frame" not in self.__dict__ and self.tables[names[0]].count() <= self.rows_per_slice:
+            return None
+        if prod(self.largest[t] for t in names) <= self.rows_per_slice:
+            return None
+        hot = hot_orders(self.frame, list(names), self.rows_per_slice)
+        return None if hot.isEmpty() else hot
+
+
+def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int) -> DataFrame:
+    """Orders whose joined rows exceed one slice: (order_id, slices, spread).
 
     Every row stands for more than ``rows_per_slice`` joined rows, so the frame has at most
     (joined rows / rows_per_slice) rows, which is what makes broadcasting it safe.
@@ -44,8 +73,7 @@ def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int = ROWS_P
     spread = F.coalesce(*[F.when(s == largest, F.lit(t)) for s, t in zip(sizes, names)])
     slices = F.least(F.ceil(joined / rows_per_slice), largest)
     hot = counts.filter(joined > rows_per_slice)
-    hot = hot.select(KEY, slices.cast("int").alias("_slices"), spread.alias("_spread"))
-    return None if hot.isEmpty() else hot
+    return hot.select(KEY, slices.cast("int").alias("_slices"), spread.alias("_spread"))
 
 
 def slice_rows(df: DataFrame, hot: DataFrame, table: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, fan_out, hot_orders, line_counts
+from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, LineCounts, fan_out
 from ordermart.schemas import MERGED_COLUMNS
 
 # Key of each lookup table; lookup tables hold one row per key.
@@ -53,5 +53,5 @@ def merge_wide(
             out = left_join(out, sources[name], key, null_safe=True)
         return out.select(*MERGED_COLUMNS)
     tables = {"payments": sources["payments"], "reviews": sources["reviews"], "items": item_rows(sources)}
-    hot = hot_orders(line_counts(sources), LINE_TABLES, rows_per_slice)
+    hot = LineCounts(sources, rows_per_slice).hot(*LINE_TABLES)
     return fan_out(order_rows(sources), tables, hot).select(*MERGED_COLUMNS)

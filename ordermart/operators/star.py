@@ -86,7 +86,7 @@ def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFra
         "reviews": reviews,
         "items": items.select(KEY, *facts(items)),
     }
-    wide = fan_out(orders.select(KEY, "delivered", *facts(orders)), lines, tables.hot(*LINE_TABLES), "inner")
+    wide = fan_out(orders.select(KEY, "delivered", *facts(orders)), lines, tables.lines.hot(*LINE_TABLES), "inner")
     wide = wide.filter(F.col("_dated") | F.col("delivered"))
     return wide.withColumn("payment_installments", lenient_int(F.col("payment_installments"))).select(*FACT_COLUMNS)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.functions.casts import weighted
-from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, hot_orders, join_order_rows, line_counts
+from ordermart.operators.fanout import KEY, LINE_TABLES, LineCounts, join_order_rows
 from ordermart.schemas import MEAN_COLUMNS, MEDIAN_COLUMNS, SOURCE_COLUMNS
 
 # Log scale bins are about 0.1 % wide: all doubles fall into 1.5 million of them, and an outlier does
@@ -129,37 +129,30 @@ def wide_statistics(df: DataFrame, columns: list[str], approx: bool = False) ->
 
 
 def merged_statistics(
-    sources: dict[str, DataFrame],
-    columns: list[str],
-    counts: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    sources: dict[str, DataFrame], columns: list[str], lines: LineCounts | None = None
 ) -> dict[str, float]:
     """The same numbers over the merged table, without building it.
 
     A payment appears in the merged table once per review and item of its order, and likewise for
     reviews and items. So each value is taken once from its own table with that count as weight.
-    ``counts`` are the ``line_counts`` of the sources, if known already.
+    ``lines`` are the counts of the sources, if there are some already.
     """
     if not columns:
         return {}
-    counts = line_counts(sources) if counts is None else counts
-    orders = sources["orders"].select(KEY).join(counts, KEY, "left")
-    used = [t for t in LINE_TABLES if any(c in SOURCE_COLUMNS[t] for c in columns)]
-    if any(c in SOURCE_COLUMNS["products"] for c in columns) and "items" not in used:
-        used.append("items")
-    hot = {t: hot_orders(counts, [t], rows_per_slice) for t in used}
-
-    def weigh(table: str, lines: DataFrame) -> DataFrame:
+    lines = lines or LineCounts(sources)
+    orders = sources["orders"].select(KEY).join(lines.frame, KEY, "left")
+
+    def weigh(table: str, rows: DataFrame) -> DataFrame:
         a, b = [F.greatest(F.coalesce(F.col(f"n_{t}"), F.lit(1)), F.lit(1)) for t in LINE_TABLES if t != table]
-        return join_order_rows(lines, orders.select(KEY, (a * b).alias("weight")), table, hot[table])
+        return join_order_rows(rows, orders.select(KEY, (a * b).alias("weight")), table, lines.hot(table))
 
     def values(names: list[str], ranges: Ranges) -> DataFrame:
         parts = []
         for table in ("payments", "items"):
             of_table = [c for c in names if c in SOURCE_COLUMNS[table]]
             if of_table:
-                lines = keep_ranges(sources[table].select(KEY, *of_table), ranges, of_table)
-                parts.append(long_values(weigh(table, lines), of_table, "weight"))
+                rows = keep_ranges(sources[table].select(KEY, *of_table), ranges, of_table)
+                parts.append(long_values(weigh(table, rows), of_table, "weight"))
         of_products = [c for c in names if c in SOURCE_COLUMNS["products"]]
         if of_products:
             # Weights add up per product first, so the join with products is small and even.

@@ -51,18 +51,18 @@ def item_lines(
     """Cleaned items with columns of their order; ``order_columns`` may name counts of ``per_order``."""
     orders = per_order(tables, "payments", "reviews") if orders is None else orders
     orders = orders.select(KEY, *order_columns)
-    return join_order_rows(tables.items.select(KEY, *columns), orders, "items", tables.hot("items"))
+    return join_order_rows(tables.items.select(KEY, *columns), orders, "items", tables.lines.hot("items"))
 
 
 def payment_lines(tables: CleanTables, columns: list[str], order_columns: list[str]) -> DataFrame:
     orders = per_order(tables, "reviews", "items").select(KEY, *order_columns)
-    return join_order_rows(tables.payments.select(KEY, *columns), orders, "payments", tables.hot("payments"))
+    return join_order_rows(tables.payments.select(KEY, *columns), orders, "payments", tables.lines.hot("payments"))
 
 
 def review_lines(tables: CleanTables, columns: list[str], order_columns: list[str]) -> DataFrame:
     orders = per_order(tables, "payments", "items").select(KEY, "delivered", *order_columns)
     reviews = tables.reviews.select(KEY, "review_creation_date", *columns)
-    joined = join_order_rows(reviews, orders, "reviews", tables.hot("reviews"))
+    joined = join_order_rows(reviews, orders, "reviews", tables.lines.hot("reviews"))
     return joined.filter(F.col("review_creation_date").isNotNull() | F.col("delivered")).select(
         KEY, *columns, *order_columns
     )

@@ -329,6 +329,9 @@ SELECTS: dict[str, str] = {
     "chart_series": CHARTS,
     "preview_dims": " union all ".join(preview(name) for name in DIMENSIONS),
     "src_csv": "select * from src_customers",
+    "src_csv_payments": "select * from src_payments",
+    "src_csv_reviews": "select * from src_reviews",
+    "src_csv_items": "select * from src_items",
     "sink_csv_roundtrip": "select * from merged",
     "sink_append": "select order_id, order_status, cast(2 * count(*) as bigint) as copies from src_orders group by order_id, order_status",
     "sink_overwrite": "select order_id, order_status, count(*) as copies from src_orders group by order_id, order_status",

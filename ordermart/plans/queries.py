@@ -27,7 +27,7 @@ from ordermart.session import application_dir, at_once, configure, materialise
 from ordermart.sources.catalog import create_database, list_tables, publish, read_mart, read_table
 from ordermart.sources.files import read_csv, write_csv
 from ordermart.sources.jdbc import relational_rows
-from ordermart.sources.testdata import ZIP_TYPES, load_raw_sources, load_sources, read_driver_table
+from ordermart.sources.testdata import load_raw_sources, load_sources, read_driver_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -329,13 +329,20 @@ def _scratch(spark: SparkSession) -> str:
     return create_database(spark, "ordermart_scratch")
 
 
-@query("src_csv")
-def _src_csv(spark, sf_dir):
-    customers = load_raw_sources(spark, sf_dir)["customers"]
-    path = write_csv(customers, f"{application_dir(spark)}/csv/customers")
-    return read_csv(spark, path, "customers", ZIP_TYPES | {"customer_id": "int"}).withColumn(
-        "customer_id", F.col("customer_id").cast("bigint")
-    )
+for _name, _table in [
+    ("src_csv", "customers"),
+    ("src_csv_payments", "payments"),
+    ("src_csv_reviews", "reviews"),
+    ("src_csv_items", "items"),
+]:
+
+    @query(_name)
+    def _src_csv(spark, sf_dir, table=_table):
+        """A source table written as CSV and read with its declared types; the ids are numeric here."""
+        raw = load_raw_sources(spark, sf_dir)[table]
+        path = write_csv(raw, f"{application_dir(spark)}/csv/{table}")
+        ids = {c: F.col(c).cast("bigint") for c, t in raw.dtypes if t == "bigint"}
+        return read_csv(spark, path, table).withColumns(ids)
 
 
 @query("sink_csv_roundtrip")

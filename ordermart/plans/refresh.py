@@ -36,7 +36,7 @@ def stage(
     need one join or none. Items keep the product and seller columns that results group by.
     """
     tables = clean_tables(sources, columns)
-    large = {name for name in LINE_TABLES if tables.hot(name) is not None}
+    large = {name for name in LINE_TABLES if tables.lines.hot(name) is not None}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         table = f"{prefix}_{name}"
@@ -55,7 +55,7 @@ def stage(
     lines = {"payments": tables.payments, "reviews": tables.reviews, "items": slim}
     jobs = {name: lambda name=name, df=df: write(name, df) for name, df in lines.items()}
     jobs |= {name: lambda name=name: write_lookup(name) for name in ("products", "sellers")}
-    written = replace(tables, **at_once(spark, jobs), raw={})
+    written = replace(tables, **at_once(spark, jobs))
     return replace(written, orders=write("orders", per_order(written, *LINE_TABLES)))
 
 

@@ -128,19 +128,14 @@ def test_staged_joins_need_no_exchange_by_order(spark, sources):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
-def test_large_orders_are_staged_without_buckets(spark, sources):
-    from dataclasses import replace
-
+def test_large_orders_are_staged_without_buckets(spark, sources, monkeypatch):
     from ordermart.operators.clean import clean_tables
     from ordermart.operators.marts import MARTS
     from ordermart.plans import refresh as module
 
     database = create_database(spark, "staged_hot")
-    original = module.clean_tables
-    module.clean_tables = lambda s, c=None: original(s, c, rows_per_slice=3)
-    try:
-        tables = stage(spark, sources, database, [])
-    finally:
-        module.clean_tables = original
+    monkeypatch.setattr(module, "clean_tables", lambda s, columns: clean_tables(s, columns, rows_per_slice=3))
+    tables = stage(spark, sources, database, [])
+    layout = spark.sql(f"DESCRIBE EXTENDED {database}.stage_items").collect()
+    assert not any(row["col_name"] == "Bucket Columns" for row in layout)
     same(MARTS["dm_payment_analysis"](tables), MARTS["dm_payment_analysis"](clean_tables(sources, [])))
-    assert replace(tables).rows_per_slice == 3

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ordermart.operators.aggregates import AGGREGATES
 from ordermart.operators.clean import STATISTIC_COLUMNS, clean_sources, clean_tables, clean_wide
-from ordermart.operators.fanout import LINE_TABLES, hot_orders, line_counts
+from ordermart.operators.fanout import LINE_TABLES, LineCounts
 from ordermart.operators.marts import MARTS
 from ordermart.operators.merge import merge_wide
 from ordermart.operators.star import build_star
@@ -28,9 +28,8 @@ def hot_sources(spark):
 
 
 def test_large_orders_are_found(hot_sources):
-    counts = line_counts(hot_sources)
-    assert hot_orders(counts, LINE_TABLES) is None
-    found = {r["order_id"]: r for r in hot_orders(counts, LINE_TABLES, TINY).collect()}
+    assert LineCounts(hot_sources).hot(*LINE_TABLES) is None
+    found = {r["order_id"]: r for r in LineCounts(hot_sources, TINY).hot(*LINE_TABLES).collect()}
     assert set(found) == {"big"}
     assert found["big"]["_spread"] == "items" and found["big"]["_slices"] == 60
 
@@ -55,7 +54,7 @@ def test_statistics(name, request):
     sources = request.getfixturevalue(name)
     expected = wide_statistics(merge_wide(sources), STATISTIC_COLUMNS)
     assert merged_statistics(sources, STATISTIC_COLUMNS) == expected
-    assert merged_statistics(sources, STATISTIC_COLUMNS, rows_per_slice=TINY) == expected
+    assert merged_statistics(sources, STATISTIC_COLUMNS, LineCounts(sources, TINY)) == expected
 
 
 @pytest.fixture(scope="module")
