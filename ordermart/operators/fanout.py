@@ -23,21 +23,21 @@ LINE_TABLES = ["payments", "reviews", "items"]
 
 
 class LineCounts:
-    """Rows of each line table per order, counted on first use and written once."""
+    """Rows of each table per order, counted on first use and written once."""
 
     def __init__(self, tables: dict[str, DataFrame], rows_per_slice: int = ROWS_PER_SLICE):
-        self.tables = {t: tables[t] for t in LINE_TABLES}
+        self.tables = {t: tables[t] for t in ["orders", *LINE_TABLES]}
         self.rows_per_slice = rows_per_slice
         self._hot: dict[tuple[str, ...], DataFrame | None] = {}
 
     @cached_property
     def frame(self) -> DataFrame:
-        """(order_id, n_payments, n_reviews, n_items): one aggregation that reads only the keys."""
+        """(order_id, n_orders, n_payments, n_reviews, n_items): one aggregation that reads only the keys."""
         parts = [
-            df.select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in LINE_TABLES])
+            df.select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in self.tables])
             for name, df in self.tables.items()
         ]
-        sums = [F.sum(f"n_{t}").alias(f"n_{t}") for t in LINE_TABLES]
+        sums = [F.sum(f"n_{t}").alias(f"n_{t}") for t in self.tables]
         return materialise(reduce(DataFrame.unionAll, parts).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(*sums))
 
     @cached_property

@@ -140,11 +140,12 @@ def merged_statistics(
     if not columns:
         return {}
     lines = lines or LineCounts(sources)
-    orders = sources["orders"].select(KEY).join(lines.frame, KEY, "left")
+    orders = lines.frame.filter("n_orders > 0")
 
     def weigh(table: str, rows: DataFrame) -> DataFrame:
-        a, b = [F.greatest(F.coalesce(F.col(f"n_{t}"), F.lit(1)), F.lit(1)) for t in LINE_TABLES if t != table]
-        return join_order_rows(rows, orders.select(KEY, (a * b).alias("weight")), table, lines.hot(table))
+        a, b = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in LINE_TABLES if t != table]
+        weights = orders.select(KEY, (F.col("n_orders") * a * b).alias("weight"))
+        return join_order_rows(rows, weights, table, lines.hot(table))
 
     def values(names: list[str], ranges: Ranges) -> DataFrame:
         parts = []
