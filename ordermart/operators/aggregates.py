@@ -9,7 +9,7 @@ from ordermart.functions.casts import as_double, exact_sum, weighted
 from ordermart.functions.columns import year_month
 from ordermart.operators.clean import CleanTables
 from ordermart.operators.fanout import KEY
-from ordermart.operators.weights import item_lines, per_order, review_lines
+from ordermart.operators.weights import item_lines, per_order
 
 # Decimals kept of a review score: a filled score is a mean with many.
 SCORE_SCALE = 10

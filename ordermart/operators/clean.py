@@ -18,7 +18,6 @@ from ordermart.schemas import (
     NOT_AVAILABLE,
     NOT_AVAILABLE_COLUMNS,
     RENAMES,
-    SOURCE_COLUMNS,
     UNKNOWN,
     UNKNOWN_COLUMNS,
 )

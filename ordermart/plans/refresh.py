@@ -16,7 +16,6 @@ from ordermart.schemas import DIMENSIONS
 from ordermart.session import at_once
 from ordermart.sources.catalog import create_database, publish, publish_bucketed, read_table
 
-
 # Product and seller columns that results group by.
 ITEM_COLUMNS = ["product_id", "product_category_name", "product_category_name_english", "seller_id", "seller_state"]
 
