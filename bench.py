@@ -64,6 +64,8 @@ def main() -> None:
             # The noop sink takes every row and column, unlike a count.
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best.append(time.perf_counter() - start)
+        if os.environ.get("BENCH_VERBOSE"):
+            print(name, [round(s, 3) for s in best], file=sys.stderr, flush=True)
         times[name] = round(sorted(best)[len(best) // 2], 3)
     clear_stage(spark)
     spark.stop()
