@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from ordermart.llm import exact, simhash
+from ordermart.llm import exact, rules, simhash
 
 QUERIES = {
+    "op4_quality_rules": rules.op4_quality_rules,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 ORACLE = {
+    "op4_quality_rules": rules.ORACLE,
     "op10_exact_dedup": exact.ORACLE,
 }
