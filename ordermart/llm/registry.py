@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from ordermart.llm import exact, rules, simhash
+from ordermart.llm import exact, pii, rules, simhash, urls
 
 QUERIES = {
+    "op2_pii": pii.op2_pii,
     "op4_quality_rules": rules.op4_quality_rules,
+    "op7_url_filters": urls.op7_url_filters,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
