@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ordermart.llm import exact, pii, rules, simhash, urls
+from ordermart.llm import exact, packing, pii, rules, simhash, urls
 
 QUERIES = {
     "op2_pii": pii.op2_pii,
+    "op3_packing": packing.op3_packing,
     "op4_quality_rules": rules.op4_quality_rules,
     "op7_url_filters": urls.op7_url_filters,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
