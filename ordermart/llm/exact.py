@@ -6,7 +6,7 @@ its texts are equal, byte by byte, and no digest takes part. Rounds take wider d
 so the number of rounds follows the longest text that still has a twin, not the number of its bytes.
 
 Scale: a round counts with a map-side combine, so a group that holds a third of all rows sends one row per task. The
-rows get their group back through a join whose large side adaptive execution splits. Whole texts move once, in the
+rows get their group back through a sort-merge join whose large side adaptive execution splits. Whole texts move once, in the
 join that follows the first digit; after it only rows that share length and first bytes with another row are left.
 
 Defined results: null text counts as empty and all empty texts are one group. A null id loses against any id. Rows
@@ -40,7 +40,7 @@ def _split(scratch: Scratch, rows: DataFrame, digits=DIGITS) -> list[DataFrame]:
     text = F.col("key").cast("binary")
     groups = scratch.write(_grouped(rows, "n", "head"), "groups")
     left = scratch.write(
-        rows.join(groups, ["n", "head"]).select(
+        rows.join(groups.hint("merge"), ["n", "head"]).select(
             "rid", "id", "n", "keep", "size", F.expr(f"substring(cast(key as binary), {digits[0] + 1})").alias("rest")
         )
         if groups.head(1)
@@ -58,7 +58,7 @@ def _split(scratch: Scratch, rows: DataFrame, digits=DIGITS) -> list[DataFrame]:
         )
         groups = _grouped(step.drop("rest"), "parent", "digit")
         left = scratch.write(
-            step.join(groups, ["parent", "digit"]).select(
+            step.join(groups.hint("merge"), ["parent", "digit"]).select(
                 "rid", "id", "n", "keep", "size", F.expr(f"substring(rest, {width + 1})").alias("rest")
             ),
             "left",
