@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from ordermart.llm import exact, packing, pii, rules, simhash, urls
+from ordermart.llm import classifier, exact, langid, mixing, packing, pii, rules, simhash, urls
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_pii": pii.op2_pii,
     "op3_packing": packing.op3_packing,
     "op4_quality_rules": rules.op4_quality_rules,
+    "op5_quality_classifier": classifier.op5_quality_classifier,
+    "op6_language_id": langid.op6_language_id,
     "op7_url_filters": urls.op7_url_filters,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_exact_dedup": exact.op10_exact_dedup,
