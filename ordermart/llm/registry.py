@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordermart.llm import classifier, exact, langid, mixing, packing, pii, rules, simhash, urls
+from ordermart.llm import classifier, exact, langid, lm, mixing, packing, pii, rules, simhash, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality_classifier": classifier.op5_quality_classifier,
     "op6_language_id": langid.op6_language_id,
     "op7_url_filters": urls.op7_url_filters,
+    "op8_lm_scoring": lm.op8_lm_scoring,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
