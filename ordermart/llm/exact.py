@@ -37,16 +37,12 @@ def _grouped(df: DataFrame, *key: str) -> DataFrame:
 
 def _split(scratch: Scratch, rows: DataFrame, digits=DIGITS) -> list[DataFrame]:
     """(rid, keep, size) of every row that has a twin. rows: rid, id, n, head (the first digit), key (the text)."""
-    text = F.col("key").cast("binary")
     groups = scratch.write(_grouped(rows, "n", "head"), "groups")
-    left = scratch.write(
-        rows.join(groups.hint("merge"), ["n", "head"]).select(
-            "rid", "id", "n", "keep", "size", F.expr(f"substring(cast(key as binary), {digits[0] + 1})").alias("rest")
-        )
-        if groups.head(1)
-        else rows.limit(0).selectExpr("rid", "id", "n", "null as keep", "0L as size", "cast(null as binary) as rest"),
-        "left",
-    )
+    shared = rows.join(groups.hint("merge"), ["n", "head"]) if groups.head(1) else None
+    if shared is None:  # nothing has a twin: spare the shuffle of all texts
+        shared = rows.where("false").select("*", *[F.lit(None).cast(groups.schema[c].dataType).alias(c) for c in ("keep", "size")])
+    rest = F.expr(f"substring(cast(key as binary), {digits[0] + 1})").alias("rest")
+    left = scratch.write(shared.select("rid", "id", "n", "keep", "size", rest), "left")
     found, done = [], digits[0]
     for width in chain(digits[1:], repeat(digits[-1])):
         found.append(left.where(F.col("n") <= done).select("rid", "keep", "size"))

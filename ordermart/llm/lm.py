@@ -449,8 +449,9 @@ def score_block(levels: Levels, block: Tokens) -> tuple[np.ndarray, ...]:
 
 
 def score_texts(docs: DataFrame, trie: Trie, text: str) -> DataFrame:
-    """``docs`` without its text, with n_tokens, n_known, train_tokens, base_score and score."""
-    rest = [c for c in docs.columns if c != text]
+    """``docs`` without its text, with n_tokens, n_known, train_tokens, base_score and score (in place of columns so named)."""
+    made = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    rest = [c for c in docs.columns if c != text and c not in made]
     types = [(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")] + [(c, T.DoubleType()) for c in ("base_score", "score")]
     schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(c, t) for c, t in types])
 

@@ -135,7 +135,7 @@ RULES = (
     Rule("capitals", lambda: 10 * _capitals() > 4 * _letters(), _scan(2)),
     Rule("wordless", lambda: 10 * _wordless() > 3 * n_words(), _scan(2)),
     Rule("repeated_lines", lambda: 10 * n_dup_lines() > 5 * F.size(_lines()), _scan(3)),
-    Rule("word_length", lambda: ~(word_chars() / n_words()).between(2.0, 14.0), lambda: F.size("words") * VISIT),
+    Rule("word_length", lambda: ~word_chars().between(2 * n_words(), 14 * n_words()), lambda: F.size("words") * VISIT),
 )
 
 
@@ -202,27 +202,27 @@ def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH t AS (
-  SELECT doc_id, coalesce(text, '') AS t,
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), lines AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM t)
-  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM t)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
 ), windows AS (
-  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 3)
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 3)
 ), again AS (
-  SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos
-  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+  SELECT rid, unnest([i, i + 1, i + 2]) AS pos
+  FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1
 ), repeated AS (
-  SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM again GROUP BY doc_id
+  SELECT rid, count(DISTINCT pos) AS n_repeat_words FROM again GROUP BY rid
 ), base AS (
   SELECT t.doc_id, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
     coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, w
-  FROM t LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+  FROM t LEFT JOIN lines USING (rid) LEFT JOIN repeated USING (rid)
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     10 * n_symbols > n_words
@@ -230,7 +230,7 @@ WITH t AS (
     OR 10 * length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) > 4 * length(regexp_replace(t, '[^\p{L}]+', '', 'g'))
     OR 10 * len(list_filter(w, lambda x: NOT regexp_matches(x, '[\p{L}\p{N}]'))) > 3 * n_words
     OR 10 * n_dup_lines > 5 * n_lines
-    OR NOT word_chars / n_words BETWEEN 2.0 AND 14.0 AS rejected
+    OR NOT word_chars BETWEEN 2 * n_words AND 14 * n_words AS rejected
   FROM base
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
