@@ -36,42 +36,42 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _left(pattern: str) -> Column:
+def _left(t: Column, pattern: str) -> Column:
     """How many characters of the text stay when the runs that match are removed."""
-    return F.length(F.regexp_replace("t", pattern, "")).cast("long")
+    return F.length(F.regexp_replace(t, pattern, "")).cast("long")
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
 
 
-def n_words() -> Column:
-    return F.size("words").cast("long")
+def n_words(w: Column) -> Column:
+    return F.size(w).cast("long")
 
 
-def word_chars() -> Column:
-    return F.length(F.array_join("words", "")).cast("long")
+def word_chars(w: Column) -> Column:
+    return F.length(F.array_join(w, "")).cast("long")
 
 
-def n_symbols() -> Column:
-    return _left("[^#*$%&|<>]+")
+def n_symbols(t: Column) -> Column:
+    return _left(t, "[^#*$%&|<>]+")
 
 
-def _lines() -> Column:
-    return F.filter(F.split("t", "\n"), lambda line: line.rlike(WORD))
+def _lines(t: Column) -> Column:
+    return F.filter(F.split(t, "\n"), lambda line: line.rlike(WORD))
 
 
-def n_dup_lines() -> Column:
-    return _let(_lines(), lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+def n_dup_lines(t: Column) -> Column:
+    return _let(_lines(t), lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def n_repeat_words() -> Column:
+def n_repeat_words(w: Column) -> Column:
     """Words inside three-word windows that occur twice or more in the text."""
-    n = F.size("words")
+    n = F.size(w)
     windows = F.arrays_zip(
-        F.col("words").alias("a"),
-        F.slice("words", F.lit(2), n).alias("b"),
-        F.slice("words", F.lit(3), n).alias("c"),
+        w.alias("a"),
+        F.slice(w, F.lit(2), n).alias("b"),
+        F.slice(w, F.lit(3), n).alias("c"),
         F.sequence(F.lit(1), n).alias("at"),
     )
 
@@ -90,55 +90,53 @@ def n_repeat_words() -> Column:
     return F.when(n < 4, F.lit(0)).otherwise(found).cast("long")
 
 
-def _letters() -> Column:
-    return _left("[^\\p{L}]+")
+def _letters(t: Column) -> Column:
+    return _left(t, "[^\\p{L}]+")
 
 
-def _capitals() -> Column:
-    return _left("[^\\p{Lu}]+")
+def _capitals(t: Column) -> Column:
+    return _left(t, "[^\\p{Lu}]+")
 
 
-def _shouts() -> Column:
-    return _left("[^!?]+")
+def _shouts(t: Column) -> Column:
+    return _left(t, "[^!?]+")
 
 
-def _wordless() -> Column:
+def _wordless(t: Column) -> Column:
     """Words without a letter or digit."""
     pattern = f"(?<![^{SPACE}])[^\\p{{L}}\\p{{N}}{SPACE}]+(?![^{SPACE}])"
-    return F.size(F.regexp_extract_all("t", F.lit(f"({pattern})"), F.lit(1)))
+    return F.size(F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1)))
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` and ``cost`` make columns over the text ``t`` and its ``words``."""
+    """``fails`` and ``cost`` make columns from the text and its words."""
 
     name: str
-    fails: Callable[[], Column]
-    cost: Callable[[], Column]
+    fails: Callable[[Column, Column], Column]
+    cost: Callable[[Column, Column], Column]
 
 
-def _scan(passes: float = 1.0) -> Callable[[], Column]:
-    return lambda: F.length("t") * SCAN * passes
+def _scan(passes: float = 1.0) -> Callable[[Column, Column], Column]:
+    return lambda t, w: F.length(t) * SCAN * passes
 
 
-def _sorting() -> Column:
-    return F.size("words") * F.log2(F.size("words") + 2.0) * SORT
+def _sorting(t: Column, w: Column) -> Column:
+    return F.size(w) * F.log2(F.size(w) + 2.0) * SORT
 
 
 BASE = (
-    Rule("few_words", lambda: n_words() < LEAST_WORDS, lambda: F.lit(1.0)),
-    Rule("repeated_words", lambda: 100 * n_repeat_words() > MOST_REPEATED * n_words(), _sorting),
+    Rule("few_words", lambda t, w: n_words(w) < LEAST_WORDS, lambda t, w: F.lit(1.0)),
+    Rule("repeated_words", lambda t, w: 100 * n_repeat_words(w) > MOST_REPEATED * n_words(w), _sorting),
 )
 RULES = (
-    Rule("symbols", lambda: 10 * n_symbols() > n_words(), _scan()),
-    Rule("shouting", lambda: 10 * _shouts() > 4 * n_words(), _scan()),
-    Rule("capitals", lambda: 10 * _capitals() > 4 * _letters(), _scan(2)),
-    Rule("wordless", lambda: 10 * _wordless() > 3 * n_words(), _scan(2)),
-    Rule("repeated_lines", lambda: 10 * n_dup_lines() > 5 * F.size(_lines()), _scan(3)),
-    Rule("word_length", lambda: ~word_chars().between(2 * n_words(), 14 * n_words()), lambda: F.size("words") * VISIT),
+    Rule("symbols", lambda t, w: 10 * n_symbols(t) > n_words(w), _scan()),
+    Rule("shouting", lambda t, w: 10 * _shouts(t) > 4 * n_words(w), _scan()),
+    Rule("capitals", lambda t, w: 10 * _capitals(t) > 4 * _letters(t), _scan(2)),
+    Rule("wordless", lambda t, w: 10 * _wordless(t) > 3 * n_words(w), _scan(2)),
+    Rule("repeated_lines", lambda t, w: 10 * n_dup_lines(t) > 5 * F.size(_lines(t)), _scan(3)),
+    Rule("word_length", lambda t, w: ~word_chars(w).between(2 * n_words(w), 14 * n_words(w)), lambda t, w: F.size(w) * VISIT),
 )
-
-
 def with_words(docs: DataFrame, text: str) -> DataFrame:
     """(doc, t, words): the caller's row, its text without null, and the words."""
     rows = docs.select(whole_row(docs).alias("doc"), F.coalesce(docs[text], F.lit("")).alias("t"))
@@ -151,25 +149,27 @@ def ordered(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text", sample
     sample = with_words(docs.sample(min(1.0, sample_rows / max(total, 1)), seed=7).select(text), text)
     figures = []
     for k, rule in enumerate(rules):
-        figures += [F.avg(rule.fails().cast("int")).alias(f"reject{k}"), F.avg(rule.cost()).alias(f"cost{k}")]
+        figures += [F.avg(rule.fails(F.col("t"), F.col("words")).cast("int")).alias(f"reject{k}"), F.avg(rule.cost(F.col("t"), F.col("words"))).alias(f"cost{k}")]
     row = sample.agg(*figures).head()
     gain = [(row[f"reject{k}"] or 0.0) / (row[f"cost{k}"] or 1.0) for k in range(len(rules))]
     return [rules[k] for k in sorted(range(len(rules)), key=lambda k: -gain[k])]
 
 
-def cascade(rules: list[Rule]) -> Column:
+def cascade(rules: list[Rule], t: Column, w: Column) -> Column:
     """Name of the first rule that fails, null if none does; later rules are not evaluated."""
-    verdict = F.when(rules[0].fails(), F.lit(rules[0].name))
+    verdict = F.when(rules[0].fails(t, w), F.lit(rules[0].name))
     for rule in rules[1:]:
-        verdict = verdict.when(rule.fails(), F.lit(rule.name))
+        verdict = verdict.when(rule.fails(t, w), F.lit(rule.name))
     return verdict
 
 
 def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows that fail a rule, all columns as they were."""
     rules = ordered(docs, BASE + RULES, text)
-    rows = with_words(docs, text)
-    return rows.where(cascade(rules).isNull()).select(*unpacked(rows))
+    rows = docs.select(whole_row(docs).alias("doc"), F.coalesce(docs[text], F.lit("")).alias("t"))
+    # The words are bound inside the predicate: as a column they would be copied into every rule.
+    failed = _let(words_of(F.col("t")), lambda w: cascade(rules, F.col("t"), w))
+    return rows.where(failed.isNull()).select(*unpacked(rows))
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -179,11 +179,11 @@ def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"),
         "t",
         "words",
-        n_words().alias("n_words"),
-        word_chars().alias("word_chars"),
-        n_symbols().alias("n_symbols"),
-        n_dup_lines().alias("n_dup_lines"),
-        n_repeat_words().alias("n_repeat_words"),
+        n_words(F.col("words")).alias("n_words"),
+        word_chars(F.col("words")).alias("word_chars"),
+        n_symbols(F.col("t")).alias("n_symbols"),
+        n_dup_lines(F.col("t")).alias("n_dup_lines"),
+        n_repeat_words(F.col("words")).alias("n_repeat_words"),
     )
     # The counts already made stand in for the rules' own; the branches stay lazy.
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
@@ -196,7 +196,7 @@ def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(rules).isNull()).alias("kept"),
+        F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(rules, F.col("t"), F.col("words")).isNull()).alias("kept"),
     )
 
 

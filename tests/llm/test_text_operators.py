@@ -19,7 +19,7 @@ def test_rule_order_never_changes_the_verdict(spark, sf_dir, edge_docs, no_docs)
     every = list(rules.BASE + rules.RULES)
     for order in (every, every[::-1]):
         rows = rules.with_words(docs, "text")
-        assert rows.where(rules.cascade(order).isNull()).count() == rules.quality_rules(docs).count()
+        assert rows.where(rules.cascade(order, rows['t'], rows['words']).isNull()).count() == rules.quality_rules(docs).count()
     kept = rules.quality_rules(edge_docs)
     assert kept.schema == edge_docs.schema
     assert sorted(r["n_chars"] for r in kept.collect()) == [1, 1, 2, 3, 5]
