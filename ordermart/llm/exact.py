@@ -63,12 +63,14 @@ def _split(scratch: Scratch, rows: DataFrame, digits=DIGITS) -> list[DataFrame]:
     return found
 
 
-def exact_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **more: Column) -> DataFrame:
+def exact_groups(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None, **more: Column
+) -> DataFrame:
     """Every row of ``docs`` as struct ``doc``, with its group: keep_id, group_size, kept.
 
     ``more``: further columns computed per row while the table is read once; they may use ``squeezed``.
     """
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     key = squeezed(docs[text])
     size = F.octet_length(key)
     head = F.substring(key.cast("binary"), 1, DIGITS[0])
@@ -88,9 +90,9 @@ def exact_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **
     )
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    groups = exact_groups(docs, text, id_col)
+    groups = exact_groups(docs, text, id_col, scratch)
     return groups.where("kept").select(*unpacked(groups))
 
 

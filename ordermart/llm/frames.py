@@ -70,8 +70,15 @@ class Scratch:
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that no later step reads."""
         for df in frames:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(df.scratch_path)
+
+    def clear(self) -> None:
+        """Delete all tables; frames that read them end with them."""
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def numbered(docs: DataFrame, scratch: Scratch, **more: Column) -> DataFrame:

@@ -166,10 +166,10 @@ def draws(df: DataFrame, planned: DataFrame, source: Column, key: Column) -> Dat
 
 def mixed(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str = "source",
-    entropy: float = ENTROPY, repeats: float = REPEATS, budget_share: float = 1.0,
+    entropy: float = ENTROPY, repeats: float = REPEATS, budget_share: float = 1.0, scratch: Scratch | None = None,
 ) -> DataFrame:
     """``docs`` as drawn: rows repeat as often as they are drawn, all columns as they were."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     rows = scratch.write(_measured(docs, text, id_col, source), "tokens")
     planned = plan(rows, scratch, entropy, repeats, budget_share)
     packed = docs.select(whole_row(docs).alias("doc"))

@@ -208,9 +208,11 @@ def near_groups(prints: DataFrame, scratch: Scratch, block: int = BLOCK) -> Data
     return scratch.write(found.select(F.col("node").alias("fingerprint"), "root"), "roots")
 
 
-def simhash_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3) -> DataFrame:
+def simhash_dedup(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3, scratch: Scratch | None = None
+) -> DataFrame:
     """``docs`` with one row of each group of near duplicates (smallest id), all columns as they were."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     rows = numbered(docs, scratch)
     texts = rows.select("rid", F.col("doc")[id_col].alias("id"), F.col("doc")[text].alias("text"))
     marked = scratch.write(with_fingerprint(texts, "text", shingle), "prints")
@@ -222,7 +224,8 @@ def simhash_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
         .agg(F.min("first").alias("first"))
         .select(F.col("first.rid").alias("rid"))
     )
-    return rows.join(stays, "rid", "left_semi").select(*unpacked(rows))
+    # Always by sort and merge: as large a share of the rows may go as may stay.
+    return rows.join(stays.hint("merge"), "rid", "left_semi").select(*unpacked(rows))
 
 
 def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
