@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INT_MAX = 2**31 - 1
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+
+# Decimal places of amounts; a value with more of them is an error, never cut.
+MONEY_SCALE = 4
+# Places that hold any double between 1 and 10 exactly as it is written: scores, given or filled with a mean.
+SCORE_SCALE = 16
+# Places for means of amounts: exact for doubles from a thousandth up.
+MEAN_SCALE = 20
 
 
 def lenient_timestamp(c: Column) -> Column:
@@ -17,7 +24,7 @@ def lenient_int(c: Column) -> Column:
     """Text that is no number becomes null; a number that is no 32-bit integer is an error."""
     number = c.try_cast("double")
     number = F.when(~F.isnan(number), number)
-    fits = (number % 1 == 0) & (F.abs(number) <= INT_MAX)
+    fits = (number % 1 == 0) & number.between(INT_MIN, INT_MAX)
     problem = F.concat(F.lit("not a 32-bit integer: "), c.cast("string"))
     return F.when(number.isNull() | fits, number.cast("int")).otherwise(F.raise_error(problem).cast("int"))
 
@@ -38,14 +45,23 @@ CASTS = {
 }
 
 
-def exact_sum(c: Column, scale: int = 4) -> Column:
+def exact(c: Column, digits: int, scale: int) -> Column:
+    """The column as decimal, digit for digit; a value that does not fit is an error that names the column."""
+    number = c.try_cast(f"decimal({digits},{scale})")
+    name = str(c).removeprefix("Column<'").removesuffix("'>")
+    problem = F.concat(F.lit(f"{name}: not a number of {digits - scale} digits and {scale} decimal places: "), c.cast("string"))
+    fits = c.isNull() | F.coalesce(number.cast("double") == c.cast("double"), F.lit(False))
+    return F.when(fits, number).otherwise(F.raise_error(problem).cast(f"decimal({digits},{scale})"))
+
+
+def exact_sum(c: Column, scale: int = MONEY_SCALE) -> Column:
     """Sum in decimal arithmetic, so the result does not depend on the order of the rows."""
-    return F.sum(c.cast(f"decimal(18,{scale})"))
+    return F.sum(exact(c, 28, scale))
 
 
-def weighted(c: Column, weight: Column, scale: int = 4) -> Column:
+def weighted(c: Column, weight: Column, scale: int = MONEY_SCALE) -> Column:
     """A sum times a row count. 22 and 15 digits give a product of 38, so no digit is rounded away."""
-    return c.cast(f"decimal(22,{scale})") * weight.cast("decimal(15,0)")
+    return exact(c, 22, scale) * weight.cast("decimal(15,0)")
 
 
 def as_double(c: Column) -> Column:

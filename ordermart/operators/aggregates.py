@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import as_double, exact_sum, weighted
+from ordermart.functions.casts import SCORE_SCALE, as_double, exact_sum, weighted
 from ordermart.functions.columns import year_month
 from ordermart.operators.clean import CleanTables
 from ordermart.operators.fanout import KEY
 from ordermart.operators.weights import item_lines, per_order
 
-# Decimals kept of a review score: a filled score is a mean with many.
-SCORE_SCALE = 10
-
 
 def money(c: str):
     return as_double(exact_sum(F.col(c)))
@@ -23,33 +20,40 @@ def money(c: str):
 
 
 def star_sales_by_category(star: dict[str, DataFrame]) -> DataFrame:
-    joined = star["fact_orders"].join(star["dim_products"], "product_key")
-    return joined.groupBy(F.col("product_category_name_english").alias("category")).agg(
-        money("price").alias("total_sales"),
-        money("freight_value").alias("total_freight"),
-        F.count("order_id").alias("total_orders"),
+    sales = _per_key(star, "product_key", exact_sum(F.col("freight_value")).alias("freight"))
+    return (
+        sales.join(star["dim_products"], "product_key")
+        .groupBy(F.col("product_category_name_english").alias("category"))
+        .agg(
+            as_double(F.sum("sales")).alias("total_sales"),
+            as_double(F.sum("freight")).alias("total_freight"),
+            F.sum("orders").alias("total_orders"),
+        )
     )
 
 
-def star_sales_by_customer_state(star: dict[str, DataFrame], approx: bool = False) -> DataFrame:
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+def star_sales_by_customer_state(star: dict[str, DataFrame]) -> DataFrame:
     return (
-        star["fact_orders"]
+        _per_key(star, "customer_key")
         .join(star["dim_customers"], "customer_key")
         .groupBy("customer_state")
         .agg(
-            money("price").alias("total_sales"),
-            distinct("customer_id").alias("unique_customers"),
-            F.count("order_id").alias("total_orders"),
+            as_double(F.sum("sales")).alias("total_sales"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.sum("orders").alias("total_orders"),
         )
     )
 
 
-def star_sales_by_seller(star: dict[str, DataFrame]) -> DataFrame:
-    # The key is unique per seller row: sums per key first make the join small and even.
-    sales = star["fact_orders"].groupBy("seller_key").agg(
-        exact_sum(F.col("price")).alias("sales"), F.count("order_id").alias("orders")
+def _per_key(star: dict[str, DataFrame], key: str, *more) -> DataFrame:
+    """Fact rows summed per surrogate key: what meets the dimension is one row per key, small and even."""
+    return star["fact_orders"].groupBy(key).agg(
+        exact_sum(F.col("price")).alias("sales"), F.count("order_id").alias("orders"), *more
     )
+
+
+def star_sales_by_seller(star: dict[str, DataFrame]) -> DataFrame:
+    sales = _per_key(star, "seller_key")
     return (
         sales.join(star["dim_sellers"], "seller_key")
         .groupBy("seller_id", "seller_state")

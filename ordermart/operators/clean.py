@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.operators.fanout import LINE_TABLES, ROWS_PER_SLICE, LineCounts, fan_out
-from ordermart.operators.merge import LOOKUPS, left_join, order_rows
+from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, LineCounts, fan_out
+from ordermart.operators.merge import LOOKUPS, distinct_names, left_join, order_rows
 from ordermart.operators.statistics import merged_statistics, wide_statistics
 from ordermart.schemas import (
     CLEAN_COLUMNS,
@@ -18,11 +18,15 @@ from ordermart.schemas import (
     NOT_AVAILABLE,
     NOT_AVAILABLE_COLUMNS,
     RENAMES,
+    SOURCE_COLUMNS,
     UNKNOWN,
     UNKNOWN_COLUMNS,
 )
+from ordermart.session import at_once
 
 STATISTIC_COLUMNS = MEAN_COLUMNS + MEDIAN_COLUMNS
+# Rows looked at first when it is only asked whether a column has a value; the full test follows if they do not tell.
+PROBE = 1000
 
 
 def fill_constants(df: DataFrame) -> DataFrame:
@@ -75,9 +79,9 @@ def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return df.filter(reduce(Column.__and__, checks))
 
 
-def clean_wide(df: DataFrame, approx: bool = False) -> DataFrame:
+def clean_wide(df: DataFrame) -> DataFrame:
     """All rules on an already merged table. Statistics come from ``df``, before any row is dropped."""
-    numbers = wide_statistics(df, [c for c in STATISTIC_COLUMNS if c in df.columns], approx)
+    numbers = wide_statistics(df, [c for c in STATISTIC_COLUMNS if c in df.columns])
     filled = fill_statistics(fill_constants(df), numbers)
     # One projection: every expression sees the columns as they were.
     dated = filled.withColumns({"review_creation_date": review_date(), **timestamp_chain()})
@@ -103,19 +107,62 @@ class CleanTables:
     lines: LineCounts
 
 
+def have_values(sources: dict[str, DataFrame], columns: list[str]) -> bool:
+    """Whether each of these filled columns has a value somewhere in the merged table.
+
+    A value counts if its line belongs to an order. A few lines with values in all the columns
+    usually settle it; if none of them does, the whole tables are asked.
+    """
+    orders = sources["orders"].select(KEY)
+
+    def present(df: DataFrame, names: list[str]) -> DataFrame:
+        return df.filter(reduce(Column.__and__, [_present(df, c).isNotNull() for c in names]))
+
+    def known(rows: DataFrame) -> bool:
+        keys = [r[KEY] for r in rows.select(KEY).filter(F.col(KEY).isNotNull()).limit(PROBE).collect()]
+        return bool(keys) and not orders.filter(F.col(KEY).isin(keys)).limit(1).isEmpty()
+
+    def lines_of(table: str, names: list[str]) -> bool:
+        if known(present(sources[table], names)):
+            return True
+        rows = sources[table].join(orders, KEY, "left_semi")
+        return _all_occur(rows, names)
+
+    def products(names: list[str]) -> bool:
+        ids = [r[0] for r in present(sources["products"], names).select("product_id").limit(PROBE).collect() if r[0] is not None]
+        if ids and known(sources["items"].filter(F.col("product_id").isin(ids))):
+            return True
+        used = sources["items"].join(orders, KEY, "left_semi").select("product_id")
+        return _all_occur(sources["products"].join(used, "product_id", "left_semi"), names)
+
+    asked = {}
+    for table in (*LINE_TABLES, "products"):
+        names = [c for c in columns if c in SOURCE_COLUMNS[table] and c in sources[table].columns]
+        if names:
+            asked[table] = (lambda names=names: products(names)) if table == "products" else (lambda t=table, names=names: lines_of(t, names))
+    return all(at_once(sources["orders"].sparkSession, asked).values())
+
+
+def _all_occur(rows: DataFrame, names: list[str]) -> bool:
+    found = rows.agg(*[F.coalesce(F.bool_or(_present(rows, c).isNotNull()), F.lit(False)).alias(c) for c in names]).first()
+    return all(found)
+
+
 def clean_tables(
     sources: dict[str, DataFrame], columns: list[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE
 ) -> CleanTables:
     """All rules applied table by table.
 
     A merged row survives if its order, payment, review and item each pass, so each table is filled
-    and filtered on its own. ``columns`` names the filled numeric columns the caller reads; others
-    are left out, which saves their statistics. That relies on each of those having at least one
-    value somewhere; with all columns asked for, an empty one drops every row, as it should.
+    and filtered on its own. ``columns`` names the filled numeric columns the caller reads; of the
+    others it is only asked whether they have any value, as one without drops every row.
     """
+    sources = distinct_names(sources)
     wanted = [c for c in STATISTIC_COLUMNS if columns is None or c in columns]
     lines = LineCounts(sources, rows_per_slice)
     numbers = merged_statistics(sources, wanted, lines)
+    if not have_values(sources, [c for c in STATISTIC_COLUMNS if c not in wanted]):
+        sources = sources | {"orders": sources["orders"].filter(F.lit(False))}
 
     def cleaned(df: DataFrame, allow: tuple[str, ...] = ()) -> DataFrame:
         df = df.drop(*[c for c in STATISTIC_COLUMNS if c not in wanted])
@@ -144,7 +191,9 @@ def join_clean(tables: CleanTables) -> DataFrame:
     """The cleaned wide table from the cleaned tables: only inner joins on the order."""
     wide = fan_out(tables.orders, {t: getattr(tables, t) for t in LINE_TABLES}, tables.lines.hot(*LINE_TABLES), "inner")
     dated = F.coalesce(F.col("review_creation_date"), F.col("delivered_at"))
-    return wide.withColumn("review_creation_date", dated).filter(dated.isNotNull()).select(*CLEAN_COLUMNS)
+    extra = [c for c in wide.columns if c not in (*CLEAN_COLUMNS, "delivered", "delivered_at")]
+    declared = [c for c in CLEAN_COLUMNS if c in wide.columns]
+    return wide.withColumn("review_creation_date", dated).filter(dated.isNotNull()).select(*declared, *extra)
 
 
 def clean_sources(sources: dict[str, DataFrame], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

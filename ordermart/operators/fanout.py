@@ -3,8 +3,9 @@
 The joins on ``order_id`` run in one stage, where adaptive execution cannot split a skewed key
 (and never on the optional side of an outer join). So orders that would give one task too many
 rows are looked for first. Usually there are none and the joins stay plain. Where there are, such
-an order is cut into slices: its largest table is spread over the slices and the others are
-repeated for each slice. All other orders have the single slice 0.
+an order is cut into slices: its largest table is spread over them, and if that is not enough the
+next ones too, which gives a grid of slices; each row is repeated only for the slices of the other
+tables. All other orders have the single slice 0.
 """
 
 from __future__ import annotations
@@ -15,28 +16,69 @@ from math import prod
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.session import materialise
+from ordermart.session import at_once, materialise
 
+# Joined rows of one order that a single task takes. Orders beyond it are sliced: same rows, another plan.
 ROWS_PER_SLICE = 4_000_000
+# Large orders that are broadcast; with more of them the slices are looked up by a shuffle join.
+BROADCAST_ORDERS = 1_000_000
 KEY = "order_id"
 LINE_TABLES = ["payments", "reviews", "items"]
+# Lookup tables by the table that meets them, and their key.
+LOOKUP_OF = {
+    "orders": [("customers", "customer_id")],
+    "items": [("products", "product_id"), ("sellers", "seller_id")],
+    "products": [("translation", "product_category_name")],
+}
+
+
+def copies_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """Keys that a lookup table holds more than once: (key, _copies)."""
+    return lookup.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_copies")).filter("_copies > 1")
+
+
+def with_copies(df: DataFrame, repeated: list[tuple[str, DataFrame]], name: str = "_rows") -> DataFrame:
+    """Add the number of rows that joining the lookups makes of each row."""
+    df = df.withColumn(name, F.lit(1).cast("bigint"))
+    for key, copies in repeated:
+        df = df.join(copies, key, "left").withColumn(name, F.col(name) * F.coalesce("_copies", F.lit(1))).drop("_copies")
+    return df
 
 
 class LineCounts:
-    """Rows of each table per order, counted on first use and written once."""
+    """Rows of each table per order as they stand in the merged table, counted on first use and written once.
+
+    A lookup table that holds a key twice multiplies the rows that meet it, as the merge does.
+    """
 
     def __init__(self, tables: dict[str, DataFrame], rows_per_slice: int = ROWS_PER_SLICE):
+        self.sources = tables
         self.tables = {t: tables[t] for t in ["orders", *LINE_TABLES]}
         self.rows_per_slice = rows_per_slice
         self._hot: dict[tuple[str, ...], DataFrame | None] = {}
 
+    @cached_property
+    def repeated(self) -> dict[str, list[tuple[str, DataFrame]]]:
+        """Per table the lookups with repeated keys: (key, (key, _copies)). Usually none."""
+        lookups = {(t, n): (k, self.sources[n]) for t, pairs in LOOKUP_OF.items() for n, k in pairs if n in self.sources}
+        spark = self.tables["orders"].sparkSession
+        found = at_once(spark, {n: lambda k=k, df=df: not copies_per_key(df, k).isEmpty() for n, (k, df) in lookups.items()})
+        out = {t: [(lookups[t, n][0], copies_per_key(lookups[t, n][1], lookups[t, n][0])) for t2, n in lookups if t2 == t and found[t, n]] for t in LOOKUP_OF}
+        if out["products"]:
+            # Copies of a product's translation count as copies of the product.
+            products = with_copies(self.sources["products"].select("product_id", "product_category_name"), out["products"])
+            copies = products.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.sum("_rows").alias("_copies"))
+            out["items"] = [("product_id", copies.filter("_copies > 1")), *[(k, c) for k, c in out["items"] if k != "product_id"]]
+        return out
+
     @cached_property
     def frame(self) -> DataFrame:
         """(order_id, n_orders, n_payments, n_reviews, n_items): one aggregation that reads only the keys."""
-        parts = [
-            df.select(KEY, *[F.lit(int(name == other)).cast("bigint").alias(f"n_{other}") for other in self.tables])
-            for name, df in self.tables.items()
-        ]
+        parts = []
+        for name, df in self.tables.items():
+            repeated = self.repeated.get(name, [])
+            rows = with_copies(df.select(KEY, *[k for k, _ in repeated]), repeated)
+            parts.append(rows.select(KEY, *[(F.col("_rows") if name == other else F.lit(0).cast("bigint")).alias(f"n_{other}") for other in self.tables]))
         sums = [F.sum(f"n_{t}").alias(f"n_{t}") for t in self.tables]
         return materialise(reduce(DataFrame.unionAll, parts).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(*sums))
 
@@ -57,55 +99,74 @@ class LineCounts:
             return None
         if prod(self.largest[t] for t in names) <= self.rows_per_slice:
             return None
-        hot = hot_orders(self.frame, list(names), self.rows_per_slice)
-        return None if hot.isEmpty() else hot
+        hot = materialise(hot_orders(self.frame, list(names), self.rows_per_slice))
+        n = hot.count()
+        if not n:
+            return None
+        return F.broadcast(hot) if n <= BROADCAST_ORDERS else hot
 
 
 def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int) -> DataFrame:
-    """Orders whose joined rows exceed one slice: (order_id, slices, spread).
+    """Orders whose joined rows exceed one slice: (order_id, _s_payments, _s_reviews, _s_items).
 
-    Every row stands for more than ``rows_per_slice`` joined rows, so the frame has at most
-    (joined rows / rows_per_slice) rows, which is what makes broadcasting it safe.
+    The numbers say over how many slices each table is spread; their product is the size of the
+    grid. The largest table goes first, and as far as its rows reach; what is still missing is
+    taken from the next. Every row stands for more than ``rows_per_slice`` joined rows.
     """
-    sizes = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in names]
-    joined = reduce(Column.__mul__, [s.cast("double") for s in sizes])
-    largest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    spread = F.coalesce(*[F.when(s == largest, F.lit(t)) for s, t in zip(sizes, names)])
-    slices = F.least(F.ceil(joined / rows_per_slice), largest)
-    hot = counts.filter(joined > rows_per_slice)
-    return hot.select(KEY, slices.cast("int").alias("_slices"), spread.alias("_spread"))
+    sizes = {t: F.greatest(F.col(f"n_{t}"), F.lit(1)) if t in names else F.lit(1).cast("bigint") for t in LINE_TABLES}
+    joined = reduce(Column.__mul__, [sizes[t].cast("double") for t in names])
+    by_size = F.sort_array(F.array(*[F.struct(sizes[t].alias("n"), F.lit(t).alias("t")) for t in LINE_TABLES]), asc=False)
+    rows = counts.filter(joined > rows_per_slice).select(KEY, F.ceil(joined / rows_per_slice).alias("_want"), by_size.alias("_by"))
+    for k in range(len(LINE_TABLES)):
+        size = F.col("_by")[k]["n"]
+        rows = rows.withColumn(f"_take{k}", F.least(F.col("_want"), size)).withColumn(
+            "_want", F.greatest(F.ceil(F.col("_want") / F.least(F.col("_want"), size)), F.lit(1))
+        )
+    taken = {t: F.coalesce(*[F.when(F.col("_by")[k]["t"] == t, F.col(f"_take{k}")) for k in range(len(LINE_TABLES))]) for t in LINE_TABLES}
+    return rows.select(KEY, *[taken[t].cast("bigint").alias(f"_s_{t}") for t in LINE_TABLES])
 
 
 def slice_rows(df: DataFrame, hot: DataFrame, table: str) -> DataFrame:
-    """Add the slice number: one per row for the spread table of an order, all of them otherwise.
+    """Repeat each row for the slices it takes part in: ``_slice``, and the grid where there is one.
 
-    The number comes from the row and its partition, so a task that runs again gives every row the
-    same slice, and exact copies from different input splits still end up in different slices.
+    Rows of large orders are numbered and written once before they are dealt, so equal rows spread
+    as well as others, and a task that runs again finds the same numbers.
     """
-    position = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.col("_slices")).cast("int")
-    slices = (
-        F.when(F.col("_slices").isNull(), F.array(F.lit(0)))
-        .when(F.col("_spread") == table, F.array(position))
-        .otherwise(F.sequence(F.lit(0), F.col("_slices") - 1))
-    )
-    return df.join(F.broadcast(hot), KEY, "left").select(
-        *df.columns, "_slices", "_spread", F.explode(slices).alias("_slice")
+    grid = [f"_s_{t}" for t in LINE_TABLES]
+    small = df.join(hot, KEY, "left_anti").select("*", *[F.lit(None).cast("bigint").alias(g) for g in grid], F.lit(0).cast("bigint").alias("_slice"))
+    # Null keys never match and stay with the small orders.
+    large = materialise(df.join(hot, KEY).withColumn("_number", F.monotonically_increasing_id()))
+    before, after = F.lit(1).cast("bigint"), F.lit(1).cast("bigint")
+    own = F.lit(1).cast("bigint")
+    if table in LINE_TABLES:
+        at = LINE_TABLES.index(table)
+        before = reduce(Column.__mul__, [F.col(g) for g in grid[:at]], before)
+        after = reduce(Column.__mul__, [F.col(g) for g in grid[at + 1 :]], after)
+        own = F.col(grid[at])
+    else:
+        before = reduce(Column.__mul__, [F.col(g) for g in grid], before)
+    place = F.pmod("_number", own)
+    cells = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), before * after - 1),
+        lambda k: (F.floor(k / after) * own + place) * after + F.pmod(k, after),
     )
+    dealt = large.withColumn("_slice", F.explode(cells)).drop("_number")
+    return small.unionByName(dealt)
 
 
 def fan_out(center: DataFrame, tables: dict[str, DataFrame], hot: DataFrame | None, how: str = "left") -> DataFrame:
     """Join the line tables to their orders: one row per order x payment x review x item."""
     if hot is None:
         return reduce(lambda left, right: left.join(right, KEY, how), tables.values(), center)
+    grid = [f"_s_{t}" for t in LINE_TABLES]
     out = slice_rows(center, hot, "")
     for name, df in tables.items():
-        lines = slice_rows(df, hot, name).drop("_slices", "_spread").withColumn(f"_{name}", F.lit(1))
+        lines = slice_rows(df, hot, name).drop(*grid).withColumn(f"_{name}", F.lit(1))
         out = out.join(lines, [KEY, "_slice"], how)
     if how == "left":
         # A spread table always has rows for its order; an empty slice of it is no result row.
         for name in tables:
-            empty = F.col("_slices").isNotNull() & (F.col("_spread") == name) & F.col(f"_{name}").isNull()
-            out = out.filter(~F.coalesce(empty, F.lit(False)))
+            out = out.filter(~F.coalesce((F.col(f"_s_{name}") > 1) & F.col(f"_{name}").isNull(), F.lit(False)))
     columns = center.columns + [c for df in tables.values() for c in df.columns if c != KEY]
     return out.select(*columns)
 
@@ -114,6 +175,7 @@ def join_order_rows(lines: DataFrame, orders: DataFrame, table: str, hot: DataFr
     """Inner join of one line table with per-order rows; ``hot`` is found for that table alone."""
     if hot is None:
         return lines.join(orders, KEY)
-    left = slice_rows(lines, hot, table).drop("_slices", "_spread")
-    right = slice_rows(orders, hot, "").drop("_slices", "_spread")
+    grid = [f"_s_{t}" for t in LINE_TABLES]
+    left = slice_rows(lines, hot, table).drop(*grid)
+    right = slice_rows(orders, hot, "").drop(*grid)
     return left.join(right, [KEY, "_slice"]).drop("_slice")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import as_double
+from ordermart.functions.casts import MEAN_SCALE, as_double, exact, exact_sum
 from ordermart.functions.columns import thousands
 from ordermart.session import materialise
 
@@ -40,10 +40,10 @@ CHARTS = {
 
 def _kpi(c: str, kind: str) -> Column:
     if kind == "money":
-        return as_double(F.sum(F.col(c).cast("decimal(28,4)"))).alias(c)
+        return as_double(exact_sum(F.col(c))).alias(c)
     if kind == "mean":
-        # Unweighted mean over the rows of the mart, to four decimals.
-        return F.round(F.avg(c), 4).alias(c)
+        # Unweighted mean over the rows of the mart, added up without rounding.
+        return (as_double(F.sum(exact(F.col(c), 38, MEAN_SCALE))) / F.nullif(F.count(c), F.lit(0))).alias(c)
     return F.sum(c).cast("bigint").alias(c)
 
 
@@ -59,18 +59,18 @@ def formatted(totals: DataFrame, name: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, key: str, measure: str) -> DataFrame:
-    """Measure per key and its share of the whole.
+    """Measure per key and its share of the whole; without a share where the whole is 0.
 
     The grouped rows are written once, because both the rows and the total read them.
     """
-    value = F.sum(F.col(measure).cast("decimal(28,4)") if dict(df.dtypes)[measure] == "double" else F.col(measure))
+    value = exact_sum(F.col(measure)) if dict(df.dtypes)[measure] == "double" else F.sum(measure)
     grouped = materialise(df.groupBy(key).agg(value.alias("_value")))
     total = grouped.agg(F.sum("_value").alias("_total")).scalar()
     cast = "double" if dict(df.dtypes)[measure] == "double" else "bigint"
     return grouped.select(
         key,
         F.col("_value").cast(cast).alias(measure),
-        (as_double(F.col("_value")) / as_double(total)).alias("share"),
+        (as_double(F.col("_value")) / F.nullif(as_double(total), F.lit(0.0))).alias("share"),
     )
 
 
@@ -78,7 +78,7 @@ def reviews_by_category(reviews: DataFrame) -> DataFrame:
     """Bars per category stack one segment per product: both columns add up."""
     return reviews.groupBy("category").agg(
         F.sum("total_reviews").cast("bigint").alias("total_reviews"),
-        F.round(F.sum("avg_review_score"), 4).alias("stacked_avg_review_score"),
+        as_double(F.sum(exact(F.col("avg_review_score"), 38, MEAN_SCALE))).alias("stacked_avg_review_score"),
     )
 
 

@@ -13,29 +13,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import weighted
-from ordermart.operators.fanout import KEY, LINE_TABLES, LineCounts, join_order_rows
+from ordermart.functions.casts import SCORE_SCALE, weighted
+from ordermart.operators.fanout import KEY, LINE_TABLES, LineCounts, join_order_rows, with_copies
 from ordermart.schemas import MEAN_COLUMNS, MEDIAN_COLUMNS, SOURCE_COLUMNS
+from ordermart.session import materialise
 
 # Log scale bins are about 0.1 % wide: all doubles fall into 1.5 million of them, and an outlier does
 # not push the other values into the same bin.
 LOG_BINS_PER_UNIT = 1024
-# Even bins of every further pass.
+# Even bins of every further pass, and the rows of a bin that are sorted instead of split once more. Both shape the
+# plan only: the median is exact with any values.
 BINS = 4096
-# Rows that are sorted instead of split once more.
 SORT_ROWS = 10_000_000
 
 # Lowest and highest value still in question per column; None stands for all values.
 Ranges = dict[str, tuple[float, float]] | None
 
 
-def keep_ranges(df: DataFrame, ranges: Ranges, columns: list[str]) -> DataFrame:
-    """Rows with a value in the range of any column."""
-    if ranges is None:
-        return df
-    return df.filter(reduce(Column.__or__, [F.col(c).between(*ranges[c]) for c in columns]))
-
-
 def long_values(df: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
     """(name, value, weight) for each value of the columns, missing ones left out."""
     rows = df.select(
@@ -109,22 +103,30 @@ def mean(rows: DataFrame, c: str, weight: str | None = None) -> dict[str, float]
     weight_of = F.col(weight) if weight else F.lit(1)
     present = rows.filter(value.isNotNull() & ~F.isnan(value)).select(value.alias("value"), weight_of.alias("weight"))
     counted = present.groupBy("value").agg(F.sum("weight").alias("n"))
-    total = F.sum(weighted(F.col("value"), F.col("n"))).cast("double")
+    total = F.sum(weighted(F.col("value").alias(c), F.col("n"), SCORE_SCALE)).cast("double")
     found = counted.agg((total / F.sum("n")).alias("mean")).first()["mean"]
     return {} if found is None else {c: found}
 
 
-def wide_statistics(df: DataFrame, columns: list[str], approx: bool = False) -> dict[str, float]:
-    """Mean or median of each column over the rows of ``df``."""
-    of_means = [c for c in columns if c in MEAN_COLUMNS]
+def counted_values(long: DataFrame) -> DataFrame:
+    """Distinct values of each column with their summed weight, written once: all passes read these."""
+    return materialise(long.groupBy("name", "value").agg(F.sum("weight").alias("weight")))
+
+
+def wide_statistics(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """Mean or median of each column over the rows of ``df``, which are computed once."""
+    if not columns:
+        return {}
+    values = counted_values(long_values(df, columns))
+    return _numbers(values, columns)
+
+
+def _numbers(values: DataFrame, columns: list[str]) -> dict[str, float]:
     of_medians = [c for c in columns if c in MEDIAN_COLUMNS]
-    if approx and of_medians:
-        row = df.agg(*[F.percentile_approx(c, 0.5, 100_000).cast("double").alias(c) for c in of_medians]).first()
-        numbers = {c: row[c] for c in of_medians if row[c] is not None}
-    else:
-        numbers = medians(of_medians, lambda cs, ranges: keep_long(long_values(keep_ranges(df, ranges, cs), cs), ranges))
-    for c in of_means:
-        numbers |= mean(df, c)
+    numbers = medians(of_medians, lambda cs, ranges: keep_long(values.filter(F.col("name").isin(cs)), ranges))
+    for c in columns:
+        if c in MEAN_COLUMNS:
+            numbers |= mean(values.filter(F.col("name") == c).select(F.col("value").alias(c), "weight"), c, "weight")
     return numbers
 
 
@@ -134,37 +136,41 @@ def merged_statistics(
     """The same numbers over the merged table, without building it.
 
     A payment appears in the merged table once per review and item of its order, and likewise for
-    reviews and items. So each value is taken once from its own table with that count as weight.
-    ``lines`` are the counts of the sources, if there are some already.
+    reviews and items; a lookup row that repeats its key multiplies once more. So each value is
+    taken once from its own table with that count as weight. ``lines`` are the counts of the
+    sources, if there are some already. One job writes the distinct values; the passes read those.
     """
     if not columns:
         return {}
     lines = lines or LineCounts(sources)
     orders = lines.frame.filter("n_orders > 0")
+    repeated = lines.repeated
 
     def weigh(table: str, rows: DataFrame) -> DataFrame:
         a, b = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in LINE_TABLES if t != table]
         weights = orders.select(KEY, (F.col("n_orders") * a * b).alias("weight"))
         return join_order_rows(rows, weights, table, lines.hot(table))
 
-    def values(names: list[str], ranges: Ranges) -> DataFrame:
-        parts = []
-        for table in ("payments", "items"):
-            of_table = [c for c in names if c in SOURCE_COLUMNS[table]]
-            if of_table:
-                rows = keep_ranges(sources[table].select(KEY, *of_table), ranges, of_table)
-                parts.append(long_values(weigh(table, rows), of_table, "weight"))
-        of_products = [c for c in names if c in SOURCE_COLUMNS["products"]]
-        if of_products:
-            # Weights add up per product first, so the join with products is small and even.
-            rows = weigh("items", sources["items"].select(KEY, "product_id"))
-            per_product = rows.groupBy("product_id").agg(F.sum("weight").alias("weight"))
-            products = keep_ranges(sources["products"], ranges, of_products)
-            parts.append(long_values(per_product.join(products, "product_id"), of_products, "weight"))
-        return keep_long(reduce(DataFrame.unionAll, parts), ranges)
-
-    numbers = medians([c for c in columns if c in MEDIAN_COLUMNS], values)
-    for c in columns:
-        if c in MEAN_COLUMNS:
-            numbers |= mean(weigh("reviews", sources["reviews"].select(KEY, c)), c, "weight")
-    return numbers
+    parts = []
+    for table in LINE_TABLES:
+        of_table = [c for c in columns if c in SOURCE_COLUMNS[table]]
+        if of_table:
+            by_lookup = repeated.get(table, [])
+            rows = weigh(table, sources[table].select(KEY, *of_table, *[k for k, _ in by_lookup]))
+            if by_lookup:
+                rows = with_copies(rows, by_lookup).withColumn("weight", F.col("weight") * F.col("_rows"))
+            parts.append(long_values(rows, of_table, "weight"))
+    of_products = [c for c in columns if c in SOURCE_COLUMNS["products"]]
+    if of_products:
+        # Lines per order and product first, so that one order with very many lines is a few rows; then weights per
+        # product. The join with products repeats rows as the merge does; sellers are counted.
+        sellers = [(k, c) for k, c in repeated["items"] if k == "seller_id"]
+        items = with_copies(sources["items"].select(KEY, "product_id", *[k for k, _ in sellers]), sellers)
+        grouped = items.groupBy(KEY, "product_id").agg(F.sum("_rows").alias("_rows"))
+        a, b = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in LINE_TABLES if t != "items"]
+        weights = orders.select(KEY, (F.col("n_orders") * a * b).alias("weight"))
+        per_product = grouped.join(weights, KEY).groupBy("product_id").agg(F.sum(F.col("_rows") * F.col("weight")).alias("weight"))
+        products = with_copies(sources["products"].select("product_id", "product_category_name", *of_products), repeated["products"])
+        joined = per_product.join(products, "product_id").withColumn("weight", F.col("weight") * F.col("_rows"))
+        parts.append(long_values(joined, of_products, "weight"))
+    return _numbers(counted_values(reduce(DataFrame.unionAll, parts)), columns)

@@ -6,7 +6,20 @@ library, so the two agree only if the counting is right.
 
 from __future__ import annotations
 
-from ordermart.schemas import CLEAN_COLUMNS, DIMENSIONS, FACT_LOOKUPS, FACT_MEASURES, MEDIAN_COLUMNS, MERGED_COLUMNS
+import re
+
+from ordermart.operators.insights import CHARTS as CHART_COLUMNS
+from ordermart.schemas import (
+    CLEAN_COLUMNS,
+    COLUMN_TYPES,
+    DIMENSIONS,
+    FACT_COLUMNS,
+    FACT_LOOKUPS,
+    FACT_MEASURES,
+    MEDIAN_COLUMNS,
+    MERGED_COLUMNS,
+    RENAMES,
+)
 
 SOURCES = """
 src_orders as (
@@ -77,11 +90,19 @@ merged as (
   left join src_sellers using (seller_id))
 """
 
+# Only the columns the statistics need: the merged rows once more, but narrow.
 STATS = f"""
-stats as (
+narrow as (
+  select review_score, {", ".join(MEDIAN_COLUMNS)}
+  from src_orders
+  left join src_payments using (order_id)
+  left join src_reviews using (order_id)
+  left join src_items using (order_id)
+  left join src_products using (product_id)),
+stats as materialized (
   select avg(review_score) as mean_review_score,
     {", ".join(f"median(cast({c} as double)) as median_{c}" for c in MEDIAN_COLUMNS)}
-  from merged)
+  from narrow)
 """
 
 
@@ -110,7 +131,7 @@ CLEANED = f"""
 filled as (
   select {", ".join(_cleaned_column(c) for c in CLEAN_COLUMNS)}
   from merged cross join stats),
-cleaned as (
+cleaned as materialized (
   select * from filled where {" and ".join(f"{c} is not null" for c in CLEAN_COLUMNS)})
 """
 
@@ -168,7 +189,7 @@ agg_monthly_sales_trend as (
   from cleaned group by strftime(order_purchase_timestamp, '%Y-%m')),
 agg_avg_review_score as (
   select c.product_id, c.product_category_name_english as category,
-    cast(sum(cast(r.review_score as decimal(18,10))) as double) / count(r.review_score) as avg_review_score,
+    cast(sum(cast(cast(r.review_score as varchar) as decimal(28,16))) as double) / count(r.review_score) as avg_review_score,
     count(r.review_id) as total_reviews
   from cleaned c join (select distinct review_id, order_id, review_score from cleaned) r on c.order_id = r.order_id
   group by c.product_id, c.product_category_name_english),
@@ -198,8 +219,26 @@ dm_payment_analysis as (
 LAYERS = [SOURCES, MERGED, STATS, CLEANED, STAR, REPORTS]
 
 
+def _tables_of(layers: list[str]) -> dict[str, str]:
+    """Each named expression of the layers, in order."""
+    text = ",\n".join(layer.strip() for layer in layers) + ",\n"
+    starts = [(m.start(), m.group(1)) for m in re.finditer(r"^(\w+) as (?:materialized )?\(", text, re.MULTILINE)]
+    ends = [at for at, _ in starts[1:]] + [len(text)]
+    return {name: text[at:end].rstrip().rstrip(",") for (at, name), end in zip(starts, ends, strict=True)}
+
+
 def sql(select: str) -> str:
-    return "with " + ",\n".join(layer.strip() for layer in LAYERS) + "\n" + select
+    """The statement with just the expressions it needs."""
+    tables = _tables_of(LAYERS)
+    needed, todo = set(), [select]
+    while todo:
+        text = todo.pop()
+        for name in tables:
+            if name not in needed and re.search(rf"\b{name}\b", text):
+                needed.add(name)
+                todo.append(tables[name].partition("(")[2])
+    parts = [text for name, text in tables.items() if name in needed]
+    return ("with " + ",\n".join(parts) + "\n" if parts else "") + select
 
 
 def total(c: str) -> str:
@@ -211,7 +250,12 @@ def count(c: str) -> str:
 
 
 def mean(c: str) -> str:
-    return f"round(avg({c}), 4) as {c}"
+    return f"{lossless(c)} / count({c}) as {c}"
+
+
+def lossless(c: str) -> str:
+    """Sum of doubles as they are written, without rounding."""
+    return f"cast(sum(cast(cast({c} as varchar) as decimal(38,20))) as double)"
 
 
 def share(table: str, key: str, measure: str, kind: str) -> str:
@@ -268,6 +312,31 @@ TABLES = [
 ]
 PUBLISHED = [*DIMENSIONS, "fact_orders", *TABLES]
 
+def _converted(c: str) -> str:
+    """A column after its conversion, under its corrected name."""
+    kind, name = COLUMN_TYPES[c], RENAMES.get(c, c)
+    if c == "payment_installments":
+        return "case when order_id % 9 = 0 and order_id % 5 <> 0 then null else payment_installments end as payment_installments"
+    if c == "order_approved_at":
+        return "case when order_id % 7 = 0 then null else order_approved_at end as order_approved_at"
+    if kind == "string":
+        return f"cast({c} as varchar) as {name}"
+    return f"{c} as {name}"
+
+
+def formatted(name: str, columns: list[tuple[str, str]]) -> str:
+    text = {"total": "format('{{:,.2f}}', {0}) as {0}", "mean": "format('{{:,.2f}}', {0}) as {0}", "count": "cast({0} as varchar) as {0}"}
+    inner = ", ".join({"total": total, "mean": mean, "count": count}[kind](c) for c, kind in columns)
+    return f"select {', '.join(text[kind].format(c) for c, kind in columns)} from (select {inner} from {name})"
+
+
+def first_rows(name: str, order: str) -> str:
+    return f"select * from {name} order by {order} limit 5"
+
+
+CHART_TABLES = {
+    name: f"select {', '.join([*labels, *measures])} from {table.lower()}" for name, (table, labels, measures) in CHART_COLUMNS.items()
+}
 SELECTS: dict[str, str] = {
     "join_customers": "select * from src_orders left join src_customers using (customer_id)",
     "join_payments": "select * from src_orders left join src_payments using (order_id)",
@@ -282,9 +351,11 @@ SELECTS: dict[str, str] = {
     "clean_unknown_fill": "select order_id, product_id, coalesce(payment_type, 'Unknown') as payment_type, "
     "coalesce(product_category_name, 'Unknown') as product_category_name, "
     "coalesce(product_category_name_english, 'Unknown') as product_category_name_english from merged",
-    "clean_mean_fill": "select order_id, review_id, coalesce(review_score, (select avg(review_score) from merged)) "
-    "as review_score from merged",
-    "clean_median_fill": f"select order_id, {', '.join(c for c in MEDIAN_COLUMNS)} from filled",
+    "clean_mean_fill": "select order_id, review_id, coalesce(review_score, mean_review_score) as review_score "
+    "from src_orders left join src_payments using (order_id) left join src_reviews using (order_id) "
+    "left join src_items using (order_id) cross join stats",
+    "clean_median_fill": f"select order_id, {', '.join(f'coalesce(cast({c} as double), median_{c}) as {c}' for c in MEDIAN_COLUMNS)} "
+    "from merged cross join stats",
     "clean_review_date": "select order_id, review_id, coalesce(review_creation_date, order_delivered_customer_date) "
     "as review_creation_date from merged",
     "clean_rename": "select product_id, product_name_lenght as product_name_length, "
@@ -296,13 +367,12 @@ SELECTS: dict[str, str] = {
     + " and ".join(f"{c} is not null" for c in MERGED_COLUMNS),
     "clean_wide": "select * from cleaned",
     "clean_merged": "select * from cleaned",
-    "convert_types": "select cast(order_id as varchar) as order_id, cast(customer_id as varchar) as customer_id, "
-    "case when order_id % 7 = 0 then null else order_purchase_timestamp end as order_purchase_timestamp, "
-    "case when order_id % 9 = 0 and order_id % 5 <> 0 then null else payment_installments end as payment_installments, "
-    "payment_value, customer_zip_code_prefix "
-    "from src_orders join src_payments using (order_id) join src_customers using (customer_id)",
-    "nan_to_null": "select event_id, case when event_id % 10 = 0 then null else value end as value from events",
-    "sanitize_columns": "select c_custkey, c_name as full_name, c_mktsegment as market_segment from customer",
+    "convert_types": "select "
+    + ", ".join(_converted(c) for c in MERGED_COLUMNS)
+    + " from merged",
+    "nan_to_null": "select * replace (case when event_id % 10 = 0 then null else value end as value) from events",
+    "sanitize_columns": "select c_custkey, c_name as full_name, c_nationkey, c_acctbal as account___balance, "
+    "c_mktsegment as market_segment from customer",
     "shipping_time": "select order_id, coalesce(date_diff('second', order_purchase_timestamp, "
     "order_delivered_customer_date), 0) as shipping_time from src_orders",
     "filter_delivered": "select * from src_orders where order_delivered_customer_date is not null",
@@ -318,30 +388,53 @@ SELECTS: dict[str, str] = {
     "from dm_customer_behavior",
     "kpi_order_fulfillment": f"select {count('total_orders')} from dm_order_fulfillment",
     "kpi_payment_analysis": f"select {total('total_revenue')}, {count('total_transactions')} from dm_payment_analysis",
-    "kpi_formatted": f"select format('{{:,.2f}}', total_revenue) as total_revenue, cast(total_transactions as varchar) "
-    f"as total_transactions from (select {total('total_revenue')}, {count('total_transactions')} from dm_payment_analysis)",
+    "kpi_formatted": formatted("dm_payment_analysis", [("total_revenue", "total"), ("total_transactions", "count")]),
+    "kpi_formatted_sales": formatted(
+        "dm_sales_performance", [("total_revenue", "total"), ("avg_order_value", "mean"), ("total_orders", "count")]
+    ),
+    "kpi_formatted_category": formatted(
+        "dm_product_category_analysis", [("total_sales", "count"), ("total_revenue", "total"), ("avg_price", "mean")]
+    ),
+    "kpi_formatted_customer": formatted(
+        "dm_customer_behavior", [("total_orders", "count"), ("distinct_products", "count"), ("total_spent", "total")]
+    ),
     "share_sales_by_seller_state": share("agg_sales_by_seller", "seller_state", "total_sales", "double"),
     "share_orders_by_status": share("dm_order_fulfillment", "order_status", "total_orders", "bigint"),
     "share_transactions_by_type": share("dm_payment_analysis", "payment_type", "total_transactions", "bigint"),
-    "reviews_by_category": f"select category, {count('total_reviews')}, round(sum(avg_review_score), 4) "
+    "reviews_by_category": f"select category, {count('total_reviews')}, {lossless('avg_review_score')} "
     "as stacked_avg_review_score from agg_avg_review_score group by category",
     "top10_customers": "select * from dm_sales_performance order by total_revenue desc, customer_id limit 10",
     "chart_series": CHARTS,
     "preview_dims": " union all ".join(preview(name) for name in DIMENSIONS),
+    **{f"preview_{name}": first_rows(name, key) for name, (key, _) in DIMENSIONS.items()},
+    "preview_fact_orders": first_rows("fact_orders", ", ".join(FACT_COLUMNS)),
+    **{f"chart_{name}": select for name, select in CHART_TABLES.items()},
     "src_csv": "select * from src_customers",
+    "src_csv_orders": "select * from src_orders",
     "src_csv_payments": "select * from src_payments",
     "src_csv_reviews": "select * from src_reviews",
     "src_csv_items": "select * from src_items",
-    "sink_csv_roundtrip": "select * from merged",
+    "src_csv_products": "select * from src_products",
+    "src_csv_translation": "select * from src_translation",
+    "src_csv_sellers": "select * from src_sellers",
+    "sink_csv_roundtrip": "select * replace (case when review_id % 3 = 0 then '' else review_comment_title end as review_comment_title, "
+    "case when review_id % 4 = 0 and review_comment_message is not null "
+    "then 'two' || chr(10) || 'lines, \"quoted\" ' || review_comment_message else review_comment_message end "
+    "as review_comment_message) from merged",
+    "star_append": " union all ".join(
+        f"select '{name}' as table_name, 2 * count(*) as n_rows from {name}" for name in [*DIMENSIONS, "fact_orders"]
+    ),
+    "job_from_files": "select * from agg_sales_by_customer_state",
     "sink_append": "select order_id, order_status, cast(2 * count(*) as bigint) as copies from src_orders group by order_id, order_status",
     "sink_overwrite": "select order_id, order_status, count(*) as copies from src_orders group by order_id, order_status",
     "scan_table": "select * from dm_payment_analysis",
     "list_agg_tables": "select * from (values "
     + ", ".join(f"('{name}')" for name in TABLES if name.startswith("agg"))
     + ") t(table_name)",
-    "relational_rows": f"select 1000 + {dense_key(['c_custkey', 'c_name', 'c_mktsegment', 'copy_number'], 'id')}, "
-    "cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, 'customer' as table_name "
-    "from (select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, 0 as copy_number from customer)",
+    "relational_rows": f"select 1000 + {dense_key(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment', 'copy_number'], 'id')}, "
+    "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'customer' as table_name "
+    "from (select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, "
+    "cast(c_acctbal as varchar) as c_acctbal, c_mktsegment, 0 as copy_number from customer)",
     "warehouse_refresh": " union all ".join(
         f"select '{name}' as table_name, count(*) as n_rows from {name}" for name in PUBLISHED
     ),

@@ -14,8 +14,10 @@ from ordermart.operators.convert import convert_types
 from ordermart.operators.keys import surrogate_key
 from ordermart.operators.merge import LOOKUPS, left_join, merge_wide
 from ordermart.operators.statistics import merged_statistics
-from ordermart.plans.refresh import publish_aggregates, refresh, stage
+from ordermart.operators.fanout import LineCounts
+from ordermart.plans.refresh import publish_aggregates, publish_star, refresh, stage
 from ordermart.schemas import (
+    COLUMN_TYPES,
     DIMENSIONS,
     FACT_LOOKUPS,
     MEDIAN_COLUMNS,
@@ -23,16 +25,17 @@ from ordermart.schemas import (
     RENAMES,
     UNKNOWN_COLUMNS,
 )
-from ordermart.session import application_dir, at_once, configure, materialise
-from ordermart.sources.catalog import create_database, list_tables, publish, read_mart, read_table
-from ordermart.sources.files import read_csv, write_csv
+from ordermart.session import at_once, configure, fresh_dir, materialise
+from ordermart.sources.catalog import application_database, list_tables, publish, read_mart, read_table, stage_database
+from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
 from ordermart.sources.jdbc import relational_rows
 from ordermart.sources.testdata import load_raw_sources, load_sources, read_driver_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Filled numeric columns each result reads; the statistics of the others are not computed.
+# Filled numeric columns each result reads. The statistics of the others are not computed; that they have a value at
+# all is checked, as a column without one drops every row.
 READS = {
     "Agg_sales_by_category": ["price", "freight_value"],
     "Agg_sales_by_customer_state": ["price"],
@@ -70,10 +73,10 @@ def cleaned(spark: SparkSession, sf_dir: str, *results: str) -> clean.CleanTable
     return clean.clean_tables(load_sources(spark, sf_dir), columns)
 
 
-def staged(spark: SparkSession, sf_dir: str, prefix: str, *results: str) -> clean.CleanTables:
+def staged(spark: SparkSession, sf_dir: str, *results: str) -> clean.CleanTables:
     """The cleaned tables written once, for queries that read them several times."""
     columns = sorted({c for r in results for c in READS[r]})
-    return stage(spark, load_sources(spark, sf_dir), _scratch(spark), columns, prefix)
+    return stage(spark, load_sources(spark, sf_dir), columns)
 
 
 def dimensions(spark: SparkSession, tables: clean.CleanTables, names: list[str]) -> dict[str, DataFrame]:
@@ -128,15 +131,17 @@ def _unknown_fill(spark, sf_dir):
 @query("clean_mean_fill")
 def _mean_fill(spark, sf_dir):
     sources = load_sources(spark, sf_dir)
-    merged = merge_wide(sources).select("order_id", "review_id", "review_score")
-    return clean.fill_statistics(merged, merged_statistics(sources, ["review_score"]))
+    lines = LineCounts(sources)
+    merged = merge_wide(sources, lines=lines).select("order_id", "review_id", "review_score")
+    return clean.fill_statistics(merged, merged_statistics(sources, ["review_score"], lines))
 
 
 @query("clean_median_fill")
 def _median_fill(spark, sf_dir):
     sources = load_sources(spark, sf_dir)
-    merged = merge_wide(sources).select("order_id", *MEDIAN_COLUMNS)
-    return clean.fill_statistics(merged, merged_statistics(sources, MEDIAN_COLUMNS))
+    lines = LineCounts(sources)
+    merged = merge_wide(sources, lines=lines).select("order_id", *MEDIAN_COLUMNS)
+    return clean.fill_statistics(merged, merged_statistics(sources, MEDIAN_COLUMNS, lines))
 
 
 @query("clean_review_date")
@@ -172,34 +177,41 @@ def _clean_merged(spark, sf_dir):
     return clean.clean_wide(merge_wide(load_sources(spark, sf_dir)))
 
 
+def as_delivered(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All columns as text, with bad timestamps, integers written as 2.0 and integers in words."""
+
+    def text(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+    out = {name: text(df) for name, df in sources.items()}
+    payments, orders = out["payments"], out["orders"]
+    count = F.col("payment_installments")
+    written = F.when(F.col("order_id") % 5 == 0, F.concat(count, F.lit(".0"))).when(F.col("order_id") % 9 == 0, "many").otherwise(count)
+    approved = F.when(F.col("order_id") % 7 == 0, "unknown").otherwise(F.col("order_approved_at"))
+    return out | {
+        "payments": payments.withColumn("payment_installments", written),
+        "orders": orders.withColumn("order_approved_at", approved),
+    }
+
+
 @query("convert_types")
 def _convert_types(spark, sf_dir):
-    """Text columns with bad timestamps, integers written as 2.0 and as words, numbers as text."""
-    raw = load_raw_sources(spark, sf_dir)
-    bad_time = F.when(F.col("order_id") % 7 == 0, "unknown").otherwise(F.col("order_purchase_timestamp").cast("string"))
-    orders = raw["orders"].select("order_id", "customer_id", bad_time.alias("order_purchase_timestamp"))
-    count = F.col("payment_installments").cast("string")
-    count = F.when(F.col("order_id") % 5 == 0, F.concat(count, F.lit(".0"))).when(F.col("order_id") % 9 == 0, "many").otherwise(count)
-    payments = raw["payments"].select(
-        "order_id", count.alias("payment_installments"), F.col("payment_value").cast("string").alias("payment_value")
-    )
-    customers = raw["customers"].select("customer_id", "customer_zip_code_prefix")
-    return convert_types(orders.join(payments, "order_id").join(customers, "customer_id"))
+    """All 36 columns of the eight tables, delivered as text, one row per order and line."""
+    sources = as_delivered(load_raw_sources(spark, sf_dir))
+    return convert_types(clean.rename(merge_wide(sources)))
 
 
 @query("nan_to_null")
 def _nan_to_null(spark, sf_dir):
     events = read_driver_table(spark, sf_dir, "events")
     value = F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
-    return nan_to_null(events.select("event_id", value.alias("value")))
+    return nan_to_null(events.withColumn("value", value))
 
 
 @query("sanitize_columns")
 def _sanitize_columns(spark, sf_dir):
     customers = read_driver_table(spark, sf_dir, "customer")
-    return sanitize_columns(
-        customers.select("c_custkey", F.col("c_name").alias("full-name"), F.col("c_mktsegment").alias("market segment"))
-    )
+    return sanitize_columns(customers.withColumnsRenamed({"c_name": "full-name", "c_mktsegment": "market segment", "c_acctbal": "account - balance"}))
 
 
 @query("shipping_time")
@@ -230,7 +242,7 @@ for _name in DIMENSIONS:
 
 @query("fact_orders")
 def _fact_orders(spark, sf_dir):
-    tables = staged(spark, sf_dir, "fact", "fact_orders", *FACT_LOOKUPS)
+    tables = staged(spark, sf_dir, "fact_orders", *FACT_LOOKUPS)
     return star.build_fact(tables, dimensions(spark, tables, list(FACT_LOOKUPS)))
 
 
@@ -248,7 +260,7 @@ for _name, _build in aggregates.STAR_AGGREGATES.items():
     @query("star_" + _name.lower())
     def _star_aggregate(spark, sf_dir, build=_build):
         """The same aggregate as joins of star tables."""
-        tables = staged(spark, sf_dir, "star", "fact_orders", *DIMENSIONS)
+        tables = staged(spark, sf_dir, "fact_orders", *DIMENSIONS)
         tables_of_star = dimensions(spark, tables, list(DIMENSIONS))
         return build(tables_of_star | {"fact_orders": star.build_fact(tables, tables_of_star)})
 
@@ -276,10 +288,16 @@ for _name, _mart in [
         return insights.kpis(result(spark, sf_dir, mart), mart)
 
 
-@query("kpi_formatted")
-def _kpi_formatted(spark, sf_dir):
-    name = "dm_payment_analysis"
-    return insights.formatted(insights.kpis(result(spark, sf_dir, name), name), name)
+for _name, _mart in [
+    ("kpi_formatted_sales", "dm_sales_performance"),
+    ("kpi_formatted_category", "dm_product_category_analysis"),
+    ("kpi_formatted_customer", "dm_customer_behavior"),
+    ("kpi_formatted", "dm_payment_analysis"),
+]:
+
+    @query(_name)
+    def _kpi_formatted(spark, sf_dir, mart=_mart):
+        return insights.formatted(insights.kpis(result(spark, sf_dir, mart), mart), mart)
 
 
 for _name, _table, _key, _measure in [
@@ -306,14 +324,43 @@ def _top10_customers(spark, sf_dir):
 @query("chart_series")
 def _chart_series(spark, sf_dir):
     names = list(dict.fromkeys(t for t, _, _ in insights.CHARTS.values()))
-    tables = staged(spark, sf_dir, "chart", *names)
+    tables = staged(spark, sf_dir, *names)
     return insights.chart_series({name: BUILDERS[name](tables) for name in names})
 
 
+for _name, (_table, _labels, _) in insights.CHARTS.items():
+
+    @query("chart_" + _name)
+    def _chart(spark, sf_dir, name=_name, table=_table):
+        """One chart's columns in label order."""
+        return insights.chart(result(spark, sf_dir, table), name)
+
+
+def _star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tables = staged(spark, sf_dir, "fact_orders", *DIMENSIONS)
+    built = dimensions(spark, tables, list(DIMENSIONS))
+    return built | {"fact_orders": star.build_fact(tables, built)}
+
+
+for _name, (_key, _) in DIMENSIONS.items():
+
+    @query("preview_" + _name)
+    def _preview(spark, sf_dir, name=_name, key=_key):
+        """The first five rows of a dimension, all columns."""
+        return insights.preview(star.build_dimension(cleaned(spark, sf_dir, name), name), [key])
+
+
+@query("preview_fact_orders")
+def _preview_fact(spark, sf_dir):
+    """The first five rows of the fact table by order, all columns; further columns settle ties."""
+    fact = _star_tables(spark, sf_dir)["fact_orders"]
+    return insights.preview(fact, ["order_id", *[c for c in fact.columns if c != "order_id"]])
+
+
 @query("preview_dims")
 def _preview_dims(spark, sf_dir):
-    """The first five rows of each star table, as (table, key, natural key)."""
-    tables = staged(spark, sf_dir, "preview", *DIMENSIONS)
+    """The first five rows of each dimension, as (table, key, natural key)."""
+    tables = staged(spark, sf_dir, *DIMENSIONS)
     parts = []
     for name, (key, _) in DIMENSIONS.items():
         first = insights.preview(star.build_dimension(tables, name), [key])
@@ -325,67 +372,91 @@ def _preview_dims(spark, sf_dir):
 # --- sources and sinks -------------------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession) -> str:
-    return create_database(spark, "ordermart_scratch")
-
-
 for _name, _table in [
     ("src_csv", "customers"),
+    ("src_csv_orders", "orders"),
     ("src_csv_payments", "payments"),
     ("src_csv_reviews", "reviews"),
     ("src_csv_items", "items"),
+    ("src_csv_products", "products"),
+    ("src_csv_translation", "translation"),
+    ("src_csv_sellers", "sellers"),
 ]:
 
     @query(_name)
     def _src_csv(spark, sf_dir, table=_table):
         """A source table written as CSV and read with its declared types; the ids are numeric here."""
         raw = load_raw_sources(spark, sf_dir)[table]
-        path = write_csv(raw, f"{application_dir(spark)}/csv/{table}")
+        path = write_csv(raw, fresh_dir(spark, f"csv-{table}"))
         ids = {c: F.col(c).cast("bigint") for c, t in raw.dtypes if t == "bigint"}
         return read_csv(spark, path, table).withColumns(ids)
 
 
 @query("sink_csv_roundtrip")
 def _sink_csv_roundtrip(spark, sf_dir):
-    """The merged table to CSV and back."""
+    """The merged table to CSV and back, with line breaks, quotes and empty text in its comments."""
     merged = merge_wide(load_sources(spark, sf_dir))
-    path = write_csv(merged, f"{application_dir(spark)}/csv/merged")
-    back = spark.read.schema(merged.schema).csv(path, header=True, quote='"', escape='"')
-    return back.select(*merged.columns)
+    title = F.when(F.col("review_id") % 3 == 0, "").otherwise(F.col("review_comment_title"))
+    message = F.when(F.col("review_id") % 4 == 0, F.concat(F.lit('two\nlines, "quoted" '), "review_comment_message"))
+    merged = merged.withColumns({"review_comment_title": title, "review_comment_message": F.coalesce(message, "review_comment_message")})
+    path = write_csv(merged, fresh_dir(spark, "csv-merged"), NULL_TEXT)
+    return read_csv_as(spark, path, merged)
+
+
+def _copies(df: DataFrame) -> DataFrame:
+    return df.groupBy("order_id", "order_status").agg(F.count("*").alias("copies"))
 
 
 @query("sink_append")
 def _sink_append(spark, sf_dir):
     """Appending the same rows twice doubles them."""
-    database = _scratch(spark)
+    database = stage_database(spark)
     orders = load_sources(spark, sf_dir)["orders"]
     publish(orders, database, "appended_orders", "overwrite")
     publish(orders, database, "appended_orders", "append")
-    return read_table(spark, database, "appended_orders").groupBy("order_id", "order_status").agg(F.count("*").alias("copies"))
+    return _copies(read_table(spark, database, "appended_orders"))
 
 
 @query("sink_overwrite")
 def _sink_overwrite(spark, sf_dir):
     """Overwriting leaves one copy."""
-    database = _scratch(spark)
+    database = stage_database(spark)
     orders = load_sources(spark, sf_dir)["orders"]
     publish(orders, database, "replaced_orders", "overwrite")
     publish(orders, database, "replaced_orders", "overwrite")
-    return read_table(spark, database, "replaced_orders").groupBy("order_id", "order_status").agg(F.count("*").alias("copies"))
+    return _copies(read_table(spark, database, "replaced_orders"))
+
+
+def _row_counts(spark: SparkSession, database: str, names: list[str]) -> DataFrame:
+    counts = [
+        read_table(spark, database, n).agg(F.count("*").alias("n_rows")).select(F.lit(n.lower()).alias("table_name"), "n_rows")
+        for n in names
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
+@query("star_append")
+def _star_append(spark, sf_dir):
+    """The star schema appended twice: every table has each of its rows twice."""
+    database = stage_database(spark)
+    tables = staged(spark, sf_dir, "fact_orders", *DIMENSIONS)
+    for _ in range(2):
+        publish_star(spark, tables, database, "append")
+    return _row_counts(spark, database, [*DIMENSIONS, "fact_orders"])
 
 
 @query("scan_table")
 def _scan_table(spark, sf_dir):
     """A published mart read back by its shown name."""
-    database = _scratch(spark)
+    database = stage_database(spark)
     publish(result(spark, sf_dir, "dm_payment_analysis"), database, "dm_payment_analysis")
     return read_mart(spark, database, "Payment Analysis")
 
 
 @query("list_agg_tables")
 def _list_agg_tables(spark, sf_dir):
-    database = create_database(spark, "ordermart_listed")
-    tables = staged(spark, sf_dir, "listed", *aggregates.AGGREGATES)
+    database = stage_database(spark)
+    tables = staged(spark, sf_dir, *aggregates.AGGREGATES)
     publish_aggregates(spark, tables, database)
     publish(marts.MARTS["dm_payment_analysis"](tables), database, "dm_payment_analysis")
     return list_tables(spark, database)
@@ -394,19 +465,24 @@ def _list_agg_tables(spark, sf_dir):
 @query("relational_rows")
 def _relational_rows(spark, sf_dir):
     """Rows as they are loaded into a relational table: all text with a running id."""
-    customers = read_driver_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    rows = relational_rows(customers, last_id=1000)
+    rows = relational_rows(read_driver_table(spark, sf_dir, "customer"), last_id=1000)
     return rows.withColumn("table_name", F.lit(table_name(f"{sf_dir}/customer.parquet")))
 
 
 @query("warehouse_refresh")
 def _warehouse_refresh(spark, sf_dir):
     """A full refresh: rows of each published table."""
-    database = create_database(spark, "ordermart_warehouse")
-    refresh(spark, load_sources(spark, sf_dir), database)
-    names = [*DIMENSIONS, "fact_orders", *BUILDERS]
-    counts = [
-        read_table(spark, database, n).agg(F.count("*").alias("n_rows")).select(F.lit(n.lower()).alias("table_name"), "n_rows")
-        for n in names
-    ]
-    return reduce(DataFrame.unionAll, counts)
+    database = application_database(spark, "ordermart_warehouse")
+    refresh(spark, load_raw_sources(spark, sf_dir), database)
+    return _row_counts(spark, database, [*DIMENSIONS, "fact_orders", *BUILDERS])
+
+
+@query("job_from_files")
+def _job_from_files(spark, sf_dir):
+    """The whole job from CSV files of all eight tables, ids as text: the sales per customer state it publishes."""
+    raw = load_raw_sources(spark, sf_dir)
+    paths = at_once(spark, {t: lambda t=t, df=df: write_csv(df, fresh_dir(spark, f"csv-{t}")) for t, df in raw.items()})
+    files = {t: read_csv(spark, path, t, types={}) for t, path in paths.items()}
+    database = application_database(spark, "ordermart_job")
+    refresh(spark, files, database, types=COLUMN_TYPES)
+    return read_table(spark, database, "Agg_sales_by_customer_state")

@@ -1,4 +1,4 @@
-"""The whole refresh: stage the cleaned tables, publish star schema, aggregates and marts."""
+"""The whole job: convert and land the sources, stage the cleaned tables, publish star schema, aggregates and marts."""
 
 from __future__ import annotations
 
@@ -8,46 +8,54 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.operators.aggregates import AGGREGATES
 from ordermart.operators.clean import CleanTables, clean_tables
+from ordermart.operators.convert import convert_types
 from ordermart.operators.fanout import KEY, LINE_TABLES
 from ordermart.operators.marts import MARTS
 from ordermart.operators.star import build_dimension, build_fact
 from ordermart.operators.weights import per_order
-from ordermart.schemas import DIMENSIONS
-from ordermart.session import at_once
-from ordermart.sources.catalog import create_database, publish, publish_bucketed, read_table
+from ordermart.schemas import COLUMN_TYPES, DIMENSIONS
+from ordermart.session import at_once, materialise
+from ordermart.sources.catalog import bucket_count, publish, publish_bucketed, read_table, stage_database
 
 # Product and seller columns that results group by.
 ITEM_COLUMNS = ["product_id", "product_category_name", "product_category_name_english", "seller_id", "seller_state"]
+# Integer columns whose fill may be a fraction, which the final conversion refuses.
+WHOLE_NUMBERS = {c: t for c, t in COLUMN_TYPES.items() if t == "int"}
 
 
 def stage(
     spark: SparkSession,
     sources: dict[str, DataFrame],
-    database: str,
     columns: list[str] | None = None,
-    prefix: str = "stage",
+    types: dict[str, str] | None = None,
+    buckets: int | None = None,
 ) -> CleanTables:
-    """Write the cleaned tables once and return them as table scans.
+    """Write the cleaned tables once, to a database of this call, and return them as table scans.
 
     They have the size of the sources, not of the multiplied wide table. All are bucketed by order,
     so later joins on the order find their rows in place; a table with an order too large for one
     task is written as it comes instead. Orders carry the counts of their lines, so most results
     need one join or none. Items keep the product and seller columns that results group by.
+    ``types`` convert the cleaned columns; ``session.clear_stage`` deletes the tables.
     """
     tables = clean_tables(sources, columns)
+    if types:
+        typed = {n: convert_types(getattr(tables, n), types) for n in ("orders", *LINE_TABLES, "products", "sellers")}
+        tables = replace(tables, **typed)
     large = {name for name in LINE_TABLES if tables.lines.hot(name) is not None}
+    buckets = buckets or bucket_count([sources[name] for name in ("orders", *LINE_TABLES)])
+    database = stage_database(spark)
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        table = f"{prefix}_{name}"
         if name in large:
-            publish(df, database, table)
+            publish(df, database, name)
         else:
-            publish_bucketed(df, database, table, KEY)
-        return read_table(spark, database, table)
+            publish_bucketed(df, database, name, KEY, buckets)
+        return read_table(spark, database, name)
 
     def write_lookup(name: str) -> DataFrame:
-        publish(getattr(tables, name), database, f"{prefix}_{name}")
-        return read_table(spark, database, f"{prefix}_{name}")
+        publish(getattr(tables, name), database, name)
+        return read_table(spark, database, name)
 
     lookup_columns = {c for name in ("dim_products", "dim_sellers") for c in DIMENSIONS[name][1]}
     slim = tables.items.drop(*(lookup_columns - set(ITEM_COLUMNS)))
@@ -63,10 +71,10 @@ def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str
 
 
 def publish_star(spark: SparkSession, tables: CleanTables, database: str, mode: str = "overwrite") -> None:
-    """Dimensions first; the fact table then looks its keys up in the published ones."""
-    publish_all(spark, {name: build_dimension(tables, name) for name in DIMENSIONS}, database, mode)
-    dimensions = {name: read_table(spark, database, name) for name in DIMENSIONS}
-    publish(build_fact(tables, dimensions), database, "fact_orders", mode)
+    """All six tables. The fact table looks its keys up in the dimensions just built, not in older copies of them."""
+    built = {name: build_dimension(tables, name) for name in DIMENSIONS}
+    dimensions = at_once(spark, {name: lambda df=df: materialise(df) for name, df in built.items()})
+    publish_all(spark, dimensions | {"fact_orders": build_fact(tables, dimensions)}, database, mode)
 
 
 def publish_aggregates(spark: SparkSession, tables: CleanTables, database: str) -> None:
@@ -77,11 +85,26 @@ def publish_marts(spark: SparkSession, tables: CleanTables, database: str) -> No
     publish_all(spark, {name: build(tables) for name, build in MARTS.items()}, database)
 
 
-def refresh(spark: SparkSession, sources: dict[str, DataFrame], database: str) -> CleanTables:
-    """Rebuild every table of the warehouse."""
-    create_database(spark, database)
-    tables = stage(spark, sources, database)
-    publish_star(spark, tables, database)
+def land(spark: SparkSession, sources: dict[str, DataFrame], types: dict[str, str]) -> dict[str, DataFrame]:
+    """Each source read and converted once: what follows reads the same rows, however often."""
+    typed = {name: convert_types(df, types) for name, df in sources.items()}
+    return at_once(spark, {name: lambda df=df: materialise(df) for name, df in typed.items()})
+
+
+def refresh(
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    database: str,
+    types: dict[str, str] = WHOLE_NUMBERS,
+    mode: str = "overwrite",
+) -> None:
+    """The job from the sources as they are read to every table of the warehouse, an existing database.
+
+    ``types`` convert the sources before the merge and the cleaned columns after it, so a fill that
+    is no whole number is an error in an integer column. With ``append`` the star schema is added to
+    the one that is there; aggregates and marts are always replaced.
+    """
+    tables = stage(spark, land(spark, sources, types), types=types)
+    publish_star(spark, tables, database, mode)
     publish_aggregates(spark, tables, database)
     publish_marts(spark, tables, database)
-    return tables

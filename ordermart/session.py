@@ -54,25 +54,38 @@ def application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/ordermart-{spark.sparkContext.applicationId}"
 
 
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one call, so that no later call touches what a frame still reads."""
+    return f"{application_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute a frame once: written to the shared folder and read back as a plain scan.
 
     Files survive the loss of an executor, and their known size lets the optimizer decide on
     broadcasting them.
     """
-    path = f"{application_dir(df.sparkSession)}/stage/{uuid.uuid4().hex}"
+    path = fresh_dir(df.sparkSession, "frame")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clear_stage(spark: SparkSession) -> None:
-    """Delete what ``materialise`` wrote in this application; frames that read it end with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{application_dir(spark)}/stage")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete what this application has staged: written frames, files and stage databases; frames that read them end."""
+    for row in spark.sql("SHOW DATABASES LIKE 'ordermart_stage_*'").collect():
+        spark.sql(f"DROP DATABASE IF EXISTS `{row[0]}` CASCADE")
+    delete_path(spark, f"{application_dir(spark)}/stage")
 
 
 def at_once(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent jobs side by side, so that one fills the executors another leaves idle."""
+    if not tasks:
+        return {}
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         running = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
         return {name: future.result() for name, future in running.items()}

@@ -2,30 +2,79 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.session import application_dir
+from ordermart.session import application_dir, fresh_dir
+
+# Bytes of a source per bucket: a bucket is read by one task, and adaptive execution cannot resize it.
+BUCKET_BYTES = 256 << 20
+# What is reported for frames that are no scans; the session's shuffle partitions decide then.
+UNKNOWN_BYTES = 1 << 60
 
 
-def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
-    """Make a database whose tables lie in the shared folder unless a location is given."""
-    location = location or f"{application_dir(spark)}/{name}"
+def create_database(spark: SparkSession, name: str, location: str) -> str:
+    """Make a database whose tables lie at ``location``; an existing one must lie there already."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
+    found = spark.catalog.getDatabase(name).locationUri
+    if _plain(found) != _plain(location):
+        raise ValueError(f"database {name} is at {found}, not at {location}")
     return name
 
 
-def publish(df: DataFrame, database: str, table: str, mode: str = "overwrite") -> None:
-    """Write a table: ``overwrite`` replaces it, ``append`` adds the rows once more."""
-    df.write.mode(mode).format("parquet").saveAsTable(f"`{database}`.`{table}`")
+def _plain(path: str) -> str:
+    return "/" + path.partition(":")[2].lstrip("/") if path.startswith("file:") else path.rstrip("/")
+
 
+def stage_database(spark: SparkSession) -> str:
+    """A new database for the tables of one call."""
+    name = f"ordermart_stage_{uuid.uuid4().hex}"
+    return create_database(spark, name, fresh_dir(spark, name))
 
-def publish_bucketed(df: DataFrame, database: str, table: str, key: str) -> None:
+
+def application_database(spark: SparkSession, name: str) -> str:
+    """A database that lasts as long as the application's folder, under a name of its own for each call."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    return create_database(spark, name, f"{application_dir(spark)}/{name}")
+
+
+def publish(df: DataFrame, database: str, table: str, mode: str = "overwrite") -> None:
+    """Write a table: ``overwrite`` replaces it, ``append`` adds the rows once more."""
+    if mode == "append":
+        df.write.mode("append").format("parquet").saveAsTable(f"`{database}`.`{table}`")
+    else:
+        _swapped(df.sparkSession, database, table, lambda name: df.write.format("parquet").saveAsTable(name))
+
+
+def _swapped(spark: SparkSession, database: str, table: str, write) -> None:
+    """Write beside the table and take its place: until then, and after a failure, the old one is there."""
+    beside = f"{table}_{uuid.uuid4().hex}"
+    try:
+        write(f"`{database}`.`{beside}`")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{beside}`")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+    spark.sql(f"ALTER TABLE `{database}`.`{beside}` RENAME TO `{database}`.`{table}`")
+
+
+def bucket_count(tables: list[DataFrame], bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for tables that are joined with each other: by the size of the largest, as the scans report it."""
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables]
+    spark = tables[0].sparkSession
+    known = [s for s in sizes if s < UNKNOWN_BYTES]
+    if len(known) < len(sizes):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, -(-max(known) // bucket_bytes))
+
+
+def publish_bucketed(df: DataFrame, database: str, table: str, key: str, buckets: int) -> None:
     """Replace a table whose files are laid out by ``key``: joins and groupings on it need no exchange."""
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # One shuffle by the same hash, so each bucket is one file instead of one per task.
-    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
-    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{database}`.`{table}`")
+    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    _swapped(df.sparkSession, database, table, writer.saveAsTable)
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame | None:

@@ -9,7 +9,7 @@ from ordermart.functions.columns import nan_to_null, sanitize_columns
 from ordermart.operators.keys import surrogate_key
 
 ID = "id"
-CHUNK = 100_000  # copies of one row that one task writes out at a time
+CHUNK = 100_000  # copies of one row that one task writes out at a time; more are dealt to several tasks, none is lost
 
 
 def scan_options(table: str, bounds: tuple[int, int] | None, partitions: int, fetch_size: int = 10_000) -> dict[str, str]:
@@ -52,14 +52,12 @@ def relational_rows(df: DataFrame, last_id: int = 0) -> DataFrame:
     text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns])
     columns = text.columns
     counted = text.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    few = counted.filter(F.col("_copies") <= CHUNK).withColumn("_chunk", F.lit(0).cast("bigint"))
-    # A row with very many copies is cut into chunks that different tasks write out.
-    many = counted.filter(F.col("_copies") > CHUNK)
-    many = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / CHUNK))))
-    many = many.repartition(*columns, "_chunk")
+    # A row with very many copies is cut into chunks, which the shuffle deals to different tasks.
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / CHUNK))
+    chunked = counted.withColumn("_chunk", F.explode(chunks)).repartition(*columns, "_chunk")
     start = F.col("_chunk") * CHUNK
     numbers = F.sequence(start, F.least(F.col("_copies"), start + CHUNK) - 1)
-    single = few.unionByName(many).select(*columns, F.explode(numbers).alias("_copy"))
+    single = chunked.select(*columns, F.explode(numbers).alias("_copy"))
     return surrogate_key(single, ID, [*columns, "_copy"], start=last_id + 1).select(ID, *columns)
 
 

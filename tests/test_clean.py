@@ -6,13 +6,16 @@ import pytest
 from helpers import day, item, order, payment, product, review, small_sources
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import lenient_int, lenient_timestamp, strict_double
+from ordermart.functions.casts import exact_sum, lenient_int, lenient_timestamp, strict_double
 from ordermart.functions.columns import nan_to_null, sanitize_columns, shipping_seconds, table_name, thousands
 from ordermart.operators.clean import clean_sources, clean_tables, clean_wide
 from ordermart.operators.convert import convert_types
-from ordermart.operators.marts import WIDE_MARTS
+from ordermart.operators.marts import MARTS, WIDE_MARTS
 from ordermart.operators.merge import merge_wide
 from ordermart.operators.star import build_star, star_from_wide
+from ordermart.operators.statistics import merged_statistics
+from ordermart.plans.refresh import WHOLE_NUMBERS, stage
+from ordermart.schemas import MERGED_COLUMNS
 
 
 def both_ways(sources):
@@ -61,6 +64,56 @@ def test_a_column_without_any_value_drops_everything(spark):
     assert clean_sources(sources).count() == 0
 
 
+@pytest.mark.parametrize("column", ["price", "freight_value", "product_weight_g", "payment_sequential", "review_score"])
+def test_an_empty_column_that_is_not_read_drops_everything_too(spark, sources, column):
+    empty = {n: df.withColumn(column, F.lit(None).cast(dict(df.dtypes)[column])) if column in df.columns else df for n, df in sources.items()}
+    for columns in (None, [], ["order_item_id"]):
+        tables = clean_tables(empty, columns)
+        assert MARTS["dm_payment_analysis"](tables).count() == 0
+
+
+def test_a_value_of_a_line_without_order_does_not_count(spark):
+    sources = small_sources(spark, [order("a")], [payment("a")], [review("a", "r")], [item("a", price=None), item("lost", price=3.0)])
+    assert clean_wide(merge_wide(sources)).count() == 0
+    assert MARTS["dm_payment_analysis"](clean_tables(sources, [])).count() == 0
+
+
+def test_undeclared_columns_take_part(spark):
+    """An extra column stays through the merge and its nulls drop rows; names shared by two tables are told apart."""
+    sources = small_sources(spark, [order("a"), order("b")], [payment("a"), payment("b")], [review("a", "r"), review("b", "s")], [item("a"), item("b")])
+    note = F.when(F.col("order_id") == "a", "kept")
+    sources["payments"] = sources["payments"].withColumn("note", note)
+    sources["sellers"] = sources["sellers"].withColumn("note", F.lit("shop")).withColumn("rank", F.lit(1))
+    merged = merge_wide(sources)
+    assert [c for c in merged.columns if c not in MERGED_COLUMNS] == ["note_x", "note_y", "rank"]
+    assert {r["order_id"] for r in clean_wide(merged).collect()} == {"a"}
+    (row,) = clean_sources(sources).collect()
+    assert (row["note_x"], row["note_y"], row["rank"]) == ("kept", "shop", 1)
+    assert MARTS["dm_payment_analysis"](clean_tables(sources, [])).first()["total_transactions"] == 1
+
+
+def test_amounts_lose_no_digits(spark):
+    small = spark.createDataFrame([(0.00004,)] * 10, "price double")
+    with pytest.raises(Exception, match="price: not a number"):
+        small.agg(exact_sum(F.col("price"))).collect()
+    assert float(small.agg(exact_sum(F.col("price"), 6)).first()[0]) == 0.0004
+    large = spark.createDataFrame([(1e15,), (0.25,)], "price double")
+    assert float(large.agg(exact_sum(F.col("price"))).first()[0]) == 1e15 + 0.25
+    with pytest.raises(Exception, match="price: not a number"):
+        spark.createDataFrame([(1e30,)], "price double").agg(exact_sum(F.col("price"))).collect()
+
+
+@pytest.mark.parametrize("column", ["payment_sequential", "payment_installments", "order_item_id"])
+def test_a_fractional_median_stops_the_job(spark, column):
+    """Values 1 and 2 and one missing: the fill is 1.5, which the final conversion refuses."""
+    values = dict(zip("abc", (1, 2, None), strict=True))
+    payments = [payment(o, **({column: v} if column != "order_item_id" else {})) for o, v in values.items()]
+    items = [item(o, v if column == "order_item_id" else 1) for o, v in values.items()]
+    sources = small_sources(spark, [order(o) for o in values], payments, [review(o, o) for o in values], items)
+    with pytest.raises(Exception, match="not a 32-bit integer"):
+        stage(spark, sources, types=WHOLE_NUMBERS)
+
+
 def test_nan_counts_as_missing(spark):
     sources = small_sources(
         spark,
@@ -92,7 +145,9 @@ def test_fractional_median_of_an_integer_column_is_an_error_when_typed(spark):
 def test_casts(spark):
     df = spark.createDataFrame([("2.0",), ("7",), ("x",), (None,), ("nan",), ("00042",)], "v string")
     assert [r[0] for r in df.select(lenient_int(F.col("v"))).collect()] == [2, 7, None, None, None, 42]
-    for bad in ("1.5", "3000000000"):
+    edge = spark.createDataFrame([("-2147483648",), ("2147483647",)], "v string")
+    assert [r[0] for r in edge.select(lenient_int(F.col("v"))).collect()] == [-(2**31), 2**31 - 1]
+    for bad in ("1.5", "3000000000", "-2147483649"):
         with pytest.raises(Exception, match="not a 32-bit integer"):
             spark.createDataFrame([(bad,)], "v string").select(lenient_int(F.col("v"))).collect()
     times = spark.createDataFrame([("2024-01-02 03:04:05",), ("soon",), (None,)], "v string")

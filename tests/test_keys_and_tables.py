@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ordermart.operators import insights
 from ordermart.operators.keys import surrogate_key
-from ordermart.plans.refresh import refresh, stage
+from ordermart.plans.refresh import publish_star, refresh, stage
 from ordermart.schemas import DIMENSIONS, FACT_LOOKUPS
 from ordermart.sources import jdbc
-from ordermart.sources.catalog import create_database, has_rows, list_tables, publish, read_table
-from ordermart.sources.files import read_csv, write_csv
+from ordermart.session import clear_stage
+from ordermart.sources.catalog import application_database, bucket_count, create_database, has_rows, list_tables, publish, read_table, stage_database
+from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
 
 
 def test_keys_are_dense_and_repeatable(spark):
@@ -23,7 +24,7 @@ def test_keys_are_dense_and_repeatable(spark):
 
 
 def test_append_doubles_and_overwrite_replaces(spark):
-    db = create_database(spark, "modes")
+    db = stage_database(spark)
     df = spark.range(3)
     publish(df, db, "t")
     publish(df, db, "t", "append")
@@ -32,8 +33,66 @@ def test_append_doubles_and_overwrite_replaces(spark):
     assert read_table(spark, db, "t").count() == 3
 
 
+def test_a_failed_overwrite_leaves_the_old_table(spark):
+    db = stage_database(spark)
+    publish(spark.range(3), db, "t")
+    with pytest.raises(Exception, match="broken"):
+        publish(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), db, "t")
+    assert read_table(spark, db, "t").count() == 3
+    assert [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {db}").collect()] == ["t"]
+
+
+def test_a_database_keeps_its_place(spark, tmp_path):
+    create_database(spark, "placed", str(tmp_path / "a"))
+    create_database(spark, "placed", str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="placed is at"):
+        create_database(spark, "placed", str(tmp_path / "b"))
+
+
+def test_buckets_follow_the_size(spark, sources):
+    least = spark.sparkContext.defaultParallelism
+    assert bucket_count([sources["orders"]]) == least
+    assert bucket_count([sources["orders"], sources["items"]], bucket_bytes=100) > 10 * least
+
+
+def test_appending_the_star_twice_doubles_every_table(spark, sources):
+    tables = stage(spark, sources)
+    db = stage_database(spark)
+    publish_star(spark, tables, db, "append")
+    once = {n: read_table(spark, db, n).count() for n in [*DIMENSIONS, "fact_orders"]}
+    publish_star(spark, tables, db, "append")
+    assert {n: read_table(spark, db, n).count() for n in once} == {n: 2 * k for n, k in once.items()}
+
+
+def test_frames_built_first_and_read_in_any_order(spark, sf_dir):
+    from ordermart.plans.queries import QUERIES
+
+    names = ["star_agg_sales_by_seller", "star_agg_sales_by_category", "scan_table", "src_csv", "sink_append"]
+    built = [(n, QUERIES[n](spark, sf_dir)) for n in names + names]
+    rows = {}
+    for n, df in reversed(built):
+        assert rows.setdefault(n, sorted(map(str, df.collect()))) == sorted(map(str, df.collect()))
+
+
+def test_empty_text_and_null_stay_apart_in_csv(spark, tmp_path):
+    df = spark.createDataFrame([("two\nlines", 1.5), ("", None), (None, 2.0), ('a "quoted", text', 3.0), ("\r\n", 4.0)], "t string, v double")
+    path = write_csv(df, str(tmp_path / "x"), NULL_TEXT)
+    same(read_csv_as(spark, path, df), df)
+
+
+def test_undeclared_columns_are_read_as_text(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_id,note,seller_zip_code_prefix\ns1,007,12\n")
+    assert read_csv(spark, str(path), "sellers").dtypes == [("seller_id", "string"), ("note", "string"), ("seller_zip_code_prefix", "int")]
+
+
+def test_shares_of_nothing(spark):
+    df = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "k string, v double")
+    assert sorted((r["k"], r["v"], r["share"]) for r in insights.share_of_total(df, "k", "v").collect()) == [("a", 0.0, None), ("b", 0.0, None)]
+
+
 def test_table_listing(spark):
-    db = create_database(spark, "listing")
+    db = stage_database(spark)
     for name in ("Agg_one", "aggregate_two", "dm_three"):
         publish(spark.range(1), db, name)
     # The underscore of the pattern matches any character.
@@ -94,8 +153,9 @@ def test_charts_select_their_columns(spark):
 
 @pytest.fixture(scope="module")
 def warehouse(spark, sources):
-    database = create_database(spark, "refresh_test")
+    database = application_database(spark, "refresh_test")
     refresh(spark, sources, database)
+    assert not any(r["tableName"].startswith("stage") for r in spark.sql(f"SHOW TABLES IN {database}").collect())
     return lambda name: read_table(spark, database, name)
 
 
@@ -116,8 +176,7 @@ def test_warehouse_invariants(warehouse):
 
 
 def test_staged_joins_need_no_exchange_by_order(spark, sources):
-    database = create_database(spark, "staged_plan")
-    tables = stage(spark, sources, database, ["price"])
+    tables = stage(spark, sources, ["price"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         from ordermart.operators.weights import item_lines
@@ -133,9 +192,17 @@ def test_large_orders_are_staged_without_buckets(spark, sources, monkeypatch):
     from ordermart.operators.marts import MARTS
     from ordermart.plans import refresh as module
 
-    database = create_database(spark, "staged_hot")
+    database = stage_database(spark)
+    monkeypatch.setattr(module, "stage_database", lambda spark: database)
     monkeypatch.setattr(module, "clean_tables", lambda s, columns: clean_tables(s, columns, rows_per_slice=3))
-    tables = stage(spark, sources, database, [])
-    layout = spark.sql(f"DESCRIBE EXTENDED {database}.stage_items").collect()
+    tables = stage(spark, sources, [])
+    layout = spark.sql(f"DESCRIBE EXTENDED {database}.items").collect()
     assert not any(row["col_name"] == "Bucket Columns" for row in layout)
     same(MARTS["dm_payment_analysis"](tables), MARTS["dm_payment_analysis"](clean_tables(sources, [])))
+
+
+def test_clearing_the_stage_drops_its_databases(spark):
+    database = stage_database(spark)
+    publish(spark.range(2), database, "t")
+    clear_stage(spark)
+    assert not spark.catalog.databaseExists(database)

@@ -48,3 +48,11 @@ def test_merge_keeps_left_joins(plan):
 
 def test_top_customers_sort_no_more_than_ten_per_task(plan):
     assert "TakeOrderedAndProject(limit=10" in plan("top10_customers")
+
+
+@pytest.mark.parametrize("name", ["star_agg_sales_by_category", "star_agg_sales_by_customer_state"])
+def test_fact_rows_are_summed_before_they_meet_a_dimension(plan, name):
+    text = plan(name)
+    # What is shuffled by the key has been summed below.
+    below = text[text.index("SortMergeJoin [") :]
+    assert re.search(r"Exchange hashpartitioning\((product|customer)_key#\d+L?, \d+\).*\n.*HashAggregate\(keys=\[(product|customer)_key", below)

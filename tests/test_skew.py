@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ordermart.operators.aggregates import AGGREGATES
 from ordermart.operators.clean import STATISTIC_COLUMNS, clean_sources, clean_tables, clean_wide
-from ordermart.operators.fanout import LINE_TABLES, LineCounts
-from ordermart.operators.marts import MARTS
+from ordermart.operators.fanout import LINE_TABLES, LineCounts, hot_orders
+from ordermart.operators.marts import MARTS, WIDE_MARTS
 from ordermart.operators.merge import merge_wide
 from ordermart.operators.star import build_star
 from ordermart.operators.statistics import merged_statistics, wide_statistics
@@ -31,7 +31,7 @@ def test_large_orders_are_found(hot_sources):
     assert LineCounts(hot_sources).hot(*LINE_TABLES) is None
     found = {r["order_id"]: r for r in LineCounts(hot_sources, TINY).hot(*LINE_TABLES).collect()}
     assert set(found) == {"big"}
-    assert found["big"]["_spread"] == "items" and found["big"]["_slices"] == 60
+    assert [found["big"][f"_s_{t}"] for t in LINE_TABLES] == [2, 1, 60]
 
 
 @pytest.mark.parametrize("name", ["hot_sources", "sources"])
@@ -75,14 +75,54 @@ def test_star(tables):
         same(sliced[name], df)
 
 
-def test_slices_share_the_copies(spark, sources, hot_sources):
-    """Exact copies from different input splits land in different slices."""
+def cells(spark, numbers, spread):
+    """A hot order with so many equal rows per table, and the slices of each table."""
     from ordermart.operators.fanout import slice_rows
 
-    hot = spark.createDataFrame([("big", 8, "items")], "order_id string, _slices int, _spread string")
-    copies = hot_sources["items"].filter("order_id = 'big'").select("order_id", F.lit(1).alias("x")).repartition(16)
-    slices = slice_rows(copies, hot, "items").groupBy("_slice").count().collect()
-    assert sum(r["count"] for r in slices) == 60
-    assert len(slices) > 1
-    repeated = slice_rows(copies, hot, "payments").groupBy("_slice").count().collect()
-    assert {r["_slice"]: r["count"] for r in repeated} == {n: 60 for n in range(8)}
+    hot = spark.createDataFrame([("big", *spread)], "order_id string, _s_payments long, _s_reviews long, _s_items long")
+    out = {}
+    for table, n in zip(LINE_TABLES, numbers, strict=True):
+        rows = spark.range(n, numPartitions=1).select(F.lit("big").alias("order_id"), F.lit(1).alias("x"))
+        found = slice_rows(rows, hot, table).groupBy("_slice").count().collect()
+        out[table] = {r["_slice"]: r["count"] for r in found}
+    return out
+
+
+def test_equal_rows_of_one_split_share_the_slices(spark):
+    found = cells(spark, (1, 1, 1000), (1, 1, 8))
+    assert found["items"] == {n: 125 for n in range(8)}
+    assert found["payments"] == {n: 1 for n in range(8)}
+
+
+def test_three_large_tables_make_a_grid(spark):
+    counts = spark.createDataFrame([("big", 1, 1000, 1000, 1000)], "order_id string, n_orders long, n_payments long, n_reviews long, n_items long")
+    row = hot_orders(counts, LINE_TABLES, 4000).first()
+    spread = [row[f"_s_{t}"] for t in LINE_TABLES]
+    per_slice = [-(-1000 // s) for s in spread]
+    assert per_slice[0] * per_slice[1] * per_slice[2] <= 2 * 4000
+    found = cells(spark, (6, 4, 10), (3, 2, 5))
+    assert {len(c) for c in found.values()} == {30}
+    assert all(found["payments"][k] * found["reviews"][k] * found["items"][k] == 2 * 2 * 2 for k in range(30))
+
+
+def lookups_twice(spark, sources):
+    """Some customers, products, translations and sellers twice, with the same or other attributes."""
+    twice = dict(sources)
+    for name, key in (("customers", "customer_id"), ("products", "product_id"), ("sellers", "seller_id")):
+        twice[name] = sources[name].union(sources[name].filter(F.col(key) % 3 == 0))
+    other = sources["translation"].filter("product_category_name = 'SMALL'").withColumn("product_category_name_english", F.lit("little"))
+    return twice | {"translation": sources["translation"].union(other)}
+
+
+def test_repeated_lookup_keys_multiply_as_in_the_merge(spark, sources):
+    twice = lookups_twice(spark, sources)
+    merged = merge_wide(twice)
+    assert merged_statistics(twice, STATISTIC_COLUMNS) == wide_statistics(merged, STATISTIC_COLUMNS)
+    wide = clean_wide(merged)
+    same(clean_sources(twice), wide)
+    tables = clean_tables(twice)
+    for name, build in MARTS.items():
+        same(build(tables), WIDE_MARTS[name](wide))
+    total = wide.count()
+    assert AGGREGATES["Agg_sales_by_seller"](tables).agg(F.sum("total_orders")).first()[0] == total
+    assert AGGREGATES["Agg_sales_by_category"](tables).agg(F.sum("total_orders")).first()[0] == total
