@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import mmap
 import os
+import sys
 import uuid
 
 import numpy as np
@@ -35,18 +37,23 @@ def _unpacked(words: np.ndarray, width: int, index: np.ndarray) -> np.ndarray:
     return (low | high) & U64((1 << width) - 1)
 
 
+# Place of the k-th set bit of each byte, at 8 * byte + k.
+IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for byte in range(256) for k in range(8)], U64)
+EACH = U64(0x0101010101010101)
+TOPS = U64(0x8080808080808080)
+
+
 def _kth_bit(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th set bit (from 0) in each word, by halving."""
-    place = np.zeros(len(words), U64)
+    """Place of the k-th set bit (from 0) in each word: running counts of all its bytes at once, then a table."""
     k = k.astype(U64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = words & U64((1 << width) - 1)
-        n = np.bitwise_count(low).astype(U64)
-        above = k >= n
-        k = np.where(above, k - n, k)
-        words = np.where(above, words >> U64(width), low)
-        place += above.astype(U64) * U64(width)
-    return place
+    n = words - ((words >> ONE) & U64(0x5555555555555555))
+    n = (n & U64(0x3333333333333333)) + ((n >> U64(2)) & U64(0x3333333333333333))
+    n = ((n + (n >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * EACH
+    # The byte: as many as have a running count of k or less.
+    shift = np.bitwise_count(((k * EACH) | TOPS) - n & TOPS).astype(U64) << U64(3)
+    before = ((n << U64(8)) >> shift) & U64(0xFF)
+    byte = (words >> shift) & U64(0xFF)
+    return shift + IN_BYTE[((byte << U64(3)) + k - before).astype(np.int64)]
 
 
 class EliasFano:
@@ -136,12 +143,25 @@ class Successors:
     def start(self, context: np.ndarray) -> np.ndarray:
         return self.pointers.get(context).astype(np.int64)
 
-    def find(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Position of each id in its context's list, -1 where it is not there."""
-        start, end = self.start(context), self.start(context + 1)
-        base = np.where(start > 0, self.ids.get(np.maximum(start - 1, 0)) if self.ids.n else U64(0), U64(0))
-        found = self.ids.find(base + ids.astype(U64) + ONE)
-        return np.where((found >= start) & (found < end), found, -1)
+    def find(self, context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position of each id in the whole, -1 where it is not in its context's list, and where that list starts.
+
+        Equal contexts that stand together are looked up once, and empty lists are not searched.
+        """
+        found, first = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+        if not len(ids) or not self.ids.n:
+            return found, first
+        new = np.ones(len(context), bool)
+        new[1:] = context[1:] != context[:-1]
+        distinct, which = context[new], np.cumsum(new) - 1
+        start, end = self.start(distinct), self.start(distinct + 1)
+        base = np.where(start > 0, self.ids.get(np.maximum(start - 1, 0)), U64(0))
+        first = start[which]
+        rows = np.nonzero((end > start)[which])[0]
+        at = self.ids.find(base[which[rows]] + ids[rows].astype(U64) + ONE)
+        inside = (at >= first[rows]) & (at < end[which[rows]])
+        found[rows[inside]] = at[inside]
+        return found, first
 
 
 def save_arrays(path: str, arrays: dict[str, np.ndarray]) -> None:
@@ -164,11 +184,14 @@ def save_arrays(path: str, arrays: dict[str, np.ndarray]) -> None:
 
 def map_arrays(path: str) -> dict[str, np.ndarray]:
     """Arrays of a file, mapped and read as they are touched."""
-    whole = np.memmap(path, np.uint8, "r")
+    # The mapping outlives the file's descriptor, so that thousands of files can be mapped at a time.
+    unheld = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+    with open(path, "rb") as file:
+        whole = np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **unheld), np.uint8)
     size = int(whole[:8].view("<u8")[0])
     head = json.loads(whole[8 : 8 + size].tobytes())
     out = {}
     for name, (kind, n, at) in head.items():
         start = 8 + size + at
-        out[name] = np.asarray(whole)[start : start + n * np.dtype(kind).itemsize].view(kind)
+        out[name] = whole[start : start + n * np.dtype(kind).itemsize].view(kind)
     return out

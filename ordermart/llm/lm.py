@@ -16,9 +16,9 @@ search. Every shard is one file per level in the shared folder (``spark.checkpoi
 executors); tasks map the files and read the pages they touch. Nothing is broadcast, and no task holds more than one
 block of text (``BLOCK`` tokens) or, while building, the counts of one shard.
 
-Counting: each task counts its own blocks with numpy and sends sorted, distinct n-grams per shard as binary blobs;
-``MERGE`` blobs at a time are merged before a shard comes together, so a shard's task gets distinct n-grams however
-often they occur. A text that repeats or a word that is everywhere therefore costs no task more than others.
+Counting: each task counts its own blocks with numpy and sends sorted, distinct n-grams per shard as binary blobs. A
+shard with more than ``SHARD_BYTES`` of them is merged in groups before it comes together, so a shard's task gets
+distinct n-grams however often they occur.
 
 Defined results: null text is empty: one token, the end. Words are told apart by XXH64. With no training text all counts
 are 0. A null id is in the fold of the empty text. Repeated rows are counted and scored one by one; an empty table gives
@@ -44,8 +44,9 @@ from ordermart.llm.samples import fold
 DISCOUNT = 0.75
 LEAST = 2
 SHARD_TOKENS = 4_000_000
-BLOCK = 1_500_000
-MERGE = 64
+BLOCK = 750_000
+# Bytes of counts that one task takes for a shard; a shard has about 80 MB unless one word is a large part of all.
+SHARD_BYTES = 256 << 20
 # The end of a text, as a word that no text can have.
 END = b""
 # Quantised: steps per factor of ten.
@@ -116,16 +117,42 @@ def _texts(batches, with_row: bool = False) -> Iterator[tuple[bytes, object]]:
             yield t.as_py() or b"", row
 
 
+def _order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Order by a, then b: of one combined number where that fits."""
+    if not len(a):
+        return np.empty(0, np.int64)
+    width = int(b.max()) + 1
+    if int(a.max()) < (1 << 63) // width - 1:
+        return np.argsort(a.astype(np.int64) * width + b.astype(np.int64))
+    return np.lexsort((b, a))
+
+
+def _new(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a pair differs from the one before it."""
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return new
+
+
 def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct keys in order (the first column leads) and their summed counts."""
+    """Distinct pairs of keys in order (the first leads) and their summed counts."""
     if not len(counts):
         return keys, counts
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    at = np.nonzero(new)[0]
-    return [k[at] for k in keys], np.add.reduceat(counts[order], at)
+    order = _order(*keys)
+    a, b = (k[order] for k in keys)
+    at = np.nonzero(_new(a, b))[0]
+    return [a[at], b[at]], np.add.reduceat(counts[order], at)
+
+
+def _counted(a: np.ndarray, b: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct pairs of non-negative keys in order and how often each comes."""
+    if not len(a):
+        return [a, b], np.empty(0, np.int64)
+    width = int(b.max()) + 1
+    if int(a.max()) >= (1 << 63) // width - 1:
+        return _summed([a, b], np.ones(len(a), np.int64))
+    keys, n = np.unique(a * width + b, return_counts=True)
+    return [keys // width, keys % width], n.astype(np.int64)
 
 
 BLOB = "shard int, salt int, a binary, b binary, n binary"
@@ -151,18 +178,26 @@ def _entries(table: pa.Table, kinds: tuple) -> tuple[list[np.ndarray], np.ndarra
 
 
 def _merged(blobs: DataFrame, scratch: Scratch, kinds: tuple, name: str) -> DataFrame:
-    """The blobs, merged in groups of about ``MERGE`` until no shard has more than that."""
+    """The blobs, written once. A shard that is too much for one task is merged in groups first, as long as that helps.
+
+    Shards follow the tokens, so this is only for words that are a large part of all: their n-grams come once per
+    block and task, and shrink to the distinct ones.
+    """
     blobs = scratch.write(blobs, name)
-    while (most := blobs.groupBy("shard").count().agg(F.max("count")).head()[0] or 0) > MERGE:
+    size = lambda df: df.groupBy("shard").agg(F.sum(F.octet_length("a") + F.octet_length("b") + F.octet_length("n")).alias("size")).agg(F.max("size")).head()[0] or 0
+    most = size(blobs)
+    while most > SHARD_BYTES:
 
         def merge(key, table):
             (a, b), n = _entries(table, kinds)
             return pa.Table.from_batches([_blob_rows([(key[0].as_py(), key[1].as_py(), a.tobytes(), b.tobytes(), n.tobytes())])])
 
-        numbered = blobs.withColumn("salt", F.pmod("salt", F.lit(-(-most // MERGE))))
+        numbered = blobs.withColumn("salt", F.pmod("salt", F.lit(int(-(-2 * most // SHARD_BYTES)))))
         fewer = scratch.write(numbered.groupBy("shard", "salt").applyInArrow(merge, BLOB), name)
         scratch.drop(blobs)
-        blobs = fewer
+        blobs, before, most = fewer, most, size(fewer)
+        if most > 0.7 * before:
+            break
     return blobs
 
 
@@ -187,16 +222,20 @@ class Trie:
 
 
 class Levels:
-    """The mapped trie inside a task."""
+    """The trie inside a task; a shard's level is mapped when it is first asked."""
 
-    def __init__(self, trie: Trie, levels: tuple[str, ...]) -> None:
+    def __init__(self, trie: Trie) -> None:
         self.trie = trie
-        self.maps = {level: [map_arrays(trie.path(level, k)) if trie.words[k + 1] > trie.words[k] else None for k in range(trie.shards)] for level in levels}
-        self._lists = {}
+        self._maps, self._lists = {}, {}
+
+    def _arrays(self, level: str, shard: int) -> dict[str, np.ndarray]:
+        if (level, shard) not in self._maps:
+            self._maps[level, shard] = map_arrays(self.trie.path(level, shard))
+        return self._maps[level, shard]
 
     def _successors(self, level: str, shard: int) -> Successors:
         if (level, shard) not in self._lists:
-            self._lists[level, shard] = Successors(self.maps[level][shard], level)
+            self._lists[level, shard] = Successors(self._arrays(level, shard), level)
         return self._lists[level, shard]
 
     def _by_shard(self, owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -210,11 +249,11 @@ class Levels:
         """Ids (-1: unknown) and counts of words."""
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         for k, rows in self._by_shard(self.trie.shard_of_hash(hashes)):
-            known, h = self.maps["words"][k]["hash"], hashes[rows]
+            known, h = self._arrays("words", k)["hash"], hashes[rows]
             at = np.minimum(np.searchsorted(known, h), len(known) - 1)
             hit = known[at] == h
             ids[rows[hit]] = at[hit] + self.trie.words[k]
-            counts[rows[hit]] = self.maps["words"][k]["count"][at[hit]]
+            counts[rows[hit]] = self._arrays("words", k)["count"][at[hit]]
         return ids, counts
 
     def pairs(self, a: np.ndarray, b: np.ndarray, numbers: tuple[str, ...] = ()) -> tuple:
@@ -223,29 +262,29 @@ class Levels:
         out = {c: np.zeros(len(a), np.uint16 if c != "pair_count" else np.int64) for c in numbers}
         for k, rows in self._by_shard(np.searchsorted(self.trie.words, a, side="right") - 1):
             lists, context = self._successors("pairs", k), a[rows] - self.trie.words[k]
-            found = lists.find(context, b[rows])
+            found, start = lists.find(context, b[rows])
             hit = found >= 0
-            rows, found, context = rows[hit], found[hit], context[hit]
+            rows, found = rows[hit], found[hit]
             nodes[rows] = found + self.trie.pairs[k]
-            places[rows] = found - lists.start(context)
+            places[rows] = found - start[hit]
             for c in numbers:
-                out[c][rows] = self.maps["pairs"][k][c][found]
+                out[c][rows] = self._arrays("pairs", k)[c][found]
         return nodes, places, out
 
     def backoff(self, a: np.ndarray) -> np.ndarray:
         """Back-off weights of words as contexts."""
         out = np.zeros(len(a), np.uint16)
         for k, rows in self._by_shard(np.searchsorted(self.trie.words, a, side="right") - 1):
-            out[rows] = self.maps["pairs"][k]["word_backoff"][a[rows] - self.trie.words[k]]
+            out[rows] = self._arrays("pairs", k)["word_backoff"][a[rows] - self.trie.words[k]]
         return _restored(out)
 
     def triples(self, node: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probability share of triples (0: not kept), and back-off weights of their pairs."""
         share, weight = np.zeros(len(node)), np.ones(len(node))
         for k, rows in self._by_shard(np.searchsorted(self.trie.pairs, node, side="right") - 1):
-            arrays, context = self.maps["triples"][k], node[rows] - self.trie.pairs[k]
+            arrays, context = self._arrays("triples", k), node[rows] - self.trie.pairs[k]
             weight[rows] = _restored(arrays["pair_backoff"][context])
-            found = self._successors("triples", k).find(context, place[rows])
+            found, _ = self._successors("triples", k).find(context, place[rows])
             hit = found >= 0
             share[rows[hit]] = _restored(arrays["share"][found[hit]])
         return share, weight
@@ -253,10 +292,9 @@ class Levels:
 
 def _distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of non-negative numbers in order, and where each row's pair is."""
-    order = np.lexsort((second, first))
+    order = _order(first, second)
     a, b = first[order], second[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    new = _new(a, b)
     inverse = np.empty(len(order), np.int64)
     inverse[order] = np.cumsum(new) - 1
     return a[new], b[new], inverse
@@ -286,7 +324,7 @@ def _count_words(shards: int):
 
 
 def _salt(k: int) -> int:
-    """Number of a blob: spreads the blobs of a shard over groups of ``MERGE``."""
+    """Number of a blob: spreads the blobs of a shard over groups that are merged together."""
     from pyspark import TaskContext
 
     return (TaskContext.get().partitionId() * 1009 + k) % (1 << 30)
@@ -296,10 +334,10 @@ def _count_pairs(trie: Trie):
     def each(batches):
         levels = None
         for k, block in enumerate(blocks_of(_texts(batches))):
-            levels = levels or Levels(trie, ("words",))
+            levels = levels or Levels(trie)
             ids = levels.words(block.hashes)[0][block.local]
             second = np.nonzero(block.follows(1))[0]
-            (a, b), n = _summed([ids[second - 1], ids[second]], np.ones(len(second), np.int64))
+            (a, b), n = _counted(ids[second - 1], ids[second])
             shard = np.searchsorted(trie.words, a, side="right") - 1
             made = _blobs(shard, (a - trie.words[shard]).astype(np.uint32), b.astype(np.uint32), n, _salt(k)) if len(a) else None
             if made is not None:
@@ -312,13 +350,13 @@ def _count_triples(trie: Trie):
     def each(batches):
         levels = None
         for k, block in enumerate(blocks_of(_texts(batches))):
-            levels = levels or Levels(trie, ("words", "pairs"))
+            levels = levels or Levels(trie)
             _, _, rows, node, place, _ = _looked_up(levels, block, ())
             by_token = np.full(len(block.local), -1, np.int64)
             by_token[rows] = node
             third = np.nonzero(block.follows(2)[rows] & (node >= 0))[0]
             third = third[by_token[rows[third] - 1] >= 0]
-            (a, b), n = _summed([by_token[rows[third] - 1], place[third]], np.ones(len(third), np.int64))
+            (a, b), n = _counted(by_token[rows[third] - 1], place[third])
             shard = np.searchsorted(trie.pairs, a, side="right") - 1
             made = _blobs(shard, (a - trie.pairs[shard]).astype(np.uint32), b.astype(np.uint32), n, _salt(k)) if len(a) else None
             if made is not None:
@@ -465,7 +503,7 @@ def score_texts(docs: DataFrame, trie: Trie, text: str) -> DataFrame:
                 yield batch
 
         for block in blocks_of(_texts(seen(), True)):
-            levels = levels or Levels(trie, ("words", "pairs", "triples"))
+            levels = levels or Levels(trie)
             n, known, base, score = score_block(levels, block)
             columns = [pa.array(c, t) for c, t in zip(zip(*block.rows, strict=True), kinds, strict=True)]
             columns += [pa.array(n), pa.array(known), pa.array(np.full(len(n), trie.tokens, np.int64)), pa.array(base), pa.array(score)]

@@ -183,7 +183,8 @@ def test_elias_fano_against_plain_arrays(tmp_path):
     found = eliasfano.Successors(eliasfano.map_arrays(f"{tmp_path}/x"), "s")
     context, ids = rng.integers(0, 300, 4000), rng.integers(0, 500, 4000)
     expected = [pointers[c] + np.searchsorted(lists[c], i) if i in lists[c] else -1 for c, i in zip(context, ids, strict=True)]
-    assert (found.find(context, ids) == expected).all()
+    assert (found.find(context, ids)[0] == expected).all()
+    assert (found.find(context, ids)[1] == pointers[context]).all()
 
 
 def brute_model(rows):
@@ -220,9 +221,9 @@ def brute_model(rows):
     return out
 
 
-@pytest.mark.parametrize(("shard_tokens", "merge"), [(4_000_000, 64), (20_000, 2)])
-def test_language_model_against_dictionaries(spark, sf_dir, small_texts, shard_tokens, merge, monkeypatch):
-    monkeypatch.setattr(lm, "MERGE", merge)
+@pytest.mark.parametrize(("shard_tokens", "shard_bytes"), [(4_000_000, 256 << 20), (20_000, 60_000)])
+def test_language_model_against_dictionaries(spark, sf_dir, small_texts, shard_tokens, shard_bytes, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").repartition(5)
     trie = lm.train_trie(docs.where(fold(docs["doc_id"], 5) != 1).select("text"), shard_tokens)
     rows = {r["doc_id"]: r for r in lm.score_texts(docs, trie, "text").collect()}
