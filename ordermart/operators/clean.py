@@ -26,7 +26,7 @@ from ordermart.session import at_once
 
 STATISTIC_COLUMNS = MEAN_COLUMNS + MEDIAN_COLUMNS
 # Rows looked at first when it is only asked whether a column has a value; the full test follows if they do not tell.
-PROBE = 1000
+PROBE = 20
 
 
 def fill_constants(df: DataFrame) -> DataFrame:
@@ -111,36 +111,36 @@ def have_values(sources: dict[str, DataFrame], columns: list[str]) -> bool:
     """Whether each of these filled columns has a value somewhere in the merged table.
 
     A value counts if its line belongs to an order. A few lines with values in all the columns
-    usually settle it; if none of them does, the whole tables are asked.
+    usually settle it; where none of them does, the whole tables are asked.
     """
-    orders = sources["orders"].select(KEY)
-
-    def present(df: DataFrame, names: list[str]) -> DataFrame:
-        return df.filter(reduce(Column.__and__, [_present(df, c).isNotNull() for c in names]))
-
-    def known(rows: DataFrame) -> bool:
-        keys = [r[KEY] for r in rows.select(KEY).filter(F.col(KEY).isNotNull()).limit(PROBE).collect()]
-        return bool(keys) and not orders.filter(F.col(KEY).isin(keys)).limit(1).isEmpty()
-
-    def lines_of(table: str, names: list[str]) -> bool:
-        if known(present(sources[table], names)):
-            return True
-        rows = sources[table].join(orders, KEY, "left_semi")
-        return _all_occur(rows, names)
-
-    def products(names: list[str]) -> bool:
-        ids = [r[0] for r in present(sources["products"], names).select("product_id").limit(PROBE).collect() if r[0] is not None]
-        if ids and known(sources["items"].filter(F.col("product_id").isin(ids))):
-            return True
-        used = sources["items"].join(orders, KEY, "left_semi").select("product_id")
-        return _all_occur(sources["products"].join(used, "product_id", "left_semi"), names)
-
-    asked = {}
-    for table in (*LINE_TABLES, "products"):
-        names = [c for c in columns if c in SOURCE_COLUMNS[table] and c in sources[table].columns]
-        if names:
-            asked[table] = (lambda names=names: products(names)) if table == "products" else (lambda t=table, names=names: lines_of(t, names))
-    return all(at_once(sources["orders"].sparkSession, asked).values())
+    tables = {t: [c for c in columns if c in SOURCE_COLUMNS[t] and c in sources[t].columns] for t in (*LINE_TABLES, "products")}
+    tables = {t: names for t, names in tables.items() if names}
+    if not tables:
+        return True
+    spark, orders = sources["orders"].sparkSession, sources["orders"].select(KEY)
+
+    def few(df: DataFrame, key: str) -> list:
+        return [r[0] for r in df.select(key).filter(F.col(key).isNotNull()).limit(PROBE).collect()]
+
+    def orders_of(table: str) -> list:
+        """Orders of a few lines that have a value in every column asked for."""
+        present = sources[table].filter(reduce(Column.__and__, [_present(sources[table], c).isNotNull() for c in tables[table]]))
+        if table != "products":
+            return few(present, KEY)
+        ids = few(present, "product_id")
+        return few(sources["items"].filter(F.col("product_id").isin(ids)), KEY) if ids else []
+
+    def occur(table: str) -> bool:
+        rows = sources["items" if table == "products" else table].join(orders, KEY, "left_semi")
+        if table == "products":
+            rows = sources["products"].join(rows.select("product_id"), "product_id", "left_semi")
+        return _all_occur(rows, tables[table])
+
+    keys = at_once(spark, {t: lambda t=t: orders_of(t) for t in tables})
+    asked = sorted({k for found in keys.values() for k in found})
+    known = {r[0] for r in orders.filter(F.col(KEY).isin(asked)).distinct().collect()} if asked else set()
+    open_tables = [t for t, found in keys.items() if not known & set(found)]
+    return all(at_once(spark, {t: lambda t=t: occur(t) for t in open_tables}).values())
 
 
 def _all_occur(rows: DataFrame, names: list[str]) -> bool:

@@ -25,7 +25,7 @@ from ordermart.schemas import (
     RENAMES,
     UNKNOWN_COLUMNS,
 )
-from ordermart.session import at_once, configure, fresh_dir, materialise
+from ordermart.session import at_once, configure, fresh_dir
 from ordermart.sources.catalog import application_database, list_tables, publish, read_mart, read_table, stage_database
 from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
 from ordermart.sources.jdbc import relational_rows
@@ -80,9 +80,8 @@ def staged(spark: SparkSession, sf_dir: str, *results: str) -> clean.CleanTables
 
 
 def dimensions(spark: SparkSession, tables: clean.CleanTables, names: list[str]) -> dict[str, DataFrame]:
-    """Dimensions, each computed once and written."""
-    built = {name: star.build_dimension(tables, name) for name in names}
-    return at_once(spark, {name: lambda df=df: materialise(df) for name, df in built.items()})
+    """Dimensions side by side; each writes its rows once when it is numbered."""
+    return at_once(spark, {name: lambda name=name: star.build_dimension(tables, name) for name in names})
 
 
 def result(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -72,8 +72,7 @@ def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str
 
 def publish_star(spark: SparkSession, tables: CleanTables, database: str, mode: str = "overwrite") -> None:
     """All six tables. The fact table looks its keys up in the dimensions just built, not in older copies of them."""
-    built = {name: build_dimension(tables, name) for name in DIMENSIONS}
-    dimensions = at_once(spark, {name: lambda df=df: materialise(df) for name, df in built.items()})
+    dimensions = at_once(spark, {name: lambda name=name: build_dimension(tables, name) for name in DIMENSIONS})
     publish_all(spark, dimensions | {"fact_orders": build_fact(tables, dimensions)}, database, mode)
 
 
