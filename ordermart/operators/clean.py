@@ -105,6 +105,8 @@ class CleanTables:
     sellers: DataFrame
     # Lines per order, perhaps counted before cleaning, when there were more of them.
     lines: LineCounts
+    # The database that holds the tables once they are staged.
+    staged_in: str | None = None
 
 
 def have_values(sources: dict[str, DataFrame], columns: list[str]) -> bool:

@@ -14,7 +14,7 @@ from ordermart.operators.marts import MARTS
 from ordermart.operators.star import build_dimension, build_fact
 from ordermart.operators.weights import per_order
 from ordermart.schemas import COLUMN_TYPES, DIMENSIONS
-from ordermart.session import at_once, materialise
+from ordermart.session import at_once, delete_path, fresh_dir, materialise
 from ordermart.sources.catalog import bucket_count, publish, publish_bucketed, read_table, stage_database
 
 # Product and seller columns that results group by.
@@ -63,7 +63,7 @@ def stage(
     jobs = {name: lambda name=name, df=df: write(name, df) for name, df in lines.items()}
     jobs |= {name: lambda name=name: write_lookup(name) for name in ("products", "sellers")}
     written = replace(tables, **at_once(spark, jobs))
-    return replace(written, orders=write("orders", per_order(written, *LINE_TABLES)))
+    return replace(written, orders=write("orders", per_order(written, *LINE_TABLES)), staged_in=database)
 
 
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str, mode: str = "overwrite") -> None:
@@ -84,10 +84,10 @@ def publish_marts(spark: SparkSession, tables: CleanTables, database: str) -> No
     publish_all(spark, {name: build(tables) for name, build in MARTS.items()}, database)
 
 
-def land(spark: SparkSession, sources: dict[str, DataFrame], types: dict[str, str]) -> dict[str, DataFrame]:
+def land(spark: SparkSession, sources: dict[str, DataFrame], types: dict[str, str], folder: str) -> dict[str, DataFrame]:
     """Each source read and converted once: what follows reads the same rows, however often."""
     typed = {name: convert_types(df, types) for name, df in sources.items()}
-    return at_once(spark, {name: lambda df=df: materialise(df) for name, df in typed.items()})
+    return at_once(spark, {name: lambda name=name, df=df: materialise(df, f"{folder}/{name}") for name, df in typed.items()})
 
 
 def refresh(
@@ -101,9 +101,17 @@ def refresh(
 
     ``types`` convert the sources before the merge and the cleaned columns after it, so a fill that
     is no whole number is an error in an integer column. With ``append`` the star schema is added to
-    the one that is there; aggregates and marts are always replaced.
+    the one that is there; aggregates and marts are always replaced. What was landed and staged on
+    the way is deleted.
     """
-    tables = stage(spark, land(spark, sources, types), types=types)
-    publish_star(spark, tables, database, mode)
-    publish_aggregates(spark, tables, database)
-    publish_marts(spark, tables, database)
+    folder = fresh_dir(spark, "landed")
+    try:
+        tables = stage(spark, land(spark, sources, types, folder), types=types)
+        try:
+            publish_star(spark, tables, database, mode)
+            publish_aggregates(spark, tables, database)
+            publish_marts(spark, tables, database)
+        finally:
+            spark.sql(f"DROP DATABASE `{tables.staged_in}` CASCADE")
+    finally:
+        delete_path(spark, folder)

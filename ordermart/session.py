@@ -59,13 +59,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{application_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Compute a frame once: written to the shared folder and read back as a plain scan.
 
     Files survive the loss of an executor, and their known size lets the optimizer decide on
     broadcasting them.
     """
-    path = fresh_dir(df.sparkSession, "frame")
+    path = path or fresh_dir(df.sparkSession, "frame")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.operators.convert import convert_types
@@ -34,14 +34,6 @@ SCHEMAS = {
 ZIP_TYPES = {"customer_zip_code_prefix": "int", "seller_zip_code_prefix": "int"}
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def _after(column: str, text: str) -> Column:
-    return F.col(column) + F.expr(f"interval {text}")
-
-
 def _places(tables, df: DataFrame, nation_key: str) -> DataFrame:
     """Add nation and region names."""
     return df.join(tables("nation"), F.col(nation_key) == F.col("n_nationkey")).join(
@@ -49,10 +41,6 @@ def _places(tables, df: DataFrame, nation_key: str) -> DataFrame:
     )
 
 
-def _zip(key: str) -> Column:
-    return F.lpad((F.col(key) % 1000).cast("string"), 5, "0")
-
-
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -63,96 +51,81 @@ def load_raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def tables(name: str) -> DataFrame:
         return read_driver_table(spark, sf_dir, name)
 
-    every = lambda key, n: F.col(key) % n == 0
+    # Written as SQL expressions: a plan of the same columns, built with one call per table.
     order = tables("orders")
-    orders = order.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        _unless(every("o_orderkey", 50), _after("o_orderdate", "1 hour")).alias("order_approved_at"),
-        _unless(every("o_orderkey", 30), _after("o_orderdate", "2 day")).alias("order_delivered_carrier_date"),
-        _unless(every("o_orderkey", 20), _after("o_orderdate", "9 day")).alias("order_delivered_customer_date"),
-        _after("o_orderdate", "20 day").alias("order_estimated_delivery_date"),
+    orders = order.selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "o_orderstatus AS order_status",
+        "o_orderdate AS order_purchase_timestamp",
+        "IF(o_orderkey % 50 = 0, NULL, o_orderdate + INTERVAL 1 HOUR) AS order_approved_at",
+        "IF(o_orderkey % 30 = 0, NULL, o_orderdate + INTERVAL 2 DAY) AS order_delivered_carrier_date",
+        "IF(o_orderkey % 20 = 0, NULL, o_orderdate + INTERVAL 9 DAY) AS order_delivered_customer_date",
+        "o_orderdate + INTERVAL 20 DAY AS order_estimated_delivery_date",
     )
-    customers = _places(tables, tables("customer"), "c_nationkey").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        _zip("c_custkey").alias("customer_zip_code_prefix"),
-        F.col("n_name").alias("customer_city"),
-        F.col("r_name").alias("customer_state"),
+    customers = _places(tables, tables("customer"), "c_nationkey").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS customer_unique_id",
+        "LPAD(CAST(c_custkey % 1000 AS STRING), 5, '0') AS customer_zip_code_prefix",
+        "n_name AS customer_city",
+        "r_name AS customer_state",
     )
-    sellers = _places(tables, tables("supplier"), "s_nationkey").select(
-        F.col("s_suppkey").alias("seller_id"),
-        _zip("s_suppkey").alias("seller_zip_code_prefix"),
-        F.col("n_name").alias("seller_city"),
-        F.col("r_name").alias("seller_state"),
+    sellers = _places(tables, tables("supplier"), "s_nationkey").selectExpr(
+        "s_suppkey AS seller_id",
+        "LPAD(CAST(s_suppkey % 1000 AS STRING), 5, '0') AS seller_zip_code_prefix",
+        "n_name AS seller_city",
+        "r_name AS seller_state",
     )
-    items = tables("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        _unless(F.col("l_linenumber") == 7, F.col("l_extendedprice")).alias("price"),
-        _unless(F.col("l_linenumber") == 6, F.col("l_quantity")).alias("freight_value"),
+    items = tables("lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "IF(l_linenumber = 7, NULL, l_extendedprice) AS price",
+        "IF(l_linenumber = 6, NULL, l_quantity) AS freight_value",
     )
-    name_length = F.length("p_name")
-    products = tables("part").select(
-        F.col("p_partkey").alias("product_id"),
-        _unless(every("p_partkey", 25), F.col("p_type")).alias("product_category_name"),
-        _unless(every("p_partkey", 50), name_length.cast("double")).alias("product_name_lenght"),
-        _unless(every("p_partkey", 50), (name_length * 10).cast("double")).alias("product_description_lenght"),
-        _unless(every("p_partkey", 15), (F.col("p_size") % 5).cast("double")).alias("product_photos_qty"),
-        _unless(every("p_partkey", 16), F.col("p_retailprice")).alias("product_weight_g"),
-        _unless(every("p_partkey", 17), F.col("p_size").cast("double")).alias("product_length_cm"),
-        _unless(every("p_partkey", 18), (F.col("p_size") + 1).cast("double")).alias("product_height_cm"),
-        _unless(every("p_partkey", 19), (F.col("p_size") + 2).cast("double")).alias("product_width_cm"),
+    products = tables("part").selectExpr(
+        "p_partkey AS product_id",
+        "IF(p_partkey % 25 = 0, NULL, p_type) AS product_category_name",
+        "IF(p_partkey % 50 = 0, NULL, CAST(LENGTH(p_name) AS DOUBLE)) AS product_name_lenght",
+        "IF(p_partkey % 50 = 0, NULL, CAST(LENGTH(p_name) * 10 AS DOUBLE)) AS product_description_lenght",
+        "IF(p_partkey % 15 = 0, NULL, CAST(p_size % 5 AS DOUBLE)) AS product_photos_qty",
+        "IF(p_partkey % 16 = 0, NULL, p_retailprice) AS product_weight_g",
+        "IF(p_partkey % 17 = 0, NULL, CAST(p_size AS DOUBLE)) AS product_length_cm",
+        "IF(p_partkey % 18 = 0, NULL, CAST(p_size + 1 AS DOUBLE)) AS product_height_cm",
+        "IF(p_partkey % 19 = 0, NULL, CAST(p_size + 2 AS DOUBLE)) AS product_width_cm",
     )
     pairs = ", ".join(f"('{name}', '{english}')" for name, english in TRANSLATION)
     translation = spark.sql(f"SELECT * FROM VALUES {pairs} AS t({TRANSLATION_COLUMNS})")
     # Every order has one payment or, every tenth order, two: one row per array element.
-    main = F.struct(
-        F.lit(1).alias("payment_sequential"),
-        _unless(every("o_orderkey", 43), F.col("o_orderpriority")).alias("payment_type"),
-        (1 + F.col("o_orderkey") % 4).cast("int").alias("payment_installments"),
-        F.col("o_totalprice").alias("payment_value"),
+    main = (
+        "NAMED_STRUCT('payment_sequential', 1, 'payment_type', IF(o_orderkey % 43 = 0, NULL, o_orderpriority), "
+        "'payment_installments', CAST(1 + o_orderkey % 4 AS INT), 'payment_value', o_totalprice)"
     )
-    voucher = F.struct(
-        F.lit(2).alias("payment_sequential"),
-        F.lit("VOUCHER").alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        (F.col("o_totalprice") / 4).alias("payment_value"),
+    voucher = (
+        "NAMED_STRUCT('payment_sequential', 2, 'payment_type', 'VOUCHER', 'payment_installments', 1, "
+        "'payment_value', o_totalprice / 4)"
     )
     payments = (
-        order.filter(F.col("o_orderkey") % 37 != 0)
-        .select(
-            F.col("o_orderkey").alias("order_id"),
-            F.explode(F.when(every("o_orderkey", 10), F.array(main, voucher)).otherwise(F.array(main))).alias("p"),
-        )
+        order.filter("o_orderkey % 37 <> 0")
+        .selectExpr("o_orderkey AS order_id", f"EXPLODE(IF(o_orderkey % 10 = 0, ARRAY({main}, {voucher}), ARRAY({main}))) AS p")
         .select("order_id", "p.*")
     )
-    kind = F.col("event_type")
-    first = F.struct(
-        F.col("event_id").alias("review_id"),
-        _unless(kind == "error", (1 + F.col("event_id") % 5).cast("double")).alias("review_score"),
-        _unless(kind == "click", kind).alias("review_comment_title"),
-        _unless(kind == "signup", F.col("props")).alias("review_comment_message"),
-        _unless(kind == "view", F.col("ts")).alias("review_creation_date"),
+    first = (
+        "NAMED_STRUCT('review_id', event_id, "
+        "'review_score', IF(event_type = 'error', NULL, CAST(1 + event_id % 5 AS DOUBLE)), "
+        "'review_comment_title', IF(event_type = 'click', NULL, event_type), "
+        "'review_comment_message', IF(event_type = 'signup', NULL, props), "
+        "'review_creation_date', IF(event_type = 'view', NULL, ts))"
     )
-    second = F.struct(
-        (F.col("event_id") + 1000000000).alias("review_id"),
-        F.lit(5.0).alias("review_score"),
-        F.lit(None).cast("string").alias("review_comment_title"),
-        F.lit(None).cast("string").alias("review_comment_message"),
-        F.col("ts").alias("review_creation_date"),
+    second = (
+        "NAMED_STRUCT('review_id', event_id + 1000000000, 'review_score', 5.0D, 'review_comment_title', CAST(NULL AS STRING), "
+        "'review_comment_message', CAST(NULL AS STRING), 'review_creation_date', ts)"
     )
     reviews = (
         tables("events")
-        .select(
-            F.col("event_id").alias("order_id"),
-            F.explode(F.when(every("event_id", 8), F.array(first, second)).otherwise(F.array(first))).alias("r"),
-        )
+        .selectExpr("event_id AS order_id", f"EXPLODE(IF(event_id % 8 = 0, ARRAY({first}, {second}), ARRAY({first}))) AS r")
         .select("r.review_id", "order_id", "r.review_score", "r.review_comment_title", "r.review_comment_message", "r.review_creation_date")
     )
     return {
