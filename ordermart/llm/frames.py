@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.session import application_dir
+from ordermart.session import delete_path, fresh_dir
 
 # The white space of the contracts, space and tab to carriage return.
 SPACE = "\\x20\\x09-\\x0D"
@@ -48,11 +47,11 @@ def ascii_lower(text: Column) -> Column:
 
 
 class Scratch:
-    """Tables one call writes to the shared folder; they survive lost executors."""
+    """Tables one call writes to the shared folder; they survive lost executors, and session.clear_stage deletes them."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.path = f"{application_dir(spark)}/llm/{uuid.uuid4().hex}"
+        self.path = fresh_dir(spark, "llm")
         self._made = 0
 
     def place(self, name: str) -> str:
@@ -70,15 +69,11 @@ class Scratch:
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that no later step reads."""
         for df in frames:
-            self._delete(df.scratch_path)
+            delete_path(self.spark, df.scratch_path)
 
     def clear(self) -> None:
         """Delete all tables; frames that read them end with them."""
-        self._delete(self.path)
-
-    def _delete(self, path: str) -> None:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete_path(self.spark, self.path)
 
 
 def numbered(docs: DataFrame, scratch: Scratch, **more: Column) -> DataFrame:

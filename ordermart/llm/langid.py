@@ -36,10 +36,15 @@ WINDOWS_PER_DOC = 4
 TRAIN_SPAN = 64
 STEPS, BATCH, RATE, SEED = 500, 128, 0.02, 11
 UNKNOWN = "und"
+# Letters, and a few numerals that are sorted out after.
 LETTER = re.compile(r"[^\W\d_]")
 GATES = ("z", "r", "c")
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text or ""))
+
+
 def _softsign(a: np.ndarray, free: np.ndarray) -> np.ndarray:
     np.abs(a, out=free)
     free += 1
@@ -241,7 +246,7 @@ def identify(docs: DataFrame, model: Model, text: str) -> DataFrame:
     def each(batches):
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            known = [k for k, t in enumerate(texts) if t and LETTER.search(t)] if model.languages else []
+            known = [k for k, t in enumerate(texts) if has_letter(t)] if model.languages else []
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if known:
                 p = model.pooled([texts[k].encode() for k in known])

@@ -161,7 +161,7 @@ def test_language_of_held_out_documents(spark, sf_dir):
 
 
 def test_no_letters_no_language(spark, edge_dir):
-    docs = spark.createDataFrame([(1, None), (2, ""), (3, "12 _ 3!"), (4, "ok")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "12 _ 3!²½"), (4, "½ ok")], "doc_id long, text string")
     found = langid.identify(docs, langid.Model(["en"], langid.new_weights(1)), "text").collect()
     assert [(r["lang_pred"], r["score"]) for r in found] == [("und", 0.0)] * 3 + [("en", 1.0)]
     assert {r["lang_pred"] for r in langid.identify(docs, langid.Model([], {}), "text").collect()} == {"und"}
