@@ -52,7 +52,8 @@ def _split(scratch: Scratch, rows: DataFrame, digits=DIGITS) -> list[DataFrame]:
         step = open_rows.select(
             "rid", "id", "n", F.col("keep.rid").alias("parent"), F.expr(f"substring(rest, 1, {width})").alias("digit"), "rest"
         )
-        groups = _grouped(step.drop("rest"), "parent", "digit")
+        # Written first: the join below then has two shuffles of its own, and its large partitions can be split.
+        groups = scratch.write(_grouped(step.drop("rest"), "parent", "digit"), "groups")
         left = scratch.write(
             step.join(groups.hint("merge"), ["parent", "digit"]).select(
                 "rid", "id", "n", "keep", "size", F.expr(f"substring(rest, {width + 1})").alias("rest")
