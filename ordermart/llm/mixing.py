@@ -31,7 +31,7 @@ from ordermart.llm.frames import WORD, Scratch, unpacked, whole_row
 ENTROPY = 0.95
 REPEATS = 4.0
 SEED = 20
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_000_000
 BROADCAST_ROWS = 100_000
 # Exponents tried per round, and rounds: the interval ends below a millionth.
 FAN, ROUNDS = 16, 6
