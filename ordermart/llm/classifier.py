@@ -86,9 +86,8 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, updates:
 
 
 def train_classifier(texts: DataFrame, scratch: Scratch) -> np.ndarray:
-    """Averaged weights. texts: text, label (0 or 1), key (a hash of the row)."""
-    sample = stratified(texts, "label", F.col("key"), PER_LABEL).select("text", "label", "key")
-    sample = scratch.write(sample, "sample")
+    """Averaged weights. texts: a bounded sample of text, label (0 or 1), key (a hash of the row)."""
+    sample = scratch.write(texts, "sample")
 
     def learn(table: pa.Table) -> pa.Table:
         order = np.argsort(table["key"].to_numpy(), kind="stable")
@@ -129,7 +128,7 @@ def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     held_out = fold(F.col("doc_id"), 3) == 1
     chosen = labels.where(~held_out & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"), F.xxhash64("doc_id").alias("key"))
-    chosen = stratified(chosen, "label", F.col("key"), PER_LABEL)  # the sample's ids, before any text is read
+    chosen = stratified(chosen, "label", F.col("key"), PER_LABEL, scratch)  # the sample's ids, before any text is read
     texts = docs.join(F.broadcast(scratch.write(chosen, "chosen")), "doc_id").select("text", "label", "key")
     weights = train_classifier(texts, scratch)
     scored = classify(docs.select("doc_id", held_out.alias("held_out"), "text"), weights, "text")

@@ -212,7 +212,7 @@ def train_model(labelled: DataFrame, text: str, lang: str, key: str, per_languag
                 [pa.array([w for w, _ in rows], pa.binary()), pa.array([x for _, x in rows], pa.string())], names=["window", "lang"]
             )
 
-    sample = stratified(usable, "lang", F.col("key"), per_language).select("text", "lang", "key")
+    sample = stratified(usable, "lang", F.col("key"), per_language, scratch).select("text", "lang", "key")
     windows = scratch.write(sample.mapInArrow(cut, "window binary, lang string"), "windows")
 
     def learn(batches):
