@@ -42,7 +42,7 @@ from ordermart.llm.frames import Scratch, word_blocks
 from ordermart.llm.samples import fold
 
 DISCOUNT = 0.75
-LEAST = 2
+LEAST = 1
 SHARD_TOKENS = 4_000_000
 BLOCK = 750_000
 # Bytes of counts that one task takes for a shard; a shard has about 80 MB unless one word is a large part of all.

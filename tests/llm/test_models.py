@@ -242,3 +242,11 @@ def test_language_model_over_edge_rows(spark, edge_dir, edge_rows):
 def test_language_model_learns_more_than_word_counts(spark, sf_dir):
     rows = [r for r in lm.op8_lm_scoring(spark, sf_dir).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_pairs_and_triples_seen_once_are_in_the_model(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string")
+    rows = lm.score_texts(spark.createDataFrame([(3, "a b c"), (4, "a e c")], "doc_id long, text string"), lm.train_trie(docs.select("text")), "text").collect()
+    seen, mixed_up = (next(r for r in rows if r["doc_id"] == i) for i in (3, 4))
+    # All words are as frequent: only the pairs and triples tell the texts apart.
+    assert abs(seen["base_score"] - mixed_up["base_score"]) < 1e-9 and seen["score"] > mixed_up["score"] + 0.5
