@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordermart.llm import classifier, exact, langid, lm, mixing, packing, pii, rules, simhash, urls
+from ordermart.llm import classifier, exact, fim, langid, lm, mixing, packing, pii, rules, simhash, urls, vafile
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,8 +15,12 @@ QUERIES = {
     "op8_lm_scoring": lm.op8_lm_scoring,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_exact_dedup": exact.op10_exact_dedup,
+    "op11_centroid_clustering": vafile.op11_centroid_clustering,
+    "op12_fill_in_middle": fim.op12_fill_in_middle,
 }
 ORACLE = {
     "op4_quality_rules": rules.ORACLE,
     "op10_exact_dedup": exact.ORACLE,
+    "op11_centroid_clustering": vafile.ORACLE,
+    "op12_fill_in_middle": fim.ORACLE,
 }
