@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordermart.llm import classifier, exact, fim, langid, lm, mixing, packing, pii, rules, simhash, urls, vafile
+from ordermart.llm import classifier, exact, fim, langid, lattice, lm, mixing, packing, pii, rules, simhash, urls, vafile
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_exact_dedup": exact.op10_exact_dedup,
     "op11_centroid_clustering": vafile.op11_centroid_clustering,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
+    "op13_embedding_near_dedup": lattice.op13_embedding_near_dedup,
 }
 ORACLE = {
     "op4_quality_rules": rules.ORACLE,

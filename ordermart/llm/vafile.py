@@ -1,9 +1,9 @@
 """Centroid clustering of vectors by a VA-file: cells first, full vectors only where the cells leave a choice.
 
-1. Components become integers, floor(scale * x). One pass over all vectors gives each dimension's range, mean and spread.
-2. The approximation: each dimension is cut into ``CELLS`` cells at the normal quantiles of its own mean and spread, and a
-   vector is written as its cells, 4 bits to a dimension, beside its full form. Cells are closed at the true extremes, so
-   every bound below holds whatever the distribution is; quantiles only make the cells useful.
+1. Components become integers, floor(scale * x). One pass over all vectors gives each dimension's extremes and quantiles.
+2. The approximation: each dimension is cut into ``CELLS`` cells at its quantiles, and a vector is written as its cells,
+   4 bits to a dimension, beside its full form. The outer cells take the few values to the true extremes, so every bound
+   below holds for all vectors; where the borders lie only decides how often it is of use.
 3. A pass over the approximations sums, for each centroid, table entries with the least and the greatest squared distance
    that a cell allows (one table per pair of dimensions, looked up by the byte). Centroids whose least distance is above
    the smallest greatest one are out. Where one is left, the vector is assigned and its full form is not looked at; where
@@ -12,19 +12,18 @@
    over tasks: at most k rows a task are shuffled, however hot a cluster is.
 
 All sums are integers, so no result depends on the order of tasks. What reaches the driver is bounded by k and dim: the
-first centroids, figures by dimension, sums by centroid and dimension. Each pass is one scan without a shuffle of vectors;
+first centroids, cell borders by dimension, sums by centroid and dimension. Each pass is one scan without a shuffle of vectors;
 cells and vectors are written once to the shared folder.
 
 Defined results: only vectors with exactly ``dim`` components, none null or non-finite, are clustered and returned. With
 fewer vectors than k there are as many centroids as vectors. A null id counts as empty text in the hash; equal hashes
-(repeated ids) are ordered by components. Repeated rows are clustered one by one. A component beyond 2^27 in scaled units
+(repeated ids) are ordered by the bytes of their components. Repeated rows are clustered one by one. A component beyond 2^27 in scaled units
 stops the job with an error, since distances would not fit a long. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +37,8 @@ from ordermart.llm.vectors import binary_column, finite_vectors, matrix_of
 CELLS = 16
 # Scaled components below this keep squared distances of 64 dimensions within a long.
 LARGEST = 1 << 27
+# Share of values in each of the two outer cells, which reach to the extremes.
+TAIL = 0.0005
 # Vectors whose bounds a task holds at a time.
 CHUNK = 8192
 
@@ -55,36 +56,31 @@ def _integers(column: pa.Array, dim: int, scale: float) -> tuple[np.ndarray, np.
 
 
 def _figures(vectors: DataFrame, dim: int, scale: float) -> list[tuple]:
-    """(least, greatest, mean, spread) of each dimension over all usable vectors; none if there is no vector."""
+    """(least, greatest, inner cell borders) of each dimension over all usable vectors; none if there is no vector.
+
+    Tasks send extremes and some quantiles of each batch; the borders are quantiles of these.
+    """
+    points = [0.0, TAIL, *(j / 32 for j in range(1, 32)), 1 - TAIL, 1.0]
 
     def each(batches):
-        n, total, square = 0, np.zeros(dim), np.zeros(dim)
-        low, high = np.full(dim, LARGEST, np.int64), np.full(dim, -LARGEST, np.int64)
         for batch in batches:
             _, v = _integers(batch.column(0), dim, scale)
             if len(v):
-                n += len(v)
-                low, high = np.minimum(low, v.min(axis=0)), np.maximum(high, v.max(axis=0))
-                total += v.sum(axis=0)
-                square += (v.astype(float) ** 2).sum(axis=0)
-        if n:
-            columns = [np.arange(dim, dtype=np.int32), np.full(dim, n, np.int64), low, high, total, square]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["d", "n", "low", "high", "total", "square"])
-
-    parts = vectors.mapInArrow(each, "d int, n long, low long, high long, total double, square double")
-    mean = F.sum("total") / F.sum("n")
-    rows = parts.groupBy("d").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), mean.alias("mean"), (F.sum("square") / F.sum("n") - mean * mean).alias("spread")
-    )
-    return [(r["low"], r["high"], r["mean"], max(r["spread"], 0.0) ** 0.5) for r in sorted(rows.collect(), key=lambda r: r["d"])]
+                values = np.quantile(v, points, axis=0, method="nearest").T
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim, dtype=np.int32)), pa.array(values.tolist())], names=["d", "points"])
+
+    parts = vectors.mapInArrow(each, "d int, points array<long>")
+    wanted = [TAIL, *(j / (CELLS - 2) for j in range(1, CELLS - 2)), 1 - TAIL]
+    points = parts.select("d", F.explode("points").alias("x"))
+    rows = points.groupBy("d").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.percentile_approx("x", wanted, 4096).alias("edges"))
+    return [(r["low"], r["high"], r["edges"]) for r in sorted(rows.collect(), key=lambda r: r["d"])]
 
 
 class Cells:
     """Cell borders of each dimension."""
 
     def __init__(self, figures: list[tuple]) -> None:
-        z = np.array([NormalDist().inv_cdf(j / CELLS) for j in range(1, CELLS)])
-        self.edges = np.array([np.floor(mean + spread * z) for _, _, mean, spread in figures]).astype(np.int64)
+        self.edges = np.array([edges for _, _, edges in figures], np.int64)
         low, high = (np.array([f[i] for f in figures], np.int64)[:, None] for i in (0, 1))
         # Cell j holds the integers from first[j] to last[j]. A cell outside of the range is empty, and so its bounds are free.
         self.first = np.concatenate([low, np.clip(self.edges, low, high)], axis=1)
@@ -235,8 +231,8 @@ def op11_centroid_clustering(spark, sf_dir: str) -> DataFrame:
 def _oracle(k: int = 16, rounds: int = 3) -> str:
     """The same in SQL: every distance of every vector in every round."""
     parts = [
-        """v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
 )""",
         f"""c0 AS (
@@ -246,7 +242,7 @@ def _oracle(k: int = 16, rounds: int = 3) -> str:
     ]
     square = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
     for r in range(rounds + 1):
-        parts.append(f"a{r} AS (SELECT vec_id, v.v, c.c, {square} AS d FROM v, c{r} c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c.c) = 1)")
+        parts.append(f"a{r} AS (SELECT rid, vec_id, v.v, c.c, {square} AS d FROM v, c{r} c QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c.c) = 1)")
         if r < rounds:
             parts.append(f"""m{r + 1} AS (
   SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS v FROM (

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__
 from ordermart.llm.registry import ORACLE, QUERIES
 
-ROWS_PER_INPUT = [n for n in QUERIES if n.split("_")[0] in ("op2", "op4", "op5", "op6", "op7", "op8", "op9", "op10")]
+ROWS_PER_INPUT = [n for n in QUERIES if n.split("_")[0] in ("op2", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op12", "op13")]
 
 
 def plain(rows, columns):
@@ -14,7 +14,7 @@ def plain(rows, columns):
 
 
 def test_entry_has_them_all():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
@@ -24,7 +24,8 @@ def test_entry_has_them_all():
 def test_against_sql(name, place, spark, sf_dir, edge_dir):
     folder, glob = (sf_dir, "") if place == "sf" else (edge_dir, "/*.parquet")
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet{glob}'")
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet{glob}'")
     cursor = connection.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
     result = QUERIES[name](spark, folder)
@@ -37,10 +38,10 @@ def test_against_sql(name, place, spark, sf_dir, edge_dir):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_edge_rows(name, spark, edge_dir, edge_rows):
+def test_edge_rows(name, spark, edge_dir, edge_rows, edge_vectors):
     rows = QUERIES[name](spark, edge_dir).collect()
     if name in ROWS_PER_INPUT:
-        assert len(rows) == (8 if name.startswith("op7") else len(edge_rows))
+        assert len(rows) == {"op7": 8, "op13": len(edge_vectors)}.get(name.split("_")[0], len(edge_rows))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
