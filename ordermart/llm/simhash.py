@@ -5,9 +5,10 @@
 3. Four bands of 16 bits. Fingerprints within 2 bits agree in at least two whole bands, so the six pairs of bands
    are six keys of 32 bits, and each link shares a key. Keys with one fingerprint are dropped after a count.
 4. Bit-sliced comparison inside a key's block: plane b holds bit b of all its fingerprints. XOR with a query's bit
-   gives the differing lanes; two carry-save counters and an overflow plane count them for 64 lanes at a time, and
-   the block is left as soon as every lane has overflowed. A block gives at most one link per fingerprint: the
-   spanning links of its components, never all pairs.
+   gives the differing lanes; two carry-save counters and an overflow plane count them for 64 lanes at a time. Queries
+   meet lanes in groups of ``GROUP``, planes that divide the block most evenly first, and a group is abandoned as soon as
+   all its lanes but the queries' own have overflowed. A block gives at most one link per fingerprint: the spanning
+   links of its components, never all pairs.
 5. A key with more than ``BLOCK`` fingerprints takes the exact way for crowds: two values within 2 bits have a
    value within 1 bit of both. Each fingerprint goes to its 33 values within 1 bit (among the 32 free bits), and
    those that meet, 33 at most, are linked. The work grows with the crowd, not with its square.
@@ -35,6 +36,8 @@ SEED = 42
 RADIUS = 2
 BANDS = 4
 BLOCK = 2048
+# Queries, and lanes, that are compared together: whole words of 64 lanes.
+GROUP = 512
 # Pairs of bands that form a key, and the bits each key leaves free.
 PAIRS = list(combinations(range(BANDS), BANDS - RADIUS))
 WIDTH = 64 // BANDS
@@ -93,35 +96,63 @@ def planes_of(prints: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
 
 
-def near_lanes(planes: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """A bool row per query: the lanes within two bits of it, by carry-save counting."""
+def plane_order(planes: np.ndarray, n: int) -> list[int]:
+    """Planes by how evenly they divide the block: those that tell most lanes apart come first, those a key shares last."""
+    return np.argsort(np.abs(2 * np.bitwise_count(planes).sum(axis=1, dtype=np.int64) - n), kind="stable").tolist()
+
+
+def near_lanes(planes: np.ndarray, queries: np.ndarray, skip: np.ndarray, order: list[int]) -> tuple[np.ndarray, int]:
+    """A bool row per query: the lanes within two bits of it, by carry-save counting; and the number of planes read.
+
+    skip: bits of the lanes that do not count for a query. The group of lanes is left as soon as no lane is within reach
+    of any query any more.
+    """
     ones = np.zeros((len(queries), planes.shape[1]), np.uint64)
-    twos, over = ones.copy(), ones.copy()
+    twos, over = ones.copy(), skip.copy()
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for b in range(64):
+    read = 0
+    for read, b in enumerate(order, 1):
         flip = np.where(queries >> np.uint64(b) & np.uint64(1), full, np.uint64(0))
         differs = planes[b] ^ flip[:, None]
         carry = ones & differs
         ones ^= differs
         over |= twos & (carry | ones)  # two and then one more, or two twos
         twos |= carry
-        if b % 8 == 7 and (over == full).all():
+        if read % 8 == 0 and (over == full).all():
             break
-    return ~np.unpackbits(over.view(np.uint8), axis=1, bitorder="little").astype(bool)
+    return ~np.unpackbits(over.view(np.uint8), axis=1, bitorder="little").astype(bool), read
+
+
+def compared(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places (i, j), j < i, of all pairs within two bits among distinct fingerprints, and the number of planes read.
+
+    Queries and lanes go in groups of ``GROUP``; each pair of groups is compared, and abandoned, by itself.
+    """
+    planes, n = planes_of(prints), len(prints)
+    order = plane_order(planes, n)
+    beyond = np.ones(planes.shape[1] * 64, np.uint8)
+    beyond[:n] = 0
+    left, right, read = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+    for q in range(0, n, GROUP):
+        queries = prints[q : q + GROUP]
+        for g in range(0, q + 1, GROUP):
+            skip = np.repeat(beyond[None, g : g + GROUP], len(queries), axis=0)
+            if g == q:  # a query's own lane and those after it, which compare with it as queries
+                skip |= np.triu(np.ones_like(skip))
+            bits = np.packbits(skip, axis=1, bitorder="little").view(np.uint64)
+            near, planes_read = near_lanes(planes[:, g // 64 : (g + GROUP) // 64], queries, bits, order)
+            read += planes_read
+            i, j = np.nonzero(near)
+            left.append(i + q)
+            right.append(j + g)
+    return np.concatenate(left), np.concatenate(right), read
 
 
 def spanning_links(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links (print, smallest print of its component) inside one block of distinct fingerprints."""
     prints = np.unique(prints)
-    planes, n = planes_of(prints), len(prints)
-    left, right = [], []
-    for k in range(0, n, 256):
-        i, j = np.nonzero(near_lanes(planes, prints[k : k + 256])[:, :n])
-        i += k
-        left.append(i[j < i])
-        right.append(j[j < i])
-    a, b = np.concatenate(left), np.concatenate(right)
-    root = np.arange(n)
+    a, b, _ = compared(prints)
+    root = np.arange(len(prints))
     while True:  # the smallest label spreads along links, and labels jump to their own label
         low = root.copy()
         np.minimum.at(low, a, root[b])
@@ -130,7 +161,7 @@ def spanning_links(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if (low == root).all():
             break
         root = low
-    hung = np.nonzero(root != np.arange(n))[0]
+    hung = np.nonzero(root != np.arange(len(prints)))[0]
     return prints[hung], prints[root[hung]]
 
 

@@ -105,8 +105,26 @@ def crowd(n, seed):
 
 def test_bit_sliced_counters_find_just_the_near_lanes():
     prints = np.array(crowd(300, 2), np.uint64)
-    near = simhash.near_lanes(simhash.planes_of(prints), prints)[:, : len(prints)]
-    assert (near == (np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2)).all()
+    planes = simhash.planes_of(prints)
+    near, _ = simhash.near_lanes(planes, prints, np.zeros((len(prints), planes.shape[1]), np.uint64), list(range(64)))
+    assert (near[:, : len(prints)] == (np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2)).all()
+
+
+def test_groups_give_all_pairs_once_and_are_abandoned():
+    for n, seed in ((1, 1), (63, 2), (512, 3), (513, 4), (1500, 5)):
+        prints = np.array(crowd(n, seed)[:n], np.uint64)
+        i, j, _ = simhash.compared(prints)
+        a, b = np.nonzero(np.tril(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2, -1))
+        assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(zip(a.tolist(), b.tolist(), strict=True))
+    rng = np.random.default_rng(6)
+    far = np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    # A key's block: 32 bits are the same in all; those planes come last and are not read.
+    keyed = np.unique(far << np.uint64(32) | np.uint64(0xABCD1234))
+    for prints, most in ((far, 48), (keyed, 40)):
+        i, _, read = simhash.compared(prints)
+        groups = -(-len(prints) // simhash.GROUP)
+        assert len(i) == int(np.tril(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2, -1).sum())
+        assert read <= most * groups * (groups + 1) // 2
 
 
 def test_links_of_small_blocks_and_of_crowds_give_the_same_components(spark):
