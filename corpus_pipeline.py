@@ -1,9 +1,14 @@
 """The corpus pipeline: stages over documents, each written as Parquet and reread as the next one's input.
 
-quality_rules drops documents that fail a rule; exact_dedup and simhash_near_dedup keep one document of each group
-(the latter by five-word shingles with Jaccard 0.8 or more; its name is older than its method);
-mixing draws documents by source weight (a document can be drawn more than once); packing deals them to windows.
-All but the last return the columns of documents.
+quality_rules drops documents that fail a rule; exact_dedup and simhash_near_dedup keep one document of each group (the
+latter by three-word shingles and at most two different bits); mixing draws documents by source weight (a document can be
+drawn more than once); packing deals them to windows. All but the last return the columns of documents.
+
+Each stage is to be written and reread before the next one is called, as ``run`` does: a stage deletes the tables that the
+one before it has written beside its result.
+
+Null texts count as empty and null ids lose against ids in every stage; what else a stage does with nulls, repeats and
+long texts is its operator's docstring. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from ordermart.llm.frames import Scratch
 from ordermart.llm.mixing import mixed
 from ordermart.llm.packing import pack
 from ordermart.llm.rules import quality_rules
-from ordermart.llm.shingles import shingle_dedup
+from ordermart.llm.simhash import simhash_dedup
 
 # What the last stage has written beside its result, by application.
 _beside: dict[str, Scratch] = {}
@@ -37,7 +42,7 @@ def _stage(name: str, apply):
 STAGES = [
     _stage("quality_rules", lambda docs, scratch: quality_rules(docs)),
     _stage("exact_dedup", lambda docs, scratch: exact_dedup(docs, scratch=scratch)),
-    _stage("simhash_near_dedup", lambda docs, scratch: shingle_dedup(docs, scratch=scratch)),
+    _stage("simhash_near_dedup", lambda docs, scratch: simhash_dedup(docs, scratch=scratch)),
     _stage("mixing", lambda docs, scratch: mixed(docs, scratch=scratch)),
     _stage("packing", lambda docs, scratch: pack(docs)),
 ]
