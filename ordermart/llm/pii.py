@@ -30,10 +30,19 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # The method's own.
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+")
+WORD_GOES_ON = re.compile(r"[A-Za-z0-9]")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 
+# Length of an account number by country, from the public registry of the standard.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24,
+    "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19,
+    "SK": 24, "SM": 27, "TR": 26,
+}
+
 # Kinds in the contract's order with their score before context, then the added ones.
 KINDS = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "ssn": 0.3}
 BASE = ("email", "ip", "card", "phone")
@@ -97,6 +106,30 @@ def _is_card(found: str) -> bool:
     return 12 <= len(digits) <= 19 and luhn(digits)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Accounts that end at a word's end: at the country's length, or where that is not known at the last confirmed one.
+
+    Upper-case words may follow an account, so the longest run is only a bound.
+    """
+    m = IBAN.search(text)
+    while m:
+        found, after = m.group(), m.start() + 2
+        length = IBAN_LENGTHS.get(found[:2])
+        # Ends of words, the last one first; the run itself may end inside of a word.
+        ends = [k for k, c in enumerate(found) if c == " "]
+        if not WORD_GOES_ON.match(text, m.end()):
+            ends.append(len(found))
+        for end in reversed(ends):
+            account = found[:end].replace(" ", "")
+            if len(account) < (length or 15):
+                break
+            if (not length or len(account) == length) and mod97(account):
+                after = m.start() + end
+                yield m.start(), after
+                break
+        m = IBAN.search(text, after)
+
+
 def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
     """Confirmed spans of all kinds."""
     if "@" in text:
@@ -108,13 +141,14 @@ def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
         ("ip", IP, _octets),
         ("card", CARD, _is_card),
         ("phone", PHONE, lambda s: 9 <= len(_only_digits(s)) <= 15),
-        ("iban", IBAN, lambda s: mod97(s.replace(" ", ""))),
         ("ssn", SSN, lambda s: s[:3] not in ("000", "666") and s[0] != "9"),
     )
     for kind, pattern, confirmed in checks:
         for m in pattern.finditer(text):
             if confirmed(m.group()):
                 yield kind, m.start(), m.end()
+    for a, b in _ibans(text):
+        yield "iban", a, b
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
