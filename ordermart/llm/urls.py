@@ -65,10 +65,15 @@ def verdict_of(rule: Column, rules: dict[str, str] = RULES) -> Column:
 
 
 def _grams(urls: DataFrame, *keep: str) -> DataFrame:
-    """A row per character: the string of it and the three before it."""
+    """A row per character: the string of it and the three before it.
+
+    The URL is split into characters once and joined by place, so a long one costs as much a character as a short one.
+    """
     padded = F.concat(F.lit(START), F.col("url"), F.lit(END))
-    grams = F.transform(F.sequence(F.lit(1), F.length("url") + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
-    return urls.select(*keep, F.explode(grams).alias("gram"))
+    split = urls.select(*keep, F.regexp_extract_all(padded, F.lit("(?s)."), F.lit(0)).alias("chars"))
+    gram = lambda i: F.concat(*[F.get("chars", i + k) for k in range(ORDER)])
+    grams = F.transform(F.sequence(F.lit(0), F.size("chars") - ORDER), gram)
+    return split.select(*keep, F.explode(grams).alias("gram"))
 
 
 def _level(grams: DataFrame, order: int) -> DataFrame:
@@ -139,6 +144,8 @@ def url_filter(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES
         .withColumn("rule", rule)
         .withColumn("fixed", verdict_of(F.col("rule"), rules))
         .withColumn("held", F.pmod(F.xxhash64("url"), F.lit(FOLDS)) == 0)
+        # Rows per character carry this number and not the URL.
+        .withColumn("uid", F.monotonically_increasing_id())
     )
     urls = scratch.write(counted, "urls")
     times = lambda verdict, held: F.when((F.col("fixed") == verdict) & (F.col("held") == held), F.col("n")).otherwise(0)
@@ -146,16 +153,16 @@ def url_filter(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES
     if model.count() <= BROADCAST_ROWS:
         model = F.broadcast(model)
     to_score = urls.where(F.col("fixed").isNull() | F.col("held"))
-    score = F.sum("gain") / (F.length("url") + 1) / MICRO
+    score = F.sum("gain") / F.count("*") / MICRO
     scored = scratch.write(
-        _grams(to_score, "url").join(model, "gram").groupBy("url").agg(score.alias("score")), "scored"
+        _grams(to_score, "uid").join(model, "gram").groupBy("uid").agg(score.alias("score")), "scored"
     )
     held = urls.where("fixed is not null and held").select(
-        "url", times("allow", True).alias("accepted"), times("block", True).alias("rejected")
+        "uid", times("allow", True).alias("accepted"), times("block", True).alias("rejected")
     )
-    threshold = _threshold(scored.join(held, "url"))
+    threshold = _threshold(scored.join(held, "uid"))
     by_model = F.when((F.col("score") >= threshold) & (F.col("url") != ""), "allow").otherwise("block")
-    judged = urls.join(scored, "url", "left").select(
+    judged = urls.join(scored, "uid", "left").select(
         F.col("url").alias(free_name("judged_url", pages)),
         F.struct(
             "host", "path", "rule", F.when(F.col("fixed").isNull(), F.col("score")).alias("score"), F.coalesce("fixed", by_model).alias("verdict")

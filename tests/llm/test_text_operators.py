@@ -77,6 +77,16 @@ def test_checksums_and_context():
     assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE88370400440532013000")
     kinds = lambda t: [s["kind"] for s in pii.spans_of(t)]
     assert kinds("pay to DE89 3704 0044 0532 0130 00 now") == ["iban"]
+    # Upper-case words and further accounts after an account; a run that goes on; a wrong checksum.
+    for text, wanted in (
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 USD 500", ["DE89370400440532013000"]),
+        ("GB82 WEST 1234 5698 7654 32 DE89370400440532013000", ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]),
+        ("DE893704004405320130009", []),
+        ("XDE89370400440532013000", []),
+        ("DE89370400440532013001", []),
+    ):
+        assert [text[s["start"] : s["end"]] for s in pii.spans_of(text) if s["kind"] == "iban"] == wanted
     assert kinds("number 123-45-6789 here") == []
     assert kinds("her SSN is 123-45-6789") == ["ssn"]
     assert kinds("SSN or serial 123-45-6789") == []
@@ -251,6 +261,16 @@ def test_url_parts_and_longest_rule(spark):
             assert r["judged"]["verdict"] == "block"
 
 
+def test_a_very_long_url_is_scored_like_a_short_one(spark):
+    """Rows per character carry no URL, and no character is looked for from the start of it."""
+    rows = [(1, "http://x.org/" + "a🙂b" * 100_000), (2, "http://a.net/es/1"), (3, "http://b.com/1"), (4, "http://x.org/a🙂b")]
+    out = urls.url_filter(spark.createDataFrame(rows, "page_id long, url string"))
+    found = {r["page_id"]: r["judged"] for r in out.select("page_id", "judged").collect()}
+    assert found[1]["host"] == "x.org" and len(found[1]["path"]) == 300_001
+    assert found[1]["score"] is not None and found[1]["verdict"] in ("allow", "block")
+    assert (found[2]["verdict"], found[3]["verdict"]) == ("block", "allow")
+
+
 def test_urls_are_native(spark, sf_dir):
     plan = urls.op7_url_filters(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
