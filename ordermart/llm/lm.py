@@ -16,7 +16,7 @@ search. Every shard is one file per level in the shared folder (``spark.checkpoi
 executors); tasks map the files and read the pages they touch. Nothing is broadcast, and no task holds more than one
 block of text (``BLOCK`` tokens) or, while building, the counts of one shard.
 
-Counting: each task counts its own blocks with numpy and sends sorted, distinct n-grams per shard as binary blobs. A
+Counting: each task counts its own blocks with numpy and sends sorted, distinct n-grams per shard as compressed blobs. A
 shard with more than ``SHARD_BYTES`` of them is merged in groups before it comes together, so a shard's task gets
 distinct n-grams however often they occur.
 
@@ -155,12 +155,32 @@ def _counted(a: np.ndarray, b: np.ndarray) -> tuple[list[np.ndarray], np.ndarray
     return [keys // width, keys % width], n.astype(np.int64)
 
 
-BLOB = "shard int, salt int, a binary, b binary, n binary"
+BLOB = "shard int, salt int, size long, a binary, b binary, n binary"
+
+
+def _packed(x: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers, or the steps between ascending ones, byte plane by byte plane: the high planes, nearly all zero, compress away."""
+    if ascending and len(x):
+        x = np.concatenate((x[:1], np.diff(x)))
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type, count: int, ascending: bool = False) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, count * width, codec="zstd", asbytes=True), np.uint8).reshape(width, count)
+    x = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if ascending else x
+
+
+def _blob(shard: int, salt: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple:
+    """One row of entries in the order of a; ``size`` is their number."""
+    return shard, salt, len(n), _packed(a, True), _packed(b), _packed(n)
 
 
 def _blob_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["shard", "salt", "a", "b", "n"])
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "salt", "size", "a", "b", "n"])
 
 
 def _blobs(shard: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, salt: int) -> pa.RecordBatch | None:
@@ -168,13 +188,14 @@ def _blobs(shard: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, salt:
     if not len(shard):
         return None
     at = np.concatenate(([0], np.nonzero(np.diff(shard))[0] + 1, [len(shard)])).tolist()
-    return _blob_rows([(int(shard[i]), salt, a[i:j].tobytes(), b[i:j].tobytes(), n[i:j].tobytes()) for i, j in zip(at[:-1], at[1:], strict=True)])
+    return _blob_rows([_blob(int(shard[i]), salt, a[i:j], b[i:j], n[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)])
 
 
 def _entries(table: pa.Table, kinds: tuple) -> tuple[list[np.ndarray], np.ndarray]:
     """Summed entries of all blobs of a table."""
-    read = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table[c]])
-    return _summed([read("a", kinds[0]), read("b", kinds[1])], read("n", np.int64))
+    sizes = table["size"].to_pylist()
+    read = lambda c, kind, up=False: np.concatenate([_unpacked(x.as_py(), kind, k, up) for x, k in zip(table[c], sizes, strict=True)])
+    return _summed([read("a", kinds[0], True), read("b", kinds[1])], read("n", np.int64))
 
 
 def _merged(blobs: DataFrame, scratch: Scratch, kinds: tuple, name: str) -> DataFrame:
@@ -184,13 +205,14 @@ def _merged(blobs: DataFrame, scratch: Scratch, kinds: tuple, name: str) -> Data
     block and task, and shrink to the distinct ones.
     """
     blobs = scratch.write(blobs, name)
-    size = lambda df: df.groupBy("shard").agg(F.sum(F.octet_length("a") + F.octet_length("b") + F.octet_length("n")).alias("size")).agg(F.max("size")).head()[0] or 0
+    width = sum(np.dtype(k).itemsize for k in (*kinds, np.int64))
+    size = lambda df: width * (df.groupBy("shard").agg(F.sum("size").alias("size")).agg(F.max("size")).head()[0] or 0)
     most = size(blobs)
     while most > SHARD_BYTES:
 
         def merge(key, table):
             (a, b), n = _entries(table, kinds)
-            return pa.Table.from_batches([_blob_rows([(key[0].as_py(), key[1].as_py(), a.tobytes(), b.tobytes(), n.tobytes())])])
+            return pa.Table.from_batches([_blob_rows([_blob(key[0].as_py(), key[1].as_py(), a, b, n)])])
 
         numbered = blobs.withColumn("salt", F.pmod("salt", F.lit(int(-(-2 * most // SHARD_BYTES)))))
         fewer = scratch.write(numbered.groupBy("shard", "salt").applyInArrow(merge, BLOB), name)
@@ -419,9 +441,10 @@ def train_trie(texts: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Trie:
     if sizes:
         def total(batches):
             for batch in batches:
-                yield pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(x.as_py(), np.int64).sum()) for x in batch.column(0)])], names=["n"])
+                sums = [int(_unpacked(x.as_py(), np.int64, k.as_py()).sum()) for x, k in zip(batch.column(0), batch.column(1), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(sums)], names=["n"])
 
-        tokens = counted.select("n").mapInArrow(total, "n long").agg(F.sum("n")).head()[0]
+        tokens = counted.select("n", "size").mapInArrow(total, "n long").agg(F.sum("n")).head()[0]
     scratch.drop(counted)
     trie = Trie(folder, offsets(sizes), none, tokens)
 
