@@ -9,8 +9,10 @@ from ordermart.functions.casts import lenient_int
 from ordermart.operators.clean import CleanTables
 from ordermart.operators.fanout import KEY, LINE_TABLES, fan_out
 from ordermart.operators.keys import surrogate_key
+from ordermart.operators.registry import extend_keys, keyed, merged_dimension
 from ordermart.operators.weights import item_lines, payment_lines, per_order, review_lines
 from ordermart.schemas import DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, FACT_MEASURES
+from ordermart.session import materialise
 
 # Columns that identify a dimension row.
 NATURAL_KEYS = {
@@ -45,22 +47,41 @@ def star_from_wide(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_dimension(tables: CleanTables, name: str) -> DataFrame:
-    """A dimension from the cleaned tables: rows that occur in at least one complete order.
+    """A dimension from the cleaned tables: rows that occur in at least one complete order."""
+    return dimension(dimension_rows(tables, name), name)
+
+
+def dimension_rows(tables: CleanTables, name: str) -> DataFrame:
+    """Rows of a dimension without their key, perhaps repeated.
 
     Only ids travel through the order joins; the attributes are attached to the distinct ids.
     """
     if name == "dim_customers":
-        rows = per_order(tables, "payments", "reviews", "items")
-    elif name == "dim_payment_types":
-        rows = payment_lines(tables, ["payment_type"], [])
-    elif name == "dim_reviews":
-        rows = review_lines(tables, ["review_id", "review_score"], [])
-    else:
-        business = NATURAL_KEYS[name]
-        used = item_lines(tables, business, []).select(*business).distinct()
-        lookup = tables.products if name == "dim_products" else tables.sellers
-        rows = lookup.join(used, business, "left_semi")
-    return dimension(rows, name)
+        return per_order(tables, "payments", "reviews", "items")
+    if name == "dim_payment_types":
+        return payment_lines(tables, ["payment_type"], [])
+    if name == "dim_reviews":
+        return review_lines(tables, ["review_id", "review_score"], [])
+    business = NATURAL_KEYS[name]
+    used = item_lines(tables, business, []).select(*business).distinct()
+    lookup = tables.products if name == "dim_products" else tables.sellers
+    return lookup.join(used, business, "left_semi")
+
+
+def extend_dimension(tables: CleanTables, database: str, name: str) -> DataFrame:
+    """The dimension of a further load: new natural keys are added to the key map, known ones keep their key.
+
+    Returns the published rows with those of the load, one row per natural key.
+    """
+    key, columns = DIMENSIONS[name]
+    natural = NATURAL_KEYS[name]
+    rows = materialise(dimension_rows(tables, name).select(*columns).distinct())
+    # A natural key with two sets of attributes in one load keeps the first in their order, so that it has one row.
+    rest = [c for c in columns if c not in natural]
+    if rest:
+        rows = rows.groupBy(*natural).agg(F.min(F.struct(*rest)).alias("_rest")).select(*natural, "_rest.*").select(*columns)
+    keys = extend_keys(rows, database, name, key, natural)
+    return merged_dimension(rows.sparkSession, keyed(rows, keys, key, natural), database, name, key)
 
 
 def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFrame:

@@ -424,6 +424,13 @@ SELECTS: dict[str, str] = {
     "star_append": " union all ".join(
         f"select '{name}' as table_name, 2 * count(*) as n_rows from {name}" for name in [*DIMENSIONS, "fact_orders"]
     ),
+    "star_keys_stable": " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows, count(*) as natural_keys, count(*) as row_keys, count(*) as highest_key, "
+        f"cast(0 as bigint) as moved_keys, cast(0 as bigint) as lost_keys from (select distinct {', '.join(keys)} from cleaned "
+        "where order_id % 3 <> 0 or order_id % 5 <> 0)"
+        for name, keys in NATURAL_KEYS.items()
+    ),
+    "star_extended_sales": "select * from agg_sales_by_seller",
     "job_from_files": "select * from agg_sales_by_customer_state",
     "sink_append": "select order_id, order_status, cast(2 * count(*) as bigint) as copies from src_orders group by order_id, order_status",
     "sink_overwrite": "select order_id, order_status, count(*) as copies from src_orders group by order_id, order_status",

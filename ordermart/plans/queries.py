@@ -14,8 +14,8 @@ from ordermart.operators.convert import convert_types
 from ordermart.operators.keys import surrogate_key
 from ordermart.operators.merge import LOOKUPS, left_join, merge_wide
 from ordermart.operators.statistics import merged_statistics
-from ordermart.operators.fanout import LineCounts
-from ordermart.plans.refresh import publish_aggregates, publish_star, refresh, stage
+from ordermart.operators.fanout import LINE_TABLES, LineCounts
+from ordermart.plans.refresh import extend_star, publish_aggregates, publish_star, refresh, stage
 from ordermart.schemas import (
     COLUMN_TYPES,
     DIMENSIONS,
@@ -25,7 +25,7 @@ from ordermart.schemas import (
     RENAMES,
     UNKNOWN_COLUMNS,
 )
-from ordermart.session import at_once, configure, fresh_dir
+from ordermart.session import at_once, configure, fresh_dir, materialise
 from ordermart.sources.catalog import application_database, list_tables, publish, read_mart, read_table, stage_database
 from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
 from ordermart.sources.jdbc import relational_rows
@@ -444,6 +444,53 @@ def _star_append(spark, sf_dir):
     return _row_counts(spark, database, [*DIMENSIONS, "fact_orders"])
 
 
+def part_of_orders(sources: dict[str, DataFrame], kept) -> dict[str, DataFrame]:
+    """Sources of a load that brings only some of the orders, with their lines."""
+    return sources | {t: sources[t].filter(kept) for t in ("orders", *LINE_TABLES)}
+
+
+@query("star_keys_stable")
+def _star_keys_stable(spark, sf_dir):
+    """Two overlapping loads under lasting keys: rows, natural keys, keys, highest key, moved keys of each table.
+
+    The first load lacks one order in three; the second lacks one in five, so most orders come twice.
+    """
+    database = stage_database(spark)
+    sources = load_sources(spark, sf_dir)
+    columns = sorted({c for r in ("fact_orders", *DIMENSIONS) for c in READS[r]})
+    first = {}
+    for load, kept in enumerate((F.col("order_id") % 3 != 0, F.col("order_id") % 5 != 0)):
+        tables = stage(spark, part_of_orders(sources, kept), columns)
+        extend_star(spark, tables, database)
+        if not load:
+            first = {name: materialise(read_table(spark, database, name)) for name in DIMENSIONS}
+    parts = []
+    for name, (key, _) in DIMENSIONS.items():
+        natural = star.NATURAL_KEYS[name]
+        both = read_table(spark, database, name).join(first[name].select(F.col(key).alias("_old"), *natural), natural, "full")
+        here = F.col(key).isNotNull()
+        parts.append(both.agg(
+            F.count(key).alias("n_rows"),
+            F.count_distinct(F.when(here, F.struct(*natural))).alias("natural_keys"),
+            F.count_distinct(key).alias("row_keys"),
+            F.max(key).alias("highest_key"),
+            F.count_if(here & (F.col("_old") != F.col(key))).alias("moved_keys"),
+            F.count_if(~here).alias("lost_keys"),
+        ).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query("star_extended_sales")
+def _star_extended_sales(spark, sf_dir):
+    """Sales by seller over a star schema made by two overlapping loads: each order counts once."""
+    database = stage_database(spark)
+    sources = load_sources(spark, sf_dir)
+    columns = sorted({c for r in ("fact_orders", *DIMENSIONS) for c in READS[r]})
+    for load in (part_of_orders(sources, F.col("order_id") % 3 != 0), sources):
+        extend_star(spark, stage(spark, load, columns), database)
+    return aggregates.STAR_AGGREGATES["Agg_sales_by_seller"]({n: read_table(spark, database, n) for n in [*DIMENSIONS, "fact_orders"]})
+
+
 @query("scan_table")
 def _scan_table(spark, sf_dir):
     """A published mart read back by its shown name."""

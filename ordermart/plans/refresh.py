@@ -11,7 +11,7 @@ from ordermart.operators.clean import CleanTables, clean_tables
 from ordermart.operators.convert import convert_types
 from ordermart.operators.fanout import KEY, LINE_TABLES
 from ordermart.operators.marts import MARTS
-from ordermart.operators.star import build_dimension, build_fact
+from ordermart.operators.star import build_dimension, build_fact, extend_dimension
 from ordermart.operators.weights import per_order
 from ordermart.schemas import COLUMN_TYPES, DIMENSIONS
 from ordermart.session import at_once, delete_path, fresh_dir, materialise
@@ -76,6 +76,24 @@ def publish_star(spark: SparkSession, tables: CleanTables, database: str, mode:
     publish_all(spark, dimensions | {"fact_orders": build_fact(tables, dimensions)}, database, mode)
 
 
+def extend_star(spark: SparkSession, tables: CleanTables, database: str) -> None:
+    """Add a load to the star schema under lasting keys: a natural key has one key and one row, whatever loads bring it.
+
+    The fact rows of an order that comes again replace those it has. Dimensions are published before the facts, so every
+    key that a fact row has is in its dimension at any time.
+    """
+    dimensions = at_once(spark, {name: lambda name=name: extend_dimension(tables, database, name) for name in DIMENSIONS})
+    publish_all(spark, dimensions, database)
+    dimensions = {name: read_table(spark, database, name) for name in DIMENSIONS}
+    fact = build_fact(tables, dimensions)
+    old = read_table(spark, database, "fact_orders")
+    if old is not None:
+        fact = materialise(fact)
+        again = tables.lines.frame.filter("n_orders > 0").select(KEY)
+        fact = old.join(again, KEY, "left_anti").unionByName(fact)
+    publish(fact, database, "fact_orders")
+
+
 def publish_aggregates(spark: SparkSession, tables: CleanTables, database: str) -> None:
     publish_all(spark, {name: build(tables) for name, build in AGGREGATES.items()}, database)
 
@@ -101,14 +119,17 @@ def refresh(
 
     ``types`` convert the sources before the merge and the cleaned columns after it, so a fill that
     is no whole number is an error in an integer column. With ``append`` the star schema is added to
-    the one that is there; aggregates and marts are always replaced. What was landed and staged on
-    the way is deleted.
+    the one that is there, numbered anew; with ``extend`` it is added under lasting keys. Aggregates and
+    marts are always replaced. What was landed and staged on the way is deleted.
     """
     folder = fresh_dir(spark, "landed")
     try:
         tables = stage(spark, land(spark, sources, types, folder), types=types)
         try:
-            publish_star(spark, tables, database, mode)
+            if mode == "extend":
+                extend_star(spark, tables, database)
+            else:
+                publish_star(spark, tables, database, mode)
             publish_aggregates(spark, tables, database)
             publish_marts(spark, tables, database)
         finally:

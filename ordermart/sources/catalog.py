@@ -70,11 +70,22 @@ def bucket_count(tables: list[DataFrame], bucket_bytes: int = BUCKET_BYTES) -> i
     return max(spark.sparkContext.defaultParallelism, -(-max(known) // bucket_bytes))
 
 
-def publish_bucketed(df: DataFrame, database: str, table: str, key: str, buckets: int) -> None:
+def publish_bucketed(df: DataFrame, database: str, table: str, key: str | list[str], buckets: int) -> None:
     """Replace a table whose files are laid out by ``key``: joins and groupings on it need no exchange."""
+    _swapped(df.sparkSession, database, table, lambda name: _write_buckets(df, name, key, buckets, "error"))
+
+
+def append_bucketed(df: DataFrame, database: str, table: str, key: str | list[str]) -> None:
+    """Add rows to a table that ``publish_bucketed`` has made, in its buckets."""
+    layout = df.sparkSession.sql(f"DESCRIBE EXTENDED `{database}`.`{table}`").collect()
+    buckets = next(int(r["data_type"]) for r in layout if r["col_name"] == "Num Buckets")
+    _write_buckets(df, f"`{database}`.`{table}`", key, buckets, "append")
+
+
+def _write_buckets(df: DataFrame, name: str, key: str | list[str], buckets: int, mode: str) -> None:
     # One shuffle by the same hash, so each bucket is one file instead of one per task.
-    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-    _swapped(df.sparkSession, database, table, writer.saveAsTable)
+    keys = [key] if isinstance(key, str) else key
+    df.repartition(buckets, *keys).write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame | None:

@@ -1,12 +1,14 @@
 """Dense keys, catalog tables, CSV files, relational rows."""
 
 import pytest
-from helpers import same
+from helpers import item, order, payment, product, review, same, small_sources
 from pyspark.sql import functions as F
 
 from ordermart.operators import insights
 from ordermart.operators.keys import surrogate_key
-from ordermart.plans.refresh import publish_star, refresh, stage
+from ordermart.operators.registry import extend_keys, keyed
+from ordermart.operators.star import NATURAL_KEYS
+from ordermart.plans.refresh import extend_star, publish_star, refresh, stage
 from ordermart.schemas import DIMENSIONS, FACT_LOOKUPS
 from ordermart.sources import jdbc
 from ordermart.session import clear_stage
@@ -64,6 +66,61 @@ def test_appending_the_star_twice_doubles_every_table(spark, sources):
     assert {n: read_table(spark, db, n).count() for n in once} == {n: 2 * k for n, k in once.items()}
 
 
+def test_keys_last_over_loads(spark):
+    """A natural key keeps its key, new ones go above, attributes and facts of the newest load stay."""
+    db = stage_database(spark)
+    first = small_sources(
+        spark,
+        [order("a"), order("b", customer_id="c1")],
+        [payment("a"), payment("b", payment_type="cash")],
+        [review("a", "r1"), review("b", "r2")],
+        [item("a"), item("b", product_id="p2")],
+        [product("p1"), product("p2")],
+    )
+    second = small_sources(
+        spark,
+        [order("b"), order("c")],
+        [payment("b", payment_type="voucher"), payment("c")],
+        [review("b", "r2", review_score=1.0), review("c", "r3")],
+        [item("b", product_id="p0"), item("c", product_id="p2")],
+        [product("p0"), product("p2", product_weight_g=9.0)],
+    )
+    keys = []
+    for load in (first, second):
+        extend_star(spark, stage(spark, load), db)
+        keys.append({n: {tuple(r[c] for c in NATURAL_KEYS[n]): r[DIMENSIONS[n][0]] for r in read_table(spark, db, n).collect()} for n in DIMENSIONS})
+    for name in DIMENSIONS:
+        old, new = keys[0][name], keys[1][name]
+        assert {k: new[k] for k in old} == old
+        assert sorted(new.values()) == list(range(1, len(new) + 1))
+        assert min([new[k] for k in new if k not in old], default=len(old) + 1) == len(old) + 1
+    assert set(keys[1]["dim_products"]) == {("p0",), ("p1",), ("p2",)}
+    weights = {r["product_id"]: r["product_weight_g"] for r in read_table(spark, db, "dim_products").collect()}
+    assert weights == {"p0": 1.0, "p1": 1.0, "p2": 9.0}
+    facts = {r["order_id"]: r for r in read_table(spark, db, "fact_orders").collect()}
+    assert sorted(facts) == ["a", "b", "c"]
+    assert facts["b"]["product_key"] == keys[1]["dim_products"]["p0",]
+    assert facts["b"]["payment_type_key"] == keys[1]["dim_payment_types"]["voucher",]
+    # The same load once more changes nothing.
+    before = [sorted(map(str, read_table(spark, db, n).collect())) for n in [*DIMENSIONS, "fact_orders"]]
+    extend_star(spark, stage(spark, second), db)
+    assert [sorted(map(str, read_table(spark, db, n).collect())) for n in [*DIMENSIONS, "fact_orders"]] == before
+
+
+def test_looking_keys_up_leaves_the_map_in_place(spark):
+    db = stage_database(spark)
+    rows = spark.range(5000).select(F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 7).alias("part"))
+    extend_keys(rows.filter("id % 2 = 0"), db, "dim", "k", ["name", "part"])
+    keys = extend_keys(rows, db, "dim", "k", ["name", "part"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = keyed(rows, keys, "k", ["name", "part"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert keys.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()[:] == (1, 5000, 5000)
+
+
 def test_frames_built_first_and_read_in_any_order(spark, sf_dir):
     from ordermart.plans.queries import QUERIES
 
