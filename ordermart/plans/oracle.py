@@ -424,6 +424,9 @@ SELECTS: dict[str, str] = {
     "star_append": " union all ".join(
         f"select '{name}' as table_name, 2 * count(*) as n_rows from {name}" for name in [*DIMENSIONS, "fact_orders"]
     ),
+    "snapshot_refresh": " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows, true as old_reader_kept from {name}" for name in PUBLISHED
+    ),
     "star_keys_stable": " union all ".join(
         f"select '{name}' as table_name, count(*) as n_rows, count(*) as natural_keys, count(*) as row_keys, count(*) as highest_key, "
         f"cast(0 as bigint) as moved_keys, cast(0 as bigint) as lost_keys from (select distinct {', '.join(keys)} from cleaned "

@@ -15,7 +15,7 @@ from ordermart.operators.keys import surrogate_key
 from ordermart.operators.merge import LOOKUPS, left_join, merge_wide
 from ordermart.operators.statistics import merged_statistics
 from ordermart.operators.fanout import LINE_TABLES, LineCounts
-from ordermart.plans.refresh import extend_star, publish_aggregates, publish_star, refresh, stage
+from ordermart.plans.refresh import extend_star, publish_aggregates, publish_star, refresh, refresh_snapshot, stage
 from ordermart.schemas import (
     COLUMN_TYPES,
     DIMENSIONS,
@@ -523,6 +523,23 @@ def _warehouse_refresh(spark, sf_dir):
     return _row_counts(spark, database, [*DIMENSIONS, "fact_orders", *BUILDERS])
 
 
+@query("snapshot_refresh")
+def _snapshot_refresh(spark, sf_dir):
+    """Two versions of the whole warehouse: rows by table of the one in force, and whether a reader that had opened the
+    first version before the second was published still reads what it did."""
+    place = fresh_dir(spark, "snapshots")
+    raw = load_raw_sources(spark, sf_dir)
+    reader = refresh_snapshot(spark, part_of_orders(raw, F.col("order_id") % 3 != 0), place)
+    before = {n: reader.read(n).count() for n in reader.names()}
+    now = refresh_snapshot(spark, raw, place)
+    rows = []
+    for name in now.names():
+        same = reader.read(name).agg((F.count("*") == before[name]).alias("old_reader_kept"))
+        count = now.read(name).agg(F.count("*").alias("n_rows"))
+        rows.append(count.select(F.lit(name.lower()).alias("table_name"), "n_rows", same.select("old_reader_kept").scalar().alias("old_reader_kept")))
+    return reduce(DataFrame.unionAll, rows)
+
+
 @query("job_from_files")
 def _job_from_files(spark, sf_dir):
     """The whole job from CSV files of all eight tables, ids as text: the sales per customer state it publishes."""

@@ -16,6 +16,7 @@ from ordermart.operators.weights import per_order
 from ordermart.schemas import COLUMN_TYPES, DIMENSIONS
 from ordermart.session import at_once, delete_path, fresh_dir, materialise
 from ordermart.sources.catalog import bucket_count, publish, publish_bucketed, read_table, stage_database
+from ordermart.sources.snapshots import Snapshot, publish_snapshot
 
 # Product and seller columns that results group by.
 ITEM_COLUMNS = ["product_id", "product_category_name", "product_category_name_english", "seller_id", "seller_state"]
@@ -102,6 +103,13 @@ def publish_marts(spark: SparkSession, tables: CleanTables, database: str) -> No
     publish_all(spark, {name: build(tables) for name, build in MARTS.items()}, database)
 
 
+def warehouse(spark: SparkSession, tables: CleanTables) -> dict[str, DataFrame]:
+    """All 16 tables of the warehouse."""
+    dimensions = at_once(spark, {name: lambda name=name: build_dimension(tables, name) for name in DIMENSIONS})
+    results = {name: build(tables) for name, build in (AGGREGATES | MARTS).items()}
+    return dimensions | {"fact_orders": build_fact(tables, dimensions)} | results
+
+
 def land(spark: SparkSession, sources: dict[str, DataFrame], types: dict[str, str], folder: str) -> dict[str, DataFrame]:
     """Each source read and converted once: what follows reads the same rows, however often."""
     typed = {name: convert_types(df, types) for name, df in sources.items()}
@@ -136,3 +144,16 @@ def refresh(
             spark.sql(f"DROP DATABASE `{tables.staged_in}` CASCADE")
     finally:
         delete_path(spark, folder)
+
+
+def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], place: str, types: dict[str, str] = WHOLE_NUMBERS) -> Snapshot:
+    """The job from the sources to a new version of all 16 tables, put in force in one step."""
+    folder = fresh_dir(spark, "landed")
+    try:
+        tables = stage(spark, land(spark, sources, types, folder), types=types)
+        try:
+            return publish_snapshot(spark, warehouse(spark, tables), place)
+        finally:
+            spark.sql(f"DROP DATABASE `{tables.staged_in}` CASCADE")
+    finally:
+        delete_path(spark, folder)
