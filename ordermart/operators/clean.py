@@ -151,19 +151,27 @@ def _all_occur(rows: DataFrame, names: list[str]) -> bool:
 
 
 def clean_tables(
-    sources: dict[str, DataFrame], columns: list[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    sources: dict[str, DataFrame],
+    columns: list[str] | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    numbers: dict[str, float] | None = None,
 ) -> CleanTables:
     """All rules applied table by table.
 
     A merged row survives if its order, payment, review and item each pass, so each table is filled
     and filtered on its own. ``columns`` names the filled numeric columns the caller reads; of the
-    others it is only asked whether they have any value, as one without drops every row.
+    others it is only asked whether they have any value, as one without drops every row. With ``numbers``
+    the fills are given and nothing is asked.
     """
     sources = distinct_names(sources)
     wanted = [c for c in STATISTIC_COLUMNS if columns is None or c in columns]
     lines = LineCounts(sources, rows_per_slice)
-    numbers = merged_statistics(sources, wanted, lines)
-    if not have_values(sources, [c for c in STATISTIC_COLUMNS if c not in wanted]):
+    if numbers is None:
+        numbers = merged_statistics(sources, wanted, lines)
+        complete = have_values(sources, [c for c in STATISTIC_COLUMNS if c not in wanted])
+    else:
+        complete = True
+    if not complete:
         sources = sources | {"orders": sources["orders"].filter(F.lit(False))}
 
     def cleaned(df: DataFrame, allow: tuple[str, ...] = ()) -> DataFrame:

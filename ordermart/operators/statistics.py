@@ -30,13 +30,14 @@ SORT_ROWS = 10_000_000
 Ranges = dict[str, tuple[float, float]] | None
 
 
-def long_values(df: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
-    """(name, value, weight) for each value of the columns, missing ones left out."""
+def long_values(df: DataFrame, columns: list[str], weight: str | None = None, *keep: str) -> DataFrame:
+    """(name, value, weight) for each value of the columns, missing ones left out, with columns to keep."""
     rows = df.select(
+        *keep,
         *[F.col(c).cast("double").alias(c) for c in columns],
         (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("weight"),
     )
-    return rows.unpivot(["weight"], columns, "name", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return rows.unpivot([*keep, "weight"], columns, "name", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def keep_long(long: DataFrame, ranges: Ranges) -> DataFrame:
@@ -118,10 +119,10 @@ def wide_statistics(df: DataFrame, columns: list[str]) -> dict[str, float]:
     if not columns:
         return {}
     values = counted_values(long_values(df, columns))
-    return _numbers(values, columns)
+    return numbers_of(values, columns)
 
 
-def _numbers(values: DataFrame, columns: list[str]) -> dict[str, float]:
+def numbers_of(values: DataFrame, columns: list[str]) -> dict[str, float]:
     of_medians = [c for c in columns if c in MEDIAN_COLUMNS]
     numbers = medians(of_medians, lambda cs, ranges: keep_long(values.filter(F.col("name").isin(cs)), ranges))
     for c in columns:
@@ -130,6 +131,18 @@ def _numbers(values: DataFrame, columns: list[str]) -> dict[str, float]:
     return numbers
 
 
+def weighted_lines(sources: dict[str, DataFrame], table: str, columns: list[str], lines: LineCounts) -> DataFrame:
+    """Columns of a line table with their order and ``weight``, the number of merged rows a line appears in."""
+    by_lookup = lines.repeated.get(table, [])
+    a, b = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in LINE_TABLES if t != table]
+    weights = lines.frame.filter("n_orders > 0").select(KEY, (F.col("n_orders") * a * b).alias("weight"))
+    rows = sources[table].select(KEY, *columns, *[k for k, _ in by_lookup])
+    rows = join_order_rows(rows, weights, table, lines.hot(table))
+    if by_lookup:
+        rows = with_copies(rows, by_lookup).withColumn("weight", F.col("weight") * F.col("_rows"))
+    return rows
+
+
 def merged_statistics(
     sources: dict[str, DataFrame], columns: list[str], lines: LineCounts | None = None
 ) -> dict[str, float]:
@@ -146,20 +159,11 @@ def merged_statistics(
     orders = lines.frame.filter("n_orders > 0")
     repeated = lines.repeated
 
-    def weigh(table: str, rows: DataFrame) -> DataFrame:
-        a, b = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in LINE_TABLES if t != table]
-        weights = orders.select(KEY, (F.col("n_orders") * a * b).alias("weight"))
-        return join_order_rows(rows, weights, table, lines.hot(table))
-
     parts = []
     for table in LINE_TABLES:
         of_table = [c for c in columns if c in SOURCE_COLUMNS[table]]
         if of_table:
-            by_lookup = repeated.get(table, [])
-            rows = weigh(table, sources[table].select(KEY, *of_table, *[k for k, _ in by_lookup]))
-            if by_lookup:
-                rows = with_copies(rows, by_lookup).withColumn("weight", F.col("weight") * F.col("_rows"))
-            parts.append(long_values(rows, of_table, "weight"))
+            parts.append(long_values(weighted_lines(sources, table, of_table, lines), of_table, "weight"))
     of_products = [c for c in columns if c in SOURCE_COLUMNS["products"]]
     if of_products:
         # Lines per order and product first, so that one order with very many lines is a few rows; then weights per
@@ -173,4 +177,4 @@ def merged_statistics(
         products = with_copies(sources["products"].select("product_id", "product_category_name", *of_products), repeated["products"])
         joined = per_product.join(products, "product_id").withColumn("weight", F.col("weight") * F.col("_rows"))
         parts.append(long_values(joined, of_products, "weight"))
-    return _numbers(counted_values(reduce(DataFrame.unionAll, parts)), columns)
+    return numbers_of(counted_values(reduce(DataFrame.unionAll, parts)), columns)

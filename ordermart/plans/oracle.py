@@ -433,6 +433,10 @@ SELECTS: dict[str, str] = {
         "where order_id % 3 <> 0 or order_id % 5 <> 0)"
         for name, keys in NATURAL_KEYS.items()
     ),
+    **{
+        f"incremental_{name}": f"select * from {name}"
+        for name in ("agg_sales_by_customer_state", "agg_avg_review_score", "dm_customer_behavior")
+    },
     "star_extended_sales": "select * from agg_sales_by_seller",
     "job_from_files": "select * from agg_sales_by_customer_state",
     "sink_append": "select order_id, order_status, cast(2 * count(*) as bigint) as copies from src_orders group by order_id, order_status",

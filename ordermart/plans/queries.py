@@ -15,6 +15,7 @@ from ordermart.operators.keys import surrogate_key
 from ordermart.operators.merge import LOOKUPS, left_join, merge_wide
 from ordermart.operators.statistics import merged_statistics
 from ordermart.operators.fanout import LINE_TABLES, LineCounts
+from ordermart.plans.incremental import IncrementalResults
 from ordermart.plans.refresh import extend_star, publish_aggregates, publish_star, refresh, refresh_snapshot, stage
 from ordermart.schemas import (
     COLUMN_TYPES,
@@ -523,6 +524,18 @@ def _warehouse_refresh(spark, sf_dir):
     return _row_counts(spark, database, [*DIMENSIONS, "fact_orders", *BUILDERS])
 
 
+for _name in ("Agg_sales_by_customer_state", "Agg_avg_review_score", "dm_customer_behavior"):
+
+    @query("incremental_" + _name.lower())
+    def _incremental(spark, sf_dir, name=_name):
+        """The result after a first load and one that brings the other orders and some of the first once more."""
+        sources = load_sources(spark, sf_dir)
+        kept = IncrementalResults(spark, fresh_dir(spark, "incremental"))
+        kept.load(part_of_orders(sources, F.col("order_id") % 4 != 0))
+        kept.load(part_of_orders(sources, F.col("order_id") % 4 < 2))
+        return kept.results()[name]
+
+
 @query("snapshot_refresh")
 def _snapshot_refresh(spark, sf_dir):
     """Two versions of the whole warehouse: rows by table of the one in force, and whether a reader that had opened the
