@@ -5,7 +5,7 @@
    4 bits to a dimension, beside its full form. The outer cells take the few values to the true extremes, so every bound
    below holds for all vectors; where the borders lie only decides how often it is of use.
 3. A pass over the approximations sums, for each centroid, table entries with the least and the greatest squared distance
-   that a cell allows (one table per pair of dimensions, looked up by the byte). Centroids whose least distance is above
+   that a cell allows, up to a term that all centroids share (one table per pair of dimensions, looked up by the byte). Centroids whose least distance is above
    the smallest greatest one are out. Where one is left, the vector is assigned and its full form is not looked at; where
    intervals overlap, just the overlapping centroids are compared with the full vector, exactly.
 4. The update of centroids needs exact sums of the members. Each task adds up its own rows, and a centroid's sums are added
@@ -95,11 +95,15 @@ class Cells:
         return cells[:, 0::2] | cells[:, 1::2] << 4
 
     def tables(self, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest squared distance to each centroid by pair of dimensions and byte."""
-        c = centroids.T[:, None, :]
-        first, last = self.first[:, :, None], self.last[:, :, None]
-        least = np.maximum(np.maximum(first - c, c - last), 0) ** 2
-        most = np.maximum(np.abs(first - c), np.abs(last - c)) ** 2
+        """Least and greatest squared distance to each centroid, by pair of dimensions and byte.
+
+        As seen from a middle point of the vectors, (x - c)^2 is x^2 + c^2 - 2xc. The first term is the same for all
+        centroids and is left out of both bounds: what remains varies in a cell by its width times c, not times x - c.
+        """
+        middle = self.edges[:, CELLS // 2 - 1]
+        c = (centroids - middle).T[:, None, :]
+        ends = [(side - middle[:, None])[:, :, None] * c for side in (self.first, self.last)]
+        least, most = c * c - 2 * np.maximum(*ends), c * c - 2 * np.minimum(*ends)
         if len(least) % 2:
             least, most = (np.concatenate([t, np.zeros_like(t[:1])]) for t in (least, most))
         byte = np.arange(256)
