@@ -415,7 +415,8 @@ SELECTS: dict[str, str] = {
     "src_csv_reviews": "select * from src_reviews",
     "src_csv_items": "select * from src_items",
     "src_csv_products": "select * from src_products",
-    "src_csv_translation": "select * from src_translation",
+    "src_csv_translation": "select distinct p_type as product_category_name, lower(p_type) as product_category_name_english "
+    "from part where p_type <> 'PROMO'",
     "src_csv_sellers": "select * from src_sellers",
     "sink_csv_roundtrip": "select * replace (case when review_id % 3 = 0 then '' else review_comment_title end as review_comment_title, "
     "case when review_id % 4 = 0 and review_comment_message is not null "

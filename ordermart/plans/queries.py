@@ -30,7 +30,7 @@ from ordermart.session import at_once, configure, fresh_dir, materialise
 from ordermart.sources.catalog import application_database, list_tables, publish, read_mart, read_table, stage_database
 from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
 from ordermart.sources.jdbc import relational_rows
-from ordermart.sources.testdata import load_raw_sources, load_sources, read_driver_table
+from ordermart.sources.testdata import load_raw_sources, load_sources, read_driver_table, translation_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -386,7 +386,7 @@ for _name, _table in [
     @query(_name)
     def _src_csv(spark, sf_dir, table=_table):
         """A source table written as CSV and read with its declared types; the ids are numeric here."""
-        raw = load_raw_sources(spark, sf_dir)[table]
+        raw = translation_file(spark, sf_dir) if table == "translation" else load_raw_sources(spark, sf_dir)[table]
         path = write_csv(raw, fresh_dir(spark, f"csv-{table}"))
         ids = {c: F.col(c).cast("bigint") for c, t in raw.dtypes if t == "bigint"}
         return read_csv(spark, path, table).withColumns(ids)

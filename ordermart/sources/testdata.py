@@ -140,6 +140,12 @@ def load_raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def translation_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The translation table as a source of its own: a row for each category of the products but the untranslated one."""
+    parts = read_driver_table(spark, sf_dir, "part").filter("p_type <> 'PROMO'")
+    return parts.selectExpr("p_type AS product_category_name", "LOWER(p_type) AS product_category_name_english").distinct()
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Source frames after the ingest conversion; the numeric ids of the test data stay numeric."""
     return {name: convert_types(df, ZIP_TYPES) for name, df in load_raw_sources(spark, sf_dir).items()}
