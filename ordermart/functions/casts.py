@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
-# Decimal places of amounts; a value with more of them is an error, never cut.
-MONEY_SCALE = 4
+# Decimal places of amounts: any double from a thousandth up, with the noise of earlier float arithmetic or of 32-bit
+# storage, is held digit for digit. A value with more of them is an error, never cut.
+MONEY_SCALE = 19
+# Places of the greater part of an amount when it is multiplied; see ``weighted_money``.
+COARSE_SCALE = 4
 # Places that hold any double between 1 and 10 exactly as it is written: scores, given or filled with a mean.
 SCORE_SCALE = 16
 # Places for means of amounts: exact for doubles from a thousandth up.
@@ -56,13 +59,38 @@ def exact(c: Column, digits: int, scale: int) -> Column:
 
 def exact_sum(c: Column, scale: int = MONEY_SCALE) -> Column:
     """Sum in decimal arithmetic, so the result does not depend on the order of the rows."""
-    return F.sum(exact(c, 28, scale))
+    return F.sum(exact(c, 38, scale))
 
 
-def weighted(c: Column, weight: Column, scale: int = MONEY_SCALE) -> Column:
-    """A sum times a row count. 22 and 15 digits give a product of 38, so no digit is rounded away."""
+def weighted(c: Column, weight: Column, scale: int) -> Column:
+    """A value times a row count. 22 and 15 digits give a product of 38, so no digit is rounded away."""
     return exact(c, 22, scale) * weight.cast("decimal(15,0)")
 
 
+def _money_parts(c: Column, weight: Column) -> tuple[Column, Column]:
+    """An amount times a row count as two products, of its first four places and of the rest: both have room for every digit."""
+    amount, rows = exact(c, 37, MONEY_SCALE), weight.cast("decimal(15,0)")
+    coarse = amount.cast(f"decimal(22,{COARSE_SCALE})")
+    fine = (amount - coarse).cast(f"decimal({MONEY_SCALE + 1},{MONEY_SCALE})")
+    return coarse * rows, fine * rows
+
+
+def _joined(coarse: Column, fine: Column) -> Column:
+    """37 digits each, so that the sum keeps all its places; a total of 10^18 or more is an error."""
+    kind = f"decimal(37,{MONEY_SCALE})"
+    return coarse.cast(kind) + fine.cast(kind)
+
+
+def weighted_money(c: Column, weight: Column) -> Column:
+    """An amount times a row count, exact."""
+    return _joined(*_money_parts(c, weight))
+
+
+def weighted_money_sum(c: Column, weight: Column) -> Column:
+    """Sum of amounts, each times a row count, exact in any order of the rows; null without any amount."""
+    coarse, fine = _money_parts(c, weight)
+    return _joined(F.sum(coarse), F.sum(fine))
+
+
 def as_double(c: Column) -> Column:
     return c.cast("double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import SCORE_SCALE, as_double, exact_sum, weighted
+from ordermart.functions.casts import SCORE_SCALE, as_double, exact_sum, weighted, weighted_money_sum
 from ordermart.functions.columns import year_month
 from ordermart.operators.clean import CleanTables
 from ordermart.operators.fanout import KEY
@@ -113,7 +113,7 @@ def _rows(*counts: str):
 
 
 def _total(c: str, rows):
-    return as_double(F.sum(weighted(F.col(c), rows)))
+    return as_double(weighted_money_sum(F.col(c), rows))
 
 
 def sales_by_category(tables: CleanTables) -> DataFrame:
@@ -131,7 +131,7 @@ def sales_by_category(tables: CleanTables) -> DataFrame:
 def sales_by_customer_state(tables: CleanTables) -> DataFrame:
     orders = per_order(tables, "payments", "reviews", "items")
     by_customer = orders.groupBy("customer_state", "customer_id").agg(
-        F.sum(weighted(F.col("priced"), _rows("n_payments", "n_reviews"))).alias("sales"),
+        weighted_money_sum(F.col("priced"), _rows("n_payments", "n_reviews")).alias("sales"),
         F.sum(_rows("n_payments", "n_reviews", "n_items")).alias("n"),
     )
     return by_customer.groupBy("customer_state").agg(

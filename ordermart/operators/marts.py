@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import as_double, exact_sum, weighted
+from ordermart.functions.casts import as_double, exact_sum, weighted, weighted_money_sum
 from ordermart.functions.columns import shipping_seconds
 from ordermart.operators.clean import CleanTables
 from ordermart.operators.fanout import KEY
@@ -116,7 +116,7 @@ def _paid_orders(tables: CleanTables) -> DataFrame:
     """One row per customer and order: wide rows and money paid in them."""
     orders = per_order(tables, "payments", "reviews", "items")
     return orders.groupBy("customer_id", KEY).agg(
-        F.sum(weighted(F.col("paid"), F.expr("n_reviews * n_items"))).alias("paid"),
+        weighted_money_sum(F.col("paid"), F.expr("n_reviews * n_items")).alias("paid"),
         F.sum(F.expr("n_payments * n_reviews * n_items")).alias("n"),
     )
 
@@ -131,8 +131,8 @@ def product_category_analysis(tables: CleanTables) -> DataFrame:
     lines = item_lines(tables, ["product_category_name", "price"], ["n_payments", "n_reviews", "paid"])
     return lines.groupBy("product_category_name").agg(
         F.sum(rows).alias("total_sales"),
-        as_double(F.sum(weighted(F.col("paid"), F.col("n_reviews")))).alias("total_revenue"),
-        (as_double(F.sum(weighted(F.col("price"), rows))) / F.sum(rows)).alias("avg_price"),
+        as_double(weighted_money_sum(F.col("paid"), F.col("n_reviews"))).alias("total_revenue"),
+        (as_double(weighted_money_sum(F.col("price"), rows)) / F.sum(rows)).alias("avg_price"),
     )
 
 
@@ -158,7 +158,7 @@ def payment_analysis(tables: CleanTables) -> DataFrame:
     rows = F.expr("n_reviews * n_items")
     lines = payment_lines(tables, ["payment_type", "payment_value"], ["n_reviews", "n_items"])
     return lines.groupBy("payment_type").agg(
-        as_double(F.sum(weighted(F.col("payment_value"), rows))).alias("total_revenue"),
+        as_double(weighted_money_sum(F.col("payment_value"), rows)).alias("total_revenue"),
         F.sum(rows).alias("total_transactions"),
     )
 

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.functions.casts import MONEY_SCALE, SCORE_SCALE, as_double, exact_sum, weighted
+from ordermart.functions.casts import MONEY_SCALE, SCORE_SCALE, as_double, exact_sum, weighted, weighted_money, weighted_money_sum
 from ordermart.functions.columns import year_month
 from ordermart.operators.clean import STATISTIC_COLUMNS, clean_tables, have_values
 from ordermart.operators.fanout import KEY, LINE_TABLES, LineCounts
@@ -53,7 +53,8 @@ ITEM_KEYS = {
 def with_fill(total: Column, missing: Column, fill: Column, scale: int = MONEY_SCALE) -> Column:
     """A sum of what is there plus the fill for what is missing. 36 digits each, so that the sum keeps all its places."""
     kind = f"decimal(36,{scale})"
-    return total.cast(kind) + weighted(fill, missing, scale).cast(kind)
+    filled = weighted_money(fill, missing) if scale == MONEY_SCALE else weighted(fill, missing, scale)
+    return total.cast(kind) + filled.cast(kind)
 
 
 def bucket_of(buckets: int) -> Column:
@@ -82,18 +83,18 @@ def bucket_state(sources: dict[str, DataFrame], buckets: int = BUCKETS) -> dict[
     keys = list(dict.fromkeys(k for ks in ITEM_KEYS.values() for k in ks))
     sets = lines.groupingSets([[BUCKET, *ks] for ks in ITEM_KEYS.values()], BUCKET, *keys).agg(
         F.grouping_id().alias("kind"),
-        F.sum(weighted(F.col("price"), rows)).alias("sales"),
+        weighted_money_sum(F.col("price"), rows).alias("sales"),
         F.sum(F.col("price_missing") * rows).alias("sales_missing"),
-        F.sum(weighted(F.col("freight_value"), rows)).alias("freight"),
+        weighted_money_sum(F.col("freight_value"), rows).alias("freight"),
         F.sum(F.col("freight_value_missing") * rows).alias("freight_missing"),
-        F.sum(weighted(F.col("paid"), F.col("n_reviews"))).alias("revenue"),
+        weighted_money_sum(F.col("paid"), F.col("n_reviews")).alias("revenue"),
         F.sum(rows).alias("n"),
     )
 
     orders = with_shipping_time(per_order(tables, "payments", "reviews", "items"))
     wide = F.expr("n_payments * n_reviews * n_items")
     paid = orders.groupBy(bucket, "customer_id", KEY).agg(
-        F.sum(weighted(F.col("paid"), F.expr("n_reviews * n_items"))).alias("paid"), F.sum(wide).alias("n")
+        weighted_money_sum(F.col("paid"), F.expr("n_reviews * n_items")).alias("paid"), F.sum(wide).alias("n")
     )
     payments = payment_lines(tables, ["payment_type", "payment_value"], ["n_reviews", "n_items"])
     copies = F.expr("n_reviews * n_items")
@@ -103,7 +104,7 @@ def bucket_state(sources: dict[str, DataFrame], buckets: int = BUCKETS) -> dict[
         "items": sets,
         "customers": paid.groupBy(BUCKET, "customer_id").agg(F.sum("paid").alias("paid"), F.sum("n").alias("n"), F.count(KEY).alias("orders")),
         "statuses": orders.groupBy(bucket, "order_status").agg(F.sum(weighted(F.col("shipping_time"), wide, scale=0)).alias("seconds"), F.sum(wide).alias("n")),
-        "payments": payments.groupBy(bucket, "payment_type").agg(F.sum(weighted(F.col("payment_value"), copies)).alias("revenue"), F.sum(copies).alias("n")),
+        "payments": payments.groupBy(bucket, "payment_type").agg(weighted_money_sum(F.col("payment_value"), copies).alias("revenue"), F.sum(copies).alias("n")),
         "reviews": _review_state(tables, bucket),
         "values": reduce(DataFrame.unionByName, values).groupBy(BUCKET, "name", "value").agg(F.sum("weight").alias("weight")),
     }
