@@ -19,6 +19,7 @@ from ordermart.schemas import (
     MEDIAN_COLUMNS,
     MERGED_COLUMNS,
     RENAMES,
+    SOURCE_COLUMNS,
 )
 
 SOURCES = """
@@ -337,6 +338,33 @@ def first_rows(name: str, order: str) -> str:
 CHART_TABLES = {
     name: f"select {', '.join([*labels, *measures])} from {table.lower()}" for name, (table, labels, measures) in CHART_COLUMNS.items()
 }
+TRANSLATION_FILE = (
+    "select distinct p_type as product_category_name, lower(p_type) as product_category_name_english from part where p_type <> 'PROMO'"
+)
+
+
+def inferred(table: str) -> str:
+    """Each column's type by the shape of its text; dates and numbers together are text."""
+    rows = f"({TRANSLATION_FILE})" if table == "translation" else f"src_{table}"
+    whole, number = "'[+-]?[0-9]+'", "'[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'"
+    moment = "'[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?'"
+    kinds = {
+        "int": f"regexp_full_match(v, {whole}) and try_cast(v as int) is not null",
+        "bigint": f"regexp_full_match(v, {whole}) and try_cast(v as bigint) is not null",
+        "double": f"regexp_full_match(v, {number})",
+        "timestamp_ntz": f"regexp_full_match(v, {moment}) and try_cast(v as timestamp) is not null",
+    }
+    first = " ".join(
+        f"when count(*) filter (where v is not null and not coalesce({holds}, false)) = 0 then '{kind}'" for kind, holds in kinds.items()
+    )
+    return " union all ".join(
+        f"select '{table}' as table_name, {i} as position, '{c}' as column_name, case when count(v) = 0 then 'null' {first} "
+        f"else 'string' end as type, count(*) as n_rows, count(*) - count(v) as n_nulls "
+        f"from (select nullif(cast({c} as varchar), '') as v from {rows})"
+        for i, c in enumerate(SOURCE_COLUMNS[table], 1)
+    )
+
+
 SELECTS: dict[str, str] = {
     "join_customers": "select * from src_orders left join src_customers using (customer_id)",
     "join_payments": "select * from src_orders left join src_payments using (order_id)",
@@ -415,9 +443,9 @@ SELECTS: dict[str, str] = {
     "src_csv_reviews": "select * from src_reviews",
     "src_csv_items": "select * from src_items",
     "src_csv_products": "select * from src_products",
-    "src_csv_translation": "select distinct p_type as product_category_name, lower(p_type) as product_category_name_english "
-    "from part where p_type <> 'PROMO'",
+    "src_csv_translation": TRANSLATION_FILE,
     "src_csv_sellers": "select * from src_sellers",
+    "src_csv_inferred": " union all ".join(inferred(table) for table in SOURCE_COLUMNS),
     "sink_csv_roundtrip": "select * replace (case when review_id % 3 = 0 then '' else review_comment_title end as review_comment_title, "
     "case when review_id % 4 = 0 and review_comment_message is not null "
     "then 'two' || chr(10) || 'lines, \"quoted\" ' || review_comment_message else review_comment_message end "

@@ -29,6 +29,7 @@ from ordermart.schemas import (
 from ordermart.session import at_once, configure, fresh_dir, materialise
 from ordermart.sources.catalog import application_database, list_tables, publish, read_mart, read_table, stage_database
 from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
+from ordermart.sources.infer import infer_types
 from ordermart.sources.jdbc import relational_rows
 from ordermart.sources.testdata import load_raw_sources, load_sources, read_driver_table, translation_file
 
@@ -392,6 +393,15 @@ for _name, _table in [
         return read_csv(spark, path, table).withColumns(ids)
 
 
+@query("src_csv_inferred")
+def _src_csv_inferred(spark, sf_dir):
+    """Type and nulls of each column of the eight tables, from CSV files of text: a row per table and column."""
+    raw = load_raw_sources(spark, sf_dir) | {"translation": translation_file(spark, sf_dir)}
+    paths = at_once(spark, {t: lambda t=t, df=df: write_csv(df, fresh_dir(spark, f"csv-{t}")) for t, df in raw.items()})
+    found = [infer_types(read_csv(spark, path, t, types={})).select(F.lit(t).alias("table_name"), "*") for t, path in paths.items()]
+    return reduce(DataFrame.unionAll, found)
+
+
 @query("sink_csv_roundtrip")
 def _sink_csv_roundtrip(spark, sf_dir):
     """The merged table to CSV and back, with line breaks, quotes and empty text in its comments."""
