@@ -85,3 +85,12 @@ def test_no_rows_where_a_filled_column_has_no_value(spark, tmp_path):
     assert all(df.count() == 0 for df in kept.results().values())
     kept.load(small_sources(spark, [order("b")], [payment("b")], [review("b", "r")], [item("b", price=7.5)]))
     assert kept.results()["Agg_sales_by_seller"].collect()[0]["total_sales"] == 15.0
+
+
+def test_each_bucket_is_one_file(spark, tmp_path):
+    """However many tasks hold rows of a bucket, one of them writes it."""
+    kept, path = IncrementalResults(spark, str(tmp_path / "kept"), 4), str(tmp_path / "table")
+    rows = spark.range(1000, numPartitions=8).withColumn("_bucket", (F.col("id") % 4).cast("int"))
+    kept._replace(rows, path, [0, 1, 2, 3])
+    assert {b: len([f for f in os.listdir(f"{path}/_bucket={b}") if f.endswith(".parquet")]) for b in range(4)} == dict.fromkeys(range(4), 1)
+    assert spark.read.parquet(path).count() == 1000
