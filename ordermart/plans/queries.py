@@ -409,7 +409,7 @@ def _sink_csv_roundtrip(spark, sf_dir):
     title = F.when(F.col("review_id") % 3 == 0, "").otherwise(F.col("review_comment_title"))
     message = F.when(F.col("review_id") % 4 == 0, F.concat(F.lit('two\nlines, "quoted" '), "review_comment_message"))
     merged = merged.withColumns({"review_comment_title": title, "review_comment_message": F.coalesce(message, "review_comment_message")})
-    path = write_csv(merged, fresh_dir(spark, "csv-merged"), NULL_TEXT)
+    path = write_csv(merged, fresh_dir(spark, "csv-merged"), NULL_TEXT, "gzip")
     return read_csv_as(spark, path, merged)
 
 
@@ -567,7 +567,7 @@ def _snapshot_refresh(spark, sf_dir):
 def _job_from_files(spark, sf_dir):
     """The whole job from CSV files of all eight tables, ids as text: the sales per customer state it publishes."""
     raw = load_raw_sources(spark, sf_dir)
-    paths = at_once(spark, {t: lambda t=t, df=df: write_csv(df, fresh_dir(spark, f"csv-{t}")) for t, df in raw.items()})
+    paths = at_once(spark, {t: lambda t=t, df=df: write_csv(df, fresh_dir(spark, f"csv-{t}"), compression="gzip") for t, df in raw.items()})
     files = {t: read_csv(spark, path, t, types={}) for t, path in paths.items()}
     database = application_database(spark, "ordermart_job")
     refresh(spark, files, database, types=COLUMN_TYPES)

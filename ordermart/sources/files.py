@@ -35,14 +35,15 @@ def read_csv(
     return convert_types(df, types)
 
 
-def write_csv(df: DataFrame, path: str, null_text: str = "") -> str:
+def write_csv(df: DataFrame, path: str, null_text: str = "", compression: str = "none") -> str:
     """Part files with a header each; no row number column.
 
     By default null is an empty field, as is empty text; another ``null_text`` keeps them apart.
+    Compressed files are read like plain ones, each by one task; a file per task that writes keeps them even.
     """
     text = {"timestamp", "timestamp_ntz"}
     out = df.select(*[F.col(c).cast("string").alias(c) if t in text else F.col(c) for c, t in df.dtypes])
-    out.write.mode("overwrite").csv(path, header=True, nullValue=null_text, emptyValue='""' if null_text else "", **QUOTING)
+    out.write.mode("overwrite").csv(path, header=True, nullValue=null_text, emptyValue='""' if null_text else "", compression=compression, **QUOTING)
     return path
 
 
