@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ordermart.session import application_dir, fresh_dir
 
-# Bytes of a source per bucket: a bucket is read by one task, and adaptive execution cannot resize it.
-BUCKET_BYTES = 256 << 20
+# Bytes of a source per bucket: a bucket is read by one task, and adaptive execution cannot resize it. Joins sort the rows of
+# several tables in memory, where they took some sixty times the bytes that are reported for the compressed source.
+BUCKET_BYTES = 4 << 20
 # What is reported for frames that are no scans; the session's shuffle partitions decide then.
 UNKNOWN_BYTES = 1 << 60
 
@@ -67,7 +68,8 @@ def bucket_count(tables: list[DataFrame], bucket_bytes: int = BUCKET_BYTES) -> i
     known = [s for s in sizes if s < UNKNOWN_BYTES]
     if len(known) < len(sizes):
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(spark.sparkContext.defaultParallelism, -(-max(known) // bucket_bytes))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-max(known) // bucket_bytes)))
 
 
 def publish_bucketed(df: DataFrame, database: str, table: str, key: str | list[str], buckets: int) -> None:
