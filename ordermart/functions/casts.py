@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 MONEY_SCALE = 19
 # Places of the greater part of an amount when it is multiplied; see ``weighted_money``.
 COARSE_SCALE = 4
+# Hundredths up to which amounts are added as integers: eight billion rows of a group cannot overflow a long.
+UNITS_LIMIT = 2**30
 # Places that hold any double between 1 and 10 exactly as it is written: scores, given or filled with a mean.
 SCORE_SCALE = 16
 # Places for means of amounts: exact for doubles from a thousandth up.
@@ -69,9 +73,36 @@ def exact(c: Column, digits: int, scale: int) -> Column:
     return F.when(fits, number).otherwise(F.raise_error(problem).cast(f"decimal({digits},{scale})"))
 
 
+def hundredths(c: Column) -> Column:
+    """A double of at most two decimal places as a whole number of hundredths; null for all others, also for other types.
+
+    A double that equals k / 100 is written with two places, so k hundredths are its value digit for digit.
+    """
+    number = c.cast("double")
+    units = F.rint(number * 100)
+    fits = (F.typeof(c) == "double") & (F.abs(units) <= UNITS_LIMIT) & (units / 100 == number)
+    return F.when(fits, units.cast("bigint"))
+
+
+def _total(units: Column, others: Column, n_others: Column, scale: int) -> Column:
+    """Sum of hundredths, which are added as integers, and the sum of the other amounts; null without any.
+
+    A sum that no long holds is an error, with ANSI mode on or off.
+    """
+    kind, total, n = f"decimal(37,{scale})", F.try_sum(units), F.count(units)
+    too_large = F.raise_error(F.lit("a total of amounts is too large")).cast("bigint")
+    whole = (F.when((n > 0) & total.isNull(), too_large).otherwise(total) * F.lit(Decimal("0.01"))).cast(kind)
+    return F.when(n == 0, others).when(n_others == 0, whole).otherwise(whole + others.cast(kind))
+
+
 def exact_sum(c: Column, scale: int = MONEY_SCALE) -> Column:
-    """Sum in decimal arithmetic, so the result does not depend on the order of the rows."""
-    return F.sum(exact(c, 38, scale))
+    """Sum in decimal arithmetic, so the result does not depend on the order of the rows.
+
+    Amounts of whole hundredths are added as integers, the others as decimals.
+    """
+    units = hundredths(c)
+    other = units.isNull()
+    return _total(units, F.sum(F.when(other, exact(c, 38, scale))), F.count_if(other & c.isNotNull()), scale)
 
 
 def weighted(c: Column, weight: Column, scale: int) -> Column:
@@ -100,8 +131,13 @@ def weighted_money(c: Column, weight: Column) -> Column:
 
 def weighted_money_sum(c: Column, weight: Column) -> Column:
     """Sum of amounts, each times a row count, exact in any order of the rows; null without any amount."""
+    rows = weight.cast("bigint")
+    units = F.when(rows.between(0, UNITS_LIMIT), hundredths(c) * rows)
+    units = F.when(F.abs(units) <= UNITS_LIMIT, units)
+    other = units.isNull()
     coarse, fine = money_parts(c, weight)
-    return joined_parts(F.sum(coarse), F.sum(fine))
+    others = joined_parts(F.sum(F.when(other, coarse)), F.sum(F.when(other, fine)))
+    return _total(units, others, F.count_if(other & c.isNotNull() & weight.isNotNull()), MONEY_SCALE)
 
 
 def as_double(c: Column) -> Column:
