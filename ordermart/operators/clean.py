@@ -105,6 +105,8 @@ class CleanTables:
     sellers: DataFrame
     # Lines per order, perhaps counted before cleaning, when there were more of them.
     lines: LineCounts
+    # Items before their product and seller are joined, for who joins written copies of those.
+    bare_items: DataFrame | None = None
     # The database that holds the tables once they are staged.
     staged_in: str | None = None
 
@@ -181,7 +183,7 @@ def clean_tables(
 
     # Categories are translated per product, and lookups are cleaned before items meet them.
     products = cleaned(left_join(sources["products"], sources["translation"], LOOKUPS["translation"]))
-    sellers = cleaned(sources["sellers"])
+    sellers, items = cleaned(sources["sellers"]), cleaned(sources["items"])
     delivered_at = F.col("order_delivered_customer_date")
     orders = order_rows(sources).withColumns({"delivered": delivered_at.isNotNull(), "delivered_at": delivered_at})
     return CleanTables(
@@ -190,13 +192,19 @@ def clean_tables(
         ),
         payments=cleaned(sources["payments"]),
         reviews=cleaned(sources["reviews"], ("review_creation_date",)),
-        items=cleaned(sources["items"]).join(products, LOOKUPS["products"]).join(sellers, LOOKUPS["sellers"]),
+        items=item_lookups(items, products, sellers),
         products=products,
         sellers=sellers,
         lines=lines,
+        bare_items=items,
     )
 
 
+def item_lookups(items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Cleaned items with their product and seller; without either they are incomplete."""
+    return items.join(products, LOOKUPS["products"]).join(sellers, LOOKUPS["sellers"])
+
+
 def join_clean(tables: CleanTables) -> DataFrame:
     """The cleaned wide table from the cleaned tables: only inner joins on the order."""
     wide = fan_out(tables.orders, {t: getattr(tables, t) for t in LINE_TABLES}, tables.lines.hot(*LINE_TABLES), "inner")

@@ -12,7 +12,7 @@ from ordermart.operators.keys import surrogate_key
 from ordermart.operators.registry import extend_keys, keyed, merged_dimension
 from ordermart.operators.weights import item_lines, payment_lines, per_order, review_lines
 from ordermart.schemas import DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, FACT_MEASURES
-from ordermart.session import materialise
+from ordermart.session import at_once, materialise
 
 # Columns that identify a dimension row.
 NATURAL_KEYS = {
@@ -84,6 +84,16 @@ def extend_dimension(tables: CleanTables, database: str, name: str) -> DataFrame
     return merged_dimension(rows.sparkSession, keyed(rows, keys, key, natural), database, name, key)
 
 
+def key_maps(dimensions: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The keys the facts look up, written once and narrow.
+
+    A numbered dimension is a plan of unknown size, which would be numbered again for each use and for which all items
+    are shuffled; a written map that is small is broadcast.
+    """
+    spark = next(iter(dimensions.values())).sparkSession
+    return at_once(spark, {name: lambda name=name, c=c: materialise(dimensions[name].select(*c)) for name, c in FACT_LOOKUPS.items()})
+
+
 def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFrame:
     """One row per order x payment x review x item.
 
@@ -114,4 +124,4 @@ def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFra
 
 def build_star(tables: CleanTables) -> dict[str, DataFrame]:
     star = {name: build_dimension(tables, name) for name in DIMENSIONS}
-    return star | {"fact_orders": build_fact(tables, star)}
+    return star | {"fact_orders": build_fact(tables, key_maps(star))}
