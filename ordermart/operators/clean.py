@@ -107,6 +107,8 @@ class CleanTables:
     lines: LineCounts
     # Items before their product and seller are joined, for who joins written copies of those.
     bare_items: DataFrame | None = None
+    # The fills of missing numbers.
+    numbers: dict[str, float] | None = None
     # The database that holds the tables once they are staged.
     staged_in: str | None = None
 
@@ -197,9 +199,15 @@ def clean_tables(
         sellers=sellers,
         lines=lines,
         bare_items=items,
+        numbers=numbers,
     )
 
 
+def complete_lookup(df: DataFrame) -> DataFrame:
+    """Rows of a lookup table that no rule drops, without the columns whose fill is a statistic."""
+    return drop_incomplete(rename(fill_constants(df.drop(*STATISTIC_COLUMNS))))
+
+
 def item_lookups(items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Cleaned items with their product and seller; without either they are incomplete."""
     return items.join(products, LOOKUPS["products"]).join(sellers, LOOKUPS["sellers"])

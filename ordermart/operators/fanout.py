@@ -48,7 +48,8 @@ def with_copies(df: DataFrame, repeated: list[tuple[str, DataFrame]], name: str
 class LineCounts:
     """Rows of each table per order as they stand in the merged table, counted on first use and written once.
 
-    A lookup table that holds a key twice multiplies the rows that meet it, as the merge does.
+    A lookup table that holds a key twice multiplies the rows that meet it, as the merge does. A table ``counts`` among
+    the others holds the numbers of all orders that occur; no lookup repeats a key then.
     """
 
     def __init__(self, tables: dict[str, DataFrame], rows_per_slice: int = ROWS_PER_SLICE):
@@ -60,6 +61,8 @@ class LineCounts:
     @cached_property
     def repeated(self) -> dict[str, list[tuple[str, DataFrame]]]:
         """Per table the lookups with repeated keys: (key, (key, _copies)). Usually none."""
+        if "counts" in self.sources:
+            return {t: [] for t in LOOKUP_OF}
         lookups = {(t, n): (k, self.sources[n]) for t, pairs in LOOKUP_OF.items() for n, k in pairs if n in self.sources}
         spark = self.tables["orders"].sparkSession
         found = at_once(spark, {n: lambda k=k, df=df: not copies_per_key(df, k).isEmpty() for n, (k, df) in lookups.items()})
@@ -74,6 +77,8 @@ class LineCounts:
     @cached_property
     def frame(self) -> DataFrame:
         """(order_id, n_orders, n_payments, n_reviews, n_items): one aggregation that reads only the keys."""
+        if "counts" in self.sources:
+            return self.sources["counts"]
         parts = []
         for name, df in self.tables.items():
             repeated = self.repeated.get(name, [])
@@ -106,6 +111,19 @@ class LineCounts:
         return F.broadcast(hot) if n <= BROADCAST_ORDERS else hot
 
 
+def largest_group(df: DataFrame, groups: int = 65_536) -> int:
+    """Rows of the largest of some groups of orders, no fewer than those of any one order: the keys are not shuffled."""
+    sizes = df.filter(F.col(KEY).isNotNull()).groupBy(F.pmod(F.xxhash64(KEY), F.lit(groups)).alias("_group")).agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
+def counts_in_place(tables: dict[str, DataFrame]) -> DataFrame:
+    """The counts of ``LineCounts`` for the orders that occur, from tables that are laid out by order: nothing is shuffled."""
+    counts = [tables[t].groupBy(KEY).agg(F.count("*").alias(f"n_{t}")) for t in ("orders", *LINE_TABLES)]
+    joined = reduce(lambda left, right: left.join(right, KEY, "left"), counts)
+    return joined.na.fill(0, [f"n_{t}" for t in LINE_TABLES])
+
+
 def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int) -> DataFrame:
     """Orders whose joined rows exceed one slice: (order_id, _s_payments, _s_reviews, _s_items).
 

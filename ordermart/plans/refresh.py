@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
+from math import isnan
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermart.operators.aggregates import AGGREGATES
-from ordermart.operators.clean import CleanTables, clean_tables, item_lookups
+from ordermart.operators.clean import CleanTables, clean_tables, complete_lookup, item_lookups
 from ordermart.operators.convert import convert_types
-from ordermart.operators.fanout import KEY, LINE_TABLES
+from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, LineCounts, counts_in_place, largest_group
 from ordermart.operators.marts import MARTS
+from ordermart.operators.merge import LOOKUPS, distinct_names, left_join, order_rows
 from ordermart.operators.star import build_dimension, build_fact, extend_dimension, key_maps
 from ordermart.operators.weights import COUNTS, per_order
-from ordermart.schemas import COLUMN_TYPES, DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, NOT_AVAILABLE_COLUMNS
+from ordermart.schemas import COLUMN_TYPES, DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, MEDIAN_COLUMNS, NOT_AVAILABLE_COLUMNS
 from ordermart.session import at_once, delete_path, fresh_dir, materialise
-from ordermart.sources.catalog import bucket_count, publish, publish_bucketed, read_table, stage_database
+from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, publish, publish_bucketed, read_table, size_of, stage_database
 from ordermart.sources.snapshots import Snapshot, publish_snapshot
 
 # Product and seller columns that results group by.
@@ -35,53 +39,128 @@ def stage(
     types: dict[str, str] | None = None,
     buckets: int | None = None,
     results: bool = True,
+    folder: str | None = None,
 ) -> CleanTables:
-    """Write the cleaned tables once, to a database of this call, and return them as table scans.
+    """Write the tables once, to a database of this call, and return the cleaned ones.
 
     They have the size of the sources, not of the multiplied wide table. All are bucketed by order,
-    so later joins on the order find their rows in place; a table with an order too large for one
-    task is written as it comes instead. Orders carry the counts of their lines, so most results
+    so joins on the order find their rows in place. Lines are written before they are cleaned, so that what the
+    rules need to know of all rows is computed in place, too; the rules are applied as they are read. Where a lookup
+    repeats a key or an order is too large for one task, lines are cleaned first and written afterwards, a table with
+    such an order as it comes. Orders carry the counts of their lines, so most results
     need one join or none. Products and sellers are written first: items meet the written copies, whose
     size is known, and keep the columns that results group by. Comments, which nothing is built from, are
-    not written. Without ``results`` only a star schema can be built from the tables: they lack the columns
+    not written. With a ``folder`` the sources are read once, as ``land`` does, lookups first. Without ``results`` only a star schema can be built from the tables: they lack the columns
     and sums of the aggregates and marts, but for those that ``types`` check.
     ``types`` convert the cleaned columns; ``session.clear_stage`` deletes the tables.
     """
-    tables = clean_tables(sources, columns)
     typed = (lambda df: convert_types(df, types)) if types else (lambda df: df)
-    tables = replace(tables, **{n: typed(getattr(tables, n)) for n in ("orders", "payments", "reviews", "products", "sellers")})
-    large = {name for name in LINE_TABLES if tables.lines.hot(name) is not None}
+    if folder:
+        # Lines that are files are left there until they are placed; a source of unknown size is landed as lookups are.
+        files = [t for t in ("orders", *LINE_TABLES) if size_of(sources[t]) < UNKNOWN_BYTES]
+        sources = sources | land(spark, {t: df for t, df in sources.items() if t not in files}, folder)
     buckets = buckets or bucket_count([sources[name] for name in ("orders", *LINE_TABLES)])
     database = stage_database(spark)
+    star_only = not results and not types
+    placed = _place(spark, distinct_names(sources), database, buckets, attach=not star_only)
+    if folder and placed is None:
+        sources = sources | land(spark, {t: sources[t] for t in files}, folder)
+    tables = clean_tables(placed or sources, columns)
+    tables = replace(tables, **{n: typed(getattr(tables, n)) for n in ("orders", "payments", "reviews", "products", "sellers")})
+    large = {name for name in LINE_TABLES if tables.lines.hot(name) is not None}
 
-    def write(name: str, df: DataFrame) -> DataFrame:
+    def write(name: str, df: DataFrame, in_place: bool = False) -> DataFrame:
         if name in large:
             publish(df, database, name)
         else:
-            publish_bucketed(df, database, name, KEY, buckets)
+            publish_bucketed(df, database, name, KEY, buckets, in_place)
         return read_table(spark, database, name)
 
     def write_lookup(name: str) -> DataFrame:
         publish(getattr(tables, name), database, name)
         return read_table(spark, database, name)
 
-    star_only = not results and not types
-
     def lines(df: DataFrame) -> DataFrame:
         return df.select(*[c for c in df.columns if (c in STAR_COLUMNS if star_only else c not in NOT_AVAILABLE_COLUMNS)])
 
     lookups = at_once(spark, {name: lambda name=name: write_lookup(name) for name in ("products", "sellers")})
-    grouped = [df.select(*[c for c in df.columns if c in ITEM_COLUMNS or c not in LOOKUP_COLUMNS]) for df in lookups.values()]
-    items = typed(item_lookups(tables.bare_items, *grouped))
-    jobs = {
-        name: lambda name=name, df=df: write(name, lines(df))
-        for name, df in {"items": items, "payments": tables.payments, "reviews": tables.reviews}.items()
-    }
-    written = replace(tables, **lookups, **at_once(spark, jobs), bare_items=None)
+    in_place = placed is not None and not large
+    if in_place:
+        items = typed(_found_items(tables, lookups["products"]))
+    else:
+        grouped = [df.select(*[c for c in df.columns if c in ITEM_COLUMNS or c not in LOOKUP_COLUMNS]) for df in lookups.values()]
+        items = typed(item_lookups(tables.bare_items.select(*[c for c in tables.bare_items.columns if not c.startswith(FOUND)]), *grouped))
+    frames = {name: lines(df) for name, df in {"items": items, "payments": tables.payments, "reviews": tables.reviews}.items()}
+    if in_place:
+        if types:
+            at_once(spark, {name: lambda df=df: _refuse(df, types) for name, df in frames.items()})
+    else:
+        frames = at_once(spark, {name: lambda name=name, df=df: write(name, df) for name, df in frames.items()})
+    written = replace(tables, **lookups, **frames, bare_items=None)
     orders = per_order(written, *LINE_TABLES, sums=results)
     if star_only:
         orders = orders.select(*[c for c in orders.columns if c in STAR_COLUMNS or c in COUNTS])
-    return replace(written, orders=write("orders", orders), staged_in=database)
+    return replace(written, orders=write("orders", orders, in_place), staged_in=database)
+
+
+# Columns that items have from their product and seller before they are cleaned: null where there is none that is complete.
+FOUND = "_found_"
+
+
+def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int, attach: bool) -> dict[str, DataFrame] | None:
+    """The sources with orders and lines laid out by order, so that counting, statistics, cleaning and the star shuffle none of
+    them by order again. Orders have met their customer, and items their product and seller, of which they keep the
+    columns that results group by (``attach``) or a mark. Comments are left out.
+
+    None where a lookup repeats a key, which multiplies rows, or where an order may be too large for one task.
+    """
+    counted = LineCounts(sources)
+    if any(counted.repeated.values()):
+        return None
+    sizes = at_once(spark, {t: lambda t=t: largest_group(sources[t]) for t in LINE_TABLES})
+    if max(sizes.values()) > ROWS_PER_SLICE:
+        return None
+
+    def found(df: DataFrame, key: str) -> DataFrame:
+        kept = [c for c in df.columns if c != key and (c in ITEM_COLUMNS or c not in LOOKUP_COLUMNS)] if attach else []
+        return df.select(key, F.lit(1).alias(FOUND + key), *[F.col(c).alias(FOUND + c) for c in kept])
+
+    # Written first, as the join of all items with a lookup of unknown size would shuffle them.
+    products = left_join(sources["products"], sources["translation"], LOOKUPS["translation"])
+    lookups = {"product_id": products, "seller_id": sources["sellers"]}
+    lookups = at_once(spark, {k: lambda k=k, df=df: materialise(found(complete_lookup(df), k)) for k, df in lookups.items()})
+    frames = {
+        "items": reduce(lambda items, k: left_join(items, lookups[k], k), lookups, sources["items"]),
+        "orders": order_rows(sources),
+        "payments": sources["payments"],
+        "reviews": sources["reviews"].drop(*NOT_AVAILABLE_COLUMNS),
+    }
+
+    def write(name: str, df: DataFrame, in_place: bool = False) -> DataFrame:
+        publish_bucketed(df.filter(F.col(KEY).isNotNull()), database, f"placed_{name}", KEY, buckets, in_place)
+        return read_table(spark, database, f"placed_{name}")
+
+    placed = at_once(spark, {name: lambda name=name, df=df: write(name, df) for name, df in frames.items()})
+    counts = write("counts", counts_in_place(placed), in_place=True)
+    return {t: sources[t] for t in ("products", "translation", "sellers")} | placed | {"counts": counts}
+
+
+def _found_items(tables: CleanTables, products: DataFrame) -> DataFrame:
+    """Cleaned items that have met their product and seller; cleaning has dropped those without."""
+    names = [c for c in tables.bare_items.columns if c not in (FOUND + "product_id", FOUND + "seller_id")]
+    items = tables.bare_items.select(*[F.col(c).alias(c.removeprefix(FOUND)) if c.startswith(FOUND) else F.col(c) for c in names])
+    fills = [tables.numbers.get(c) for c in products.columns if c in MEDIAN_COLUMNS]
+    if any(n is None or isnan(n) for n in fills):
+        # A fill that is no number drops products, and their items with them.
+        items = items.join(products.select("product_id"), "product_id", "left_semi")
+    return items
+
+
+def _refuse(df: DataFrame, types: dict[str, str]) -> None:
+    """Convert every number, so that one of another type stops the job before anything is published."""
+    numbers = [c for c in df.columns if types.get(c) in ("int", "double")]
+    if numbers:
+        df.agg(*[F.max(c) for c in numbers]).collect()
 
 
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str, mode: str = "overwrite") -> None:
@@ -127,10 +206,13 @@ def warehouse(spark: SparkSession, tables: CleanTables) -> dict[str, DataFrame]:
     return dimensions | {"fact_orders": build_fact(tables, key_maps(dimensions))} | results
 
 
-def land(spark: SparkSession, sources: dict[str, DataFrame], types: dict[str, str], folder: str) -> dict[str, DataFrame]:
+def land(spark: SparkSession, sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Each source read and converted once: what follows reads the same rows, however often."""
-    typed = {name: convert_types(df, types) for name, df in sources.items()}
-    return at_once(spark, {name: lambda name=name, df=df: materialise(df, f"{folder}/{name}") for name, df in typed.items()})
+    return at_once(spark, {name: lambda name=name, df=df: materialise(df, f"{folder}/{name}") for name, df in sources.items()})
+
+
+def typed_sources(sources: dict[str, DataFrame], types: dict[str, str]) -> dict[str, DataFrame]:
+    return {name: convert_types(df, types) for name, df in sources.items()}
 
 
 def refresh(
@@ -149,7 +231,7 @@ def refresh(
     """
     folder = fresh_dir(spark, "landed")
     try:
-        tables = stage(spark, land(spark, sources, types, folder), types=types)
+        tables = stage(spark, typed_sources(sources, types), types=types, folder=folder)
         try:
             if mode == "extend":
                 extend_star(spark, tables, database)
@@ -167,7 +249,7 @@ def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], place:
     """The job from the sources to a new version of all 16 tables, put in force in one step."""
     folder = fresh_dir(spark, "landed")
     try:
-        tables = stage(spark, land(spark, sources, types, folder), types=types)
+        tables = stage(spark, typed_sources(sources, types), types=types, folder=folder)
         try:
             return publish_snapshot(spark, warehouse(spark, tables), place)
         finally:

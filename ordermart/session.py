@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 JOBS_AT_ONCE = 4
+# Codec of what is written on the way: smaller than the default one.
+SCRATCH_CODEC = "zstd"
 
 # Runtime settings the plans count on; a value the user has set is left alone.
 ADAPTIVE = {
@@ -66,7 +68,7 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     broadcasting them.
     """
     path = path or fresh_dir(df.sparkSession, "frame")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=SCRATCH_CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.session import application_dir, fresh_dir
+from ordermart.session import SCRATCH_CODEC, application_dir, fresh_dir
 
 # Bytes of a source per bucket: a bucket is read by one task, and adaptive execution cannot resize it. Joins sort the rows of
 # several tables in memory, where they took some sixty times the bytes that are reported for the compressed source.
@@ -61,9 +61,14 @@ def _swapped(spark: SparkSession, database: str, table: str, write) -> None:
     spark.sql(f"ALTER TABLE `{database}`.`{beside}` RENAME TO `{database}`.`{table}`")
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of a frame as its scans report them; ``UNKNOWN_BYTES`` or more where they do not."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bucket_count(tables: list[DataFrame], bucket_bytes: int = BUCKET_BYTES) -> int:
     """Buckets for tables that are joined with each other: by the size of the largest, as the scans report it."""
-    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables]
+    sizes = [size_of(df) for df in tables]
     spark = tables[0].sparkSession
     known = [s for s in sizes if s < UNKNOWN_BYTES]
     if len(known) < len(sizes):
@@ -72,9 +77,12 @@ def bucket_count(tables: list[DataFrame], bucket_bytes: int = BUCKET_BYTES) -> i
     return min(most, max(spark.sparkContext.defaultParallelism, -(-max(known) // bucket_bytes)))
 
 
-def publish_bucketed(df: DataFrame, database: str, table: str, key: str | list[str], buckets: int) -> None:
-    """Replace a table whose files are laid out by ``key``: joins and groupings on it need no exchange."""
-    _swapped(df.sparkSession, database, table, lambda name: _write_buckets(df, name, key, buckets, "error"))
+def publish_bucketed(df: DataFrame, database: str, table: str, key: str | list[str], buckets: int, placed: bool = False) -> None:
+    """Replace a table whose files are laid out by ``key``: joins and groupings on it need no exchange.
+
+    Rows that are ``placed`` come from tables of the same buckets and are written where they are.
+    """
+    _swapped(df.sparkSession, database, table, lambda name: _write_buckets(df, name, key, buckets, "error", placed))
 
 
 def append_bucketed(df: DataFrame, database: str, table: str, key: str | list[str]) -> None:
@@ -84,10 +92,10 @@ def append_bucketed(df: DataFrame, database: str, table: str, key: str | list[st
     _write_buckets(df, f"`{database}`.`{table}`", key, buckets, "append")
 
 
-def _write_buckets(df: DataFrame, name: str, key: str | list[str], buckets: int, mode: str) -> None:
+def _write_buckets(df: DataFrame, name: str, key: str | list[str], buckets: int, mode: str, placed: bool = False) -> None:
     # One shuffle by the same hash, so each bucket is one file instead of one per task.
     keys = [key] if isinstance(key, str) else key
-    df.repartition(buckets, *keys).write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    (df if placed else df.repartition(buckets, *keys)).write.mode(mode).format("parquet").option("compression", SCRATCH_CODEC).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame | None:
