@@ -108,7 +108,7 @@ FOUND = "_found_"
 
 
 def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int, attach: bool) -> dict[str, DataFrame] | None:
-    """The sources with orders and lines laid out by order, so that counting, statistics, cleaning and the star shuffle none of
+    """The sources with orders and lines laid out by order, so that counting, statistics and cleaning shuffle none of
     them by order again. Orders have met their customer, and items their product and seller, of which they keep the
     columns that results group by (``attach``) or a mark. Comments are left out.
 
