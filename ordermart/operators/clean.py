@@ -27,6 +27,8 @@ from ordermart.session import at_once
 STATISTIC_COLUMNS = MEAN_COLUMNS + MEDIAN_COLUMNS
 # Rows looked at first when it is only asked whether a column has a value; the full test follows if they do not tell.
 PROBE = 20
+# Columns in which a null drops no line; orders have a date for it.
+MAY_BE_NULL = {"reviews": ("review_creation_date",)}
 
 
 def fill_constants(df: DataFrame) -> DataFrame:
@@ -70,13 +72,18 @@ def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
     Spelled as predicates, not ``na.drop``, so that the optimizer turns left joins into inner ones.
     """
+    return df.filter(is_complete(df, columns))
+
+
+def is_complete(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Whether a row has no null in any column."""
     floats = {c for c, t in df.dtypes if t in ("double", "float")}
     checks = []
     for c in columns or df.columns:
         checks.append(F.col(c).isNotNull())
         if c in floats:
             checks.append(~F.isnan(c))
-    return df.filter(reduce(Column.__and__, checks))
+    return reduce(Column.__and__, checks)
 
 
 def clean_wide(df: DataFrame) -> DataFrame:
@@ -111,6 +118,8 @@ class CleanTables:
     numbers: dict[str, float] | None = None
     # The database that holds the tables once they are staged.
     staged_in: str | None = None
+    # Buckets by order that all order tables lie in; None where one of them lies otherwise.
+    buckets: int | None = None
 
 
 def have_values(sources: dict[str, DataFrame], columns: list[str]) -> bool:
@@ -179,8 +188,7 @@ def clean_tables(
         sources = sources | {"orders": sources["orders"].filter(F.lit(False))}
 
     def cleaned(df: DataFrame, allow: tuple[str, ...] = ()) -> DataFrame:
-        df = df.drop(*[c for c in STATISTIC_COLUMNS if c not in wanted])
-        df = rename(fill_statistics(fill_constants(df), numbers))
+        df = filled(df, wanted, numbers)
         return drop_incomplete(df, [c for c in df.columns if c not in allow])
 
     # Categories are translated per product, and lookups are cleaned before items meet them.
@@ -193,7 +201,7 @@ def clean_tables(
             orders.withColumns(timestamp_chain()), [c for c in orders.columns if c != "delivered_at"]
         ),
         payments=cleaned(sources["payments"]),
-        reviews=cleaned(sources["reviews"], ("review_creation_date",)),
+        reviews=cleaned(sources["reviews"], MAY_BE_NULL["reviews"]),
         items=item_lookups(items, products, sellers),
         products=products,
         sellers=sellers,
@@ -203,6 +211,19 @@ def clean_tables(
     )
 
 
+def filled(df: DataFrame, wanted: list[str], numbers: dict[str, float]) -> DataFrame:
+    """A table with its missing values filled, without the statistic columns that are not wanted."""
+    df = df.drop(*[c for c in STATISTIC_COLUMNS if c not in wanted])
+    return rename(fill_statistics(fill_constants(df), numbers))
+
+
+def survives(df: DataFrame, table: str, columns: list[str] | None) -> DataFrame:
+    """Lines with a column ``_complete``: whether cleaning keeps them, if every column that is filled has a number to fill with."""
+    wanted = [c for c in STATISTIC_COLUMNS if columns is None or c in columns]
+    df = filled(df, wanted, dict.fromkeys(wanted, 0.0))
+    return df.withColumn("_complete", is_complete(df, [c for c in df.columns if c not in MAY_BE_NULL.get(table, ())]))
+
+
 def complete_lookup(df: DataFrame) -> DataFrame:
     """Rows of a lookup table that no rule drops, without the columns whose fill is a statistic."""
     return drop_incomplete(rename(fill_constants(df.drop(*STATISTIC_COLUMNS))))

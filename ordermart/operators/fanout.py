@@ -117,11 +117,15 @@ def largest_group(df: DataFrame, groups: int = 65_536) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
-def counts_in_place(tables: dict[str, DataFrame]) -> DataFrame:
-    """The counts of ``LineCounts`` for the orders that occur, from tables that are laid out by order: nothing is shuffled."""
-    counts = [tables[t].groupBy(KEY).agg(F.count("*").alias(f"n_{t}")) for t in ("orders", *LINE_TABLES)]
+def counts_in_place(tables: dict[str, DataFrame], more: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """The counts of ``LineCounts`` for the orders that occur, from tables that are laid out by order: nothing is shuffled.
+
+    ``more`` are further counts of the lines of a table, by name.
+    """
+    further = {t: [c.alias(name) for name, c in (more or {}).get(t, {}).items()] for t in LINE_TABLES}
+    counts = [tables[t].groupBy(KEY).agg(F.count("*").alias(f"n_{t}"), *further.get(t, [])) for t in ("orders", *LINE_TABLES)]
     joined = reduce(lambda left, right: left.join(right, KEY, "left"), counts)
-    return joined.na.fill(0, [f"n_{t}" for t in LINE_TABLES])
+    return joined.na.fill(0, [c for c in joined.columns if c not in (KEY, "n_orders")])
 
 
 def hot_orders(counts: DataFrame, names: list[str], rows_per_slice: int) -> DataFrame:

@@ -110,7 +110,11 @@ def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFra
     facts = lambda df: [c for c in df.columns if c in FACT_COLUMNS and c != KEY]
     orders = keyed(tables.orders, ["dim_customers"])
     payments = keyed(tables.payments, ["dim_payment_types"])
-    items = keyed(tables.items, ["dim_sellers", "dim_products"])
+    items = tables.items
+    if tables.buckets and tables.lines.hot(*LINE_TABLES) is None:
+        # Items of orders that are not complete are dropped where they lie, before they move to their product and back.
+        items = items.join(tables.orders.select(KEY), KEY, "left_semi")
+    items = keyed(items, ["dim_sellers", "dim_products"])
     reviews = tables.reviews.select(KEY, F.col("review_creation_date").isNotNull().alias("_dated"))
     lines = {
         "payments": payments.select(KEY, *facts(payments)),

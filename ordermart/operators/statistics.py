@@ -244,7 +244,8 @@ def merged_statistics(
         # product. The join with products repeats rows as the merge does; sellers are counted.
         sellers = [(k, c) for k, c in repeated["items"] if k == "seller_id"]
         items = with_copies(sources["items"].select(KEY, "product_id", *[k for k, _ in sellers]), sellers)
-        grouped = items.groupBy(KEY, "product_id").agg(F.sum("_rows").alias("_rows"))
+        # Where lines lie by order already, none has so many, and their rows meet the weights as they are.
+        grouped = items if "counts" in sources else items.groupBy(KEY, "product_id").agg(F.sum("_rows").alias("_rows"))
         a, b = [F.greatest(F.col(f"n_{t}"), F.lit(1)) for t in LINE_TABLES if t != "items"]
         weights = orders.select(KEY, (F.col("n_orders") * a * b).alias("weight"))
         per_product = grouped.join(weights, KEY).groupBy("product_id").agg(F.sum(F.col("_rows") * F.col("weight")).alias("weight"))

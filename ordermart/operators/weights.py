@@ -8,7 +8,7 @@ for an order with very many lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.functions.casts import exact_sum
@@ -43,6 +43,28 @@ def per_order(tables: CleanTables, *names: str, sums: bool = True) -> DataFrame:
     return out
 
 
+# Counts of the lines that cleaning keeps, taken with those of all lines.
+KEPT = ["_kept_payments", "_kept_dated", "_kept_undated", "_kept_items"]
+
+
+def kept_lines() -> dict[str, dict[str, Column]]:
+    """``KEPT`` per table, of lines that tell in ``_complete`` whether they are kept."""
+    dated, complete = F.col("review_creation_date").isNotNull(), F.col("_complete")
+    return {
+        "payments": {"_kept_payments": F.count_if(complete)},
+        "reviews": {"_kept_dated": F.count_if(complete & dated), "_kept_undated": F.count_if(complete & ~dated)},
+        "items": {"_kept_items": F.count_if(complete)},
+    }
+
+
+def counted_orders(orders: DataFrame, counts: DataFrame) -> DataFrame:
+    """Orders with the counts of ``per_order`` from ``KEPT``: their lines are not read again."""
+    out = orders.join(counts.filter("_kept_payments > 0 AND _kept_items > 0").select(KEY, *KEPT), KEY)
+    usable = F.col("_kept_dated") + F.when(F.col("delivered"), F.col("_kept_undated")).otherwise(0)
+    counted = {"n_payments": F.col("_kept_payments"), "n_reviews": usable, "n_items": F.col("_kept_items")}
+    return out.withColumns(counted).drop(*KEPT).filter("n_reviews > 0")
+
+
 def item_lines(
     tables: CleanTables, columns: list[str], order_columns: list[str], orders: DataFrame | None = None
 ) -> DataFrame:

@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.operators.aggregates import AGGREGATES
-from ordermart.operators.clean import CleanTables, clean_tables, complete_lookup, item_lookups
+from ordermart.operators.clean import STATISTIC_COLUMNS, CleanTables, clean_tables, complete_lookup, item_lookups, survives
 from ordermart.operators.convert import convert_types
 from ordermart.operators.fanout import KEY, LINE_TABLES, ROWS_PER_SLICE, LineCounts, counts_in_place, largest_group
 from ordermart.operators.marts import MARTS
 from ordermart.operators.merge import LOOKUPS, distinct_names, left_join, order_rows
 from ordermart.operators.star import build_dimension, build_fact, extend_dimension, key_maps
-from ordermart.operators.weights import COUNTS, per_order
+from ordermart.operators.weights import COUNTS, counted_orders, kept_lines, per_order
 from ordermart.schemas import COLUMN_TYPES, DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, MEDIAN_COLUMNS, NOT_AVAILABLE_COLUMNS
 from ordermart.session import at_once, delete_path, fresh_dir, materialise
-from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, publish, publish_bucketed, read_table, size_of, stage_database
+from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, bucket_number, publish, publish_bucketed, read_table, size_of, stage_database
 from ordermart.sources.snapshots import Snapshot, publish_snapshot
 
 # Product and seller columns that results group by.
@@ -62,7 +62,7 @@ def stage(
     buckets = buckets or bucket_count([sources[name] for name in ("orders", *LINE_TABLES)])
     database = stage_database(spark)
     star_only = not results and not types
-    placed = _place(spark, distinct_names(sources), database, buckets, attach=not star_only)
+    placed = _place(spark, distinct_names(sources), database, buckets, star_only, columns)
     if folder and placed is None:
         sources = sources | land(spark, {t: sources[t] for t in files}, folder)
     tables = clean_tables(placed or sources, columns)
@@ -97,20 +97,27 @@ def stage(
     else:
         frames = at_once(spark, {name: lambda name=name, df=df: write(name, df) for name, df in frames.items()})
     written = replace(tables, **lookups, **frames, bare_items=None)
-    orders = per_order(written, *LINE_TABLES, sums=results)
+    wanted = [c for c in STATISTIC_COLUMNS if columns is None or c in columns]
+    fills = [tables.numbers.get(c) for c in wanted]
+    if in_place and star_only and not any(n is None or isnan(n) for n in fills):
+        orders = counted_orders(tables.orders, placed["counts"])
+    else:
+        # A fill that is no number drops lines, so what is left of them is counted.
+        orders = per_order(written, *LINE_TABLES, sums=results)
     if star_only:
         orders = orders.select(*[c for c in orders.columns if c in STAR_COLUMNS or c in COUNTS])
-    return replace(written, orders=write("orders", orders, in_place), staged_in=database)
+    return replace(written, orders=write("orders", orders, in_place), staged_in=database, buckets=None if large else buckets)
 
 
 # Columns that items have from their product and seller before they are cleaned: null where there is none that is complete.
 FOUND = "_found_"
 
 
-def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int, attach: bool) -> dict[str, DataFrame] | None:
+def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, buckets: int, star_only: bool, columns: list[str] | None) -> dict[str, DataFrame] | None:
     """The sources with orders and lines laid out by order, so that counting, statistics and cleaning shuffle none of
     them by order again. Orders have met their customer, and items their product and seller, of which they keep the
-    columns that results group by (``attach``) or a mark. Comments are left out.
+    columns that results group by or, for a star schema only, a mark. Comments are left out. For a star schema lines that
+    cleaning keeps are counted with the others.
 
     None where a lookup repeats a key, which multiplies rows, or where an order may be too large for one task.
     """
@@ -122,7 +129,7 @@ def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, bu
         return None
 
     def found(df: DataFrame, key: str) -> DataFrame:
-        kept = [c for c in df.columns if c != key and (c in ITEM_COLUMNS or c not in LOOKUP_COLUMNS)] if attach else []
+        kept = [c for c in df.columns if c != key and (c in ITEM_COLUMNS or c not in LOOKUP_COLUMNS)] if not star_only else []
         return df.select(key, F.lit(1).alias(FOUND + key), *[F.col(c).alias(FOUND + c) for c in kept])
 
     # Written first, as the join of all items with a lookup of unknown size would shuffle them.
@@ -141,7 +148,12 @@ def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, bu
         return read_table(spark, database, f"placed_{name}")
 
     placed = at_once(spark, {name: lambda name=name, df=df: write(name, df) for name, df in frames.items()})
-    counts = write("counts", counts_in_place(placed), in_place=True)
+    if star_only:
+        judged = {t: survives(placed[t], t, columns) for t in LINE_TABLES}
+        counts = counts_in_place(placed | judged, kept_lines())
+    else:
+        counts = counts_in_place(placed)
+    counts = write("counts", counts, in_place=True)
     return {t: sources[t] for t in ("products", "translation", "sellers")} | placed | {"counts": counts}
 
 
@@ -184,11 +196,18 @@ def extend_star(spark: SparkSession, tables: CleanTables, database: str) -> None
     dimensions = {name: read_table(spark, database, name) for name in DIMENSIONS}
     fact = build_fact(tables, dimensions)
     old = read_table(spark, database, "fact_orders")
+    buckets = tables.buckets if tables.lines.hot(*LINE_TABLES) is None else None
+    # Facts lie by order as the staged tables do, so the next load finds those that it replaces in place.
+    laid_out = bucket_number(spark, database, "fact_orders") if buckets and old is not None else None
     if old is not None:
-        fact = materialise(fact)
         again = tables.lines.frame.filter("n_orders > 0").select(KEY)
+        if laid_out and laid_out != buckets:
+            again, fact = again.repartition(laid_out, KEY), fact.repartition(laid_out, KEY)
         fact = old.join(again, KEY, "left_anti").unionByName(fact)
-    publish(fact, database, "fact_orders")
+    if buckets:
+        publish_bucketed(fact, database, "fact_orders", KEY, laid_out or buckets, placed=True)
+    else:
+        publish(fact, database, "fact_orders")
 
 
 def publish_aggregates(spark: SparkSession, tables: CleanTables, database: str) -> None:

@@ -87,9 +87,13 @@ def publish_bucketed(df: DataFrame, database: str, table: str, key: str | list[s
 
 def append_bucketed(df: DataFrame, database: str, table: str, key: str | list[str]) -> None:
     """Add rows to a table that ``publish_bucketed`` has made, in its buckets."""
-    layout = df.sparkSession.sql(f"DESCRIBE EXTENDED `{database}`.`{table}`").collect()
-    buckets = next(int(r["data_type"]) for r in layout if r["col_name"] == "Num Buckets")
-    _write_buckets(df, f"`{database}`.`{table}`", key, buckets, "append")
+    _write_buckets(df, f"`{database}`.`{table}`", key, bucket_number(df.sparkSession, database, table), "append")
+
+
+def bucket_number(spark: SparkSession, database: str, table: str) -> int | None:
+    """Buckets of a table; None where it has none."""
+    layout = spark.sql(f"DESCRIBE EXTENDED `{database}`.`{table}`").collect()
+    return next((int(r["data_type"]) for r in layout if r["col_name"] == "Num Buckets"), None)
 
 
 def _write_buckets(df: DataFrame, name: str, key: str | list[str], buckets: int, mode: str, placed: bool = False) -> None:

@@ -12,7 +12,7 @@ from ordermart.plans.refresh import extend_star, publish_star, refresh, stage
 from ordermart.schemas import DIMENSIONS, FACT_LOOKUPS
 from ordermart.sources import jdbc
 from ordermart.session import clear_stage
-from ordermart.sources.catalog import application_database, bucket_count, create_database, has_rows, list_tables, publish, read_table, stage_database
+from ordermart.sources.catalog import application_database, bucket_count, bucket_number, create_database, has_rows, list_tables, publish, read_table, stage_database
 from ordermart.sources.files import NULL_TEXT, read_csv, read_csv_as, write_csv
 
 
@@ -107,6 +107,29 @@ def test_keys_last_over_loads(spark):
     assert [sorted(map(str, read_table(spark, db, n).collect())) for n in [*DIMENSIONS, "fact_orders"]] == before
 
 
+def test_facts_of_a_later_load_replace_old_ones_in_place(spark, sources, monkeypatch):
+    """Old facts are not shuffled by order; a load in other buckets keeps the buckets of the table."""
+    from ordermart.plans import refresh as module
+
+    db, plans, write = stage_database(spark), [], module.publish_bucketed
+    monkeypatch.setattr(module, "publish_bucketed", lambda df, *a, **k: plans.append((a[1], df)) or write(df, *a, **k))
+    extend_star(spark, stage(spark, sources, results=False), db)
+    once = sorted(map(str, read_table(spark, db, "fact_orders").collect()))
+    buckets = bucket_number(spark, db, "fact_orders")
+    assert buckets
+    for other in (buckets, buckets + 1):
+        plans.clear()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            extend_star(spark, stage(spark, sources, results=False, buckets=other), db)
+            plan = dict(plans)["fact_orders"]._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert ("RepartitionByExpression" in plan) == (other != buckets)
+        assert bucket_number(spark, db, "fact_orders") == buckets
+        assert sorted(map(str, read_table(spark, db, "fact_orders").collect())) == once
+
+
 def test_looking_keys_up_leaves_the_map_in_place(spark):
     db = stage_database(spark)
     rows = spark.range(5000).select(F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 7).alias("part"))

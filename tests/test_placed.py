@@ -1,15 +1,20 @@
 """Lines are written once, by order and before they are cleaned; what follows shuffles none of them by order again."""
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import day, item, order, payment, product, review, same, small_sources
 
+from ordermart.operators import statistics
 from ordermart.operators.aggregates import AGGREGATES
 from ordermart.operators.clean import clean_tables
+from ordermart.operators.fanout import LINE_TABLES
 from ordermart.operators.marts import MARTS
-from ordermart.operators.star import build_star
+from ordermart.operators.star import build_dimension, build_fact, build_star, key_maps
 from ordermart.operators.statistics import weighted_lines
+from ordermart.operators.weights import COUNTS, per_order
 from ordermart.plans import refresh as module
 from ordermart.plans.refresh import refresh, stage
+from ordermart.schemas import DIMENSIONS
 from ordermart.sources.catalog import read_table, stage_database
 
 
@@ -58,3 +63,34 @@ def test_a_refresh_lands_only_lookups_beside_the_placed_tables(spark, sources, m
     monkeypatch.setattr(module, "land", lambda spark, sources, folder: landed.extend(sources) or land(spark, sources, folder))
     refresh(spark, sources, stage_database(spark))
     assert sorted(landed) == ["customers", "products", "sellers", "translation"]
+
+
+def test_staging_a_star_reads_the_placed_lines_once(spark, odd, monkeypatch):
+    """Lines that cleaning keeps are counted with all the others; where a fill is no number, what is left is counted."""
+    calls, counted = [], module.per_order
+    monkeypatch.setattr(module, "per_order", lambda *a, **k: calls.append(a) or counted(*a, **k))
+    columns = ["price", "freight_value", "payment_installments"]
+    same(stage(spark, odd, columns, results=False).orders.select("order_id", *COUNTS), per_order(clean_tables(odd, columns), *LINE_TABLES).select("order_id", *COUNTS))
+    assert not calls
+    bare = odd | {"items": odd["items"].withColumn("price", F.lit(None).cast("double"))}
+    assert stage(spark, bare, columns, results=False).orders.count() == 0 and calls
+
+
+def test_items_of_incomplete_orders_do_not_move(spark, odd):
+    tables = stage(spark, odd, results=False)
+    star = {name: build_dimension(tables, name) for name in DIMENSIONS}
+    fact = build_fact(tables, key_maps(star))
+    assert "LeftSemi" in fact._jdf.queryExecution().optimizedPlan().toString()
+    same(fact, build_star(clean_tables(odd))["fact_orders"])
+
+
+def test_product_weights_need_no_groups_of_order_and_product(spark, odd, monkeypatch):
+    tables, seen = stage(spark, odd), []
+    placed = odd | {t: read_table(spark, tables.staged_in, f"placed_{t}") for t in ("items", "counts")}
+    placed["counts"] = placed.pop("counts")
+    monkeypatch.setattr(statistics, "weighted_numbers", lambda spark, parts: seen.extend(parts))
+    for sources in (placed, odd):
+        statistics.merged_statistics(sources, ["product_weight_g"])
+    own, plain = [df._jdf.queryExecution().optimizedPlan().toString() for df, _ in seen]
+    assert own.count("Aggregate") == 1 and plain.count("Aggregate") == 2
+    same(*[df.select("product_id", "weight") for df, _ in seen])
