@@ -89,9 +89,9 @@ class LineCounts:
 
     @cached_property
     def largest(self) -> dict[str, int]:
-        """Most lines of a single order, per table."""
-        row = self.frame.agg(*[F.max(f"n_{t}").alias(t) for t in LINE_TABLES]).first()
-        return {t: max(row[t] or 0, 1) for t in LINE_TABLES}
+        """Most lines of a single order, per table, and most rows of an order itself."""
+        row = self.frame.agg(*[F.max(f"n_{t}").alias(t) for t in self.tables]).first()
+        return {t: max(row[t] or 0, 1) for t in self.tables}
 
     def hot(self, *names: str) -> DataFrame | None:
         """Orders too large for one slice when these tables meet; None, as usual, without any."""

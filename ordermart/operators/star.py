@@ -108,10 +108,15 @@ def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFra
         return df
 
     facts = lambda df: [c for c in df.columns if c in FACT_COLUMNS and c != KEY]
-    orders = keyed(tables.orders, ["dim_customers"])
+    in_place = tables.buckets and tables.lines.hot(*LINE_TABLES) is None
+    if in_place and tables.lines.largest["orders"] == 1:
+        # Only ids move to their customer and back; the orders stay where they are.
+        orders = tables.orders.join(keyed(tables.orders.select(KEY, "customer_id"), ["dim_customers"]).drop("customer_id"), KEY)
+    else:
+        orders = keyed(tables.orders, ["dim_customers"])
     payments = keyed(tables.payments, ["dim_payment_types"])
     items = tables.items
-    if tables.buckets and tables.lines.hot(*LINE_TABLES) is None:
+    if in_place:
         # Items of orders that are not complete are dropped where they lie, before they move to their product and back.
         items = items.join(tables.orders.select(KEY), KEY, "left_semi")
     items = keyed(items, ["dim_sellers", "dim_products"])

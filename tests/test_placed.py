@@ -94,3 +94,18 @@ def test_product_weights_need_no_groups_of_order_and_product(spark, odd, monkeyp
     own, plain = [df._jdf.queryExecution().optimizedPlan().toString() for df, _ in seen]
     assert own.count("Aggregate") == 1 and plain.count("Aggregate") == 2
     same(*[df.select("product_id", "weight") for df, _ in seen])
+
+
+def test_orders_stay_in_place_while_their_customer_is_looked_up(spark, odd):
+    """Only ids are shuffled by customer, where no order comes twice."""
+    twice = odd | {"orders": odd["orders"].unionAll(odd["orders"].filter("order_id = 'a'"))}
+    once = odd | {"orders": odd["orders"].dropDuplicates(["order_id"])}
+    for sources, in_place in ((once, True), (twice, False)):
+        tables = stage(spark, sources, results=False)
+        star = {name: build_dimension(tables, name) for name in DIMENSIONS}
+        fact = build_fact(tables, key_maps(star))
+        assert tables.lines.largest["orders"] == (1 if in_place else 2)
+        # The orders themselves, those items must belong to and, in place, their ids.
+        plan = fact._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(f"{tables.staged_in}.orders[") == (3 if in_place else 2)
+        same(fact, build_star(clean_tables(sources))["fact_orders"])
