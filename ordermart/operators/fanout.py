@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.session import at_once, materialise
+from ordermart.sources.catalog import materialise_table
 
 # Joined rows of one order that a single task takes. Orders beyond it are sliced: same rows, another plan.
 ROWS_PER_SLICE = 4_000_000
@@ -85,7 +86,7 @@ class LineCounts:
             rows = with_copies(df.select(KEY, *[k for k, _ in repeated]), repeated)
             parts.append(rows.select(KEY, *[(F.col("_rows") if name == other else F.lit(0).cast("bigint")).alias(f"n_{other}") for other in self.tables]))
         sums = [F.sum(f"n_{t}").alias(f"n_{t}") for t in self.tables]
-        return materialise(reduce(DataFrame.unionAll, parts).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(*sums))
+        return materialise_table(reduce(DataFrame.unionAll, parts).filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(*sums))
 
     @cached_property
     def largest(self) -> dict[str, int]:

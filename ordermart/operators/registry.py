@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.operators.keys import surrogate_key
-from ordermart.session import materialise
-from ordermart.sources.catalog import append_bucketed, bucket_count, publish_bucketed, read_table
+from ordermart.sources.catalog import append_bucketed, bucket_count, materialise_table, publish_bucketed, read_table
 
 
 def map_name(dimension: str) -> str:
@@ -51,4 +50,4 @@ def merged_dimension(spark: SparkSession, rows: DataFrame, database: str, dimens
     old = read_table(spark, database, dimension)
     if old is None:
         return rows
-    return materialise(old.join(rows.select(key), key, "left_anti").unionByName(rows))
+    return materialise_table(old.join(rows.select(key), key, "left_anti").unionByName(rows))

@@ -12,7 +12,8 @@ from ordermart.operators.keys import surrogate_key
 from ordermart.operators.registry import extend_keys, keyed, merged_dimension
 from ordermart.operators.weights import item_lines, payment_lines, per_order, review_lines
 from ordermart.schemas import DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, FACT_MEASURES
-from ordermart.session import at_once, materialise
+from ordermart.session import at_once
+from ordermart.sources.catalog import materialise_table
 
 # Columns that identify a dimension row.
 NATURAL_KEYS = {
@@ -75,7 +76,7 @@ def extend_dimension(tables: CleanTables, database: str, name: str) -> DataFrame
     """
     key, columns = DIMENSIONS[name]
     natural = NATURAL_KEYS[name]
-    rows = materialise(dimension_rows(tables, name).select(*columns).distinct())
+    rows = materialise_table(dimension_rows(tables, name).select(*columns).distinct())
     # A natural key with two sets of attributes in one load keeps the first in their order, so that it has one row.
     rest = [c for c in columns if c not in natural]
     if rest:
@@ -88,10 +89,10 @@ def key_maps(dimensions: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The keys the facts look up, written once and narrow.
 
     A numbered dimension is a plan of unknown size, which would be numbered again for each use and for which all items
-    are shuffled; a written map that is small is broadcast.
+    are shuffled; a written map that is small is broadcast, by its counted rows.
     """
     spark = next(iter(dimensions.values())).sparkSession
-    return at_once(spark, {name: lambda name=name, c=c: materialise(dimensions[name].select(*c)) for name, c in FACT_LOOKUPS.items()})
+    return at_once(spark, {name: lambda name=name, c=c: materialise_table(dimensions[name].select(*c)) for name, c in FACT_LOOKUPS.items()})
 
 
 def build_fact(tables: CleanTables, dimensions: dict[str, DataFrame]) -> DataFrame:

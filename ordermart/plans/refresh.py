@@ -19,7 +19,7 @@ from ordermart.operators.star import build_dimension, build_fact, extend_dimensi
 from ordermart.operators.weights import COUNTS, counted_orders, kept_lines, per_order
 from ordermart.schemas import COLUMN_TYPES, DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, MEDIAN_COLUMNS, NOT_AVAILABLE_COLUMNS
 from ordermart.session import at_once, delete_path, fresh_dir, materialise
-from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, bucket_number, publish, publish_bucketed, read_table, size_of, stage_database
+from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, bucket_number, materialise_table, publish, publish_bucketed, read_table, size_of, stage_database
 from ordermart.sources.snapshots import Snapshot, publish_snapshot
 
 # Product and seller columns that results group by.
@@ -135,7 +135,7 @@ def _place(spark: SparkSession, sources: dict[str, DataFrame], database: str, bu
     # Written first, as the join of all items with a lookup of unknown size would shuffle them.
     products = left_join(sources["products"], sources["translation"], LOOKUPS["translation"])
     lookups = {"product_id": products, "seller_id": sources["sellers"]}
-    lookups = at_once(spark, {k: lambda k=k, df=df: materialise(found(complete_lookup(df), k)) for k, df in lookups.items()})
+    lookups = at_once(spark, {k: lambda k=k, df=df: materialise_table(found(complete_lookup(df), k)) for k, df in lookups.items()})
     frames = {
         "items": reduce(lambda items, k: left_join(items, lookups[k], k), lookups, sources["items"]),
         "orders": order_rows(sources),
