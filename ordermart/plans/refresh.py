@@ -18,8 +18,8 @@ from ordermart.operators.merge import LOOKUPS, distinct_names, left_join, order_
 from ordermart.operators.star import build_dimension, build_fact, extend_dimension, key_maps
 from ordermart.operators.weights import COUNTS, counted_orders, kept_lines, per_order
 from ordermart.schemas import COLUMN_TYPES, DIMENSIONS, FACT_COLUMNS, FACT_LOOKUPS, MEDIAN_COLUMNS, NOT_AVAILABLE_COLUMNS
-from ordermart.session import at_once, delete_path, fresh_dir, materialise
-from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, bucket_number, materialise_table, publish, publish_bucketed, read_table, size_of, stage_database
+from ordermart.session import at_once, fresh_dir
+from ordermart.sources.catalog import UNKNOWN_BYTES, bucket_count, bucket_number, drop_folder, materialise_table, publish, publish_bucketed, read_table, size_of, stage_database
 from ordermart.sources.snapshots import Snapshot, publish_snapshot
 
 # Product and seller columns that results group by.
@@ -226,8 +226,8 @@ def warehouse(spark: SparkSession, tables: CleanTables) -> dict[str, DataFrame]:
 
 
 def land(spark: SparkSession, sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Each source read and converted once: what follows reads the same rows, however often."""
-    return at_once(spark, {name: lambda name=name, df=df: materialise(df, f"{folder}/{name}") for name, df in sources.items()})
+    """Each source read and converted once: what follows reads the same rows, however often, and knows their number."""
+    return at_once(spark, {name: lambda df=df: materialise_table(df, folder) for name, df in sources.items()})
 
 
 def typed_sources(sources: dict[str, DataFrame], types: dict[str, str]) -> dict[str, DataFrame]:
@@ -261,7 +261,7 @@ def refresh(
         finally:
             spark.sql(f"DROP DATABASE `{tables.staged_in}` CASCADE")
     finally:
-        delete_path(spark, folder)
+        drop_folder(spark, folder)
 
 
 def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], place: str, types: dict[str, str] = WHOLE_NUMBERS) -> Snapshot:
@@ -274,4 +274,4 @@ def refresh_snapshot(spark: SparkSession, sources: dict[str, DataFrame], place:
         finally:
             spark.sql(f"DROP DATABASE `{tables.staged_in}` CASCADE")
     finally:
-        delete_path(spark, folder)
+        drop_folder(spark, folder)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.session import SCRATCH_CODEC, application_dir, fresh_dir
+from ordermart.session import SCRATCH_CODEC, application_dir, delete_path, fresh_dir
 
 # Bytes of a source per bucket: a bucket is read by one task, and adaptive execution cannot resize it. Joins sort the rows of
 # several tables in memory, where they took some sixty times the bytes that are reported for the compressed source.
@@ -50,17 +50,30 @@ def count_rows(spark: SparkSession, name: str) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
 
 
-def materialise_table(df: DataFrame) -> DataFrame:
-    """``session.materialise`` for a frame that grows with the input and is joined: its rows are counted, too."""
+def materialise_table(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``session.materialise`` for a frame that grows with the input and is joined: its rows are counted, too.
+
+    The table lies in the database of the folder, if one is given, which ``drop_folder`` deletes with it.
+    """
     spark = df.sparkSession
-    database = f"ordermart_stage_{spark.sparkContext.applicationId}".replace("-", "_").lower()
-    create_database(spark, database, f"{application_dir(spark)}/stage/{database}")
+    folder = folder or f"{application_dir(spark)}/stage/frames-{spark.sparkContext.applicationId}"
+    database = create_database(spark, _database_of(folder), folder)
     name = f"`{database}`.`frame_{uuid.uuid4().hex}`"
     df.write.format("parquet").option("compression", SCRATCH_CODEC).saveAsTable(name)
     count_rows(spark, name)
     return spark.table(name)
 
 
+def _database_of(folder: str) -> str:
+    return f"ordermart_stage_{folder.rpartition('/')[2].replace('-', '_').lower()}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and the database of ``materialise_table`` in it."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{_database_of(folder)}` CASCADE")
+    delete_path(spark, folder)
+
+
 def publish(df: DataFrame, database: str, table: str, mode: str = "overwrite") -> None:
     """Write a table: ``overwrite`` replaces it, ``append`` adds the rows once more."""
     if mode == "append":

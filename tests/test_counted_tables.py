@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from ordermart.operators import statistics
 from ordermart.operators.fanout import LineCounts
 from ordermart.operators.star import key_maps
-from ordermart.plans.refresh import stage
+from ordermart.plans.refresh import land, stage
 from ordermart.schemas import FACT_LOOKUPS
-from ordermart.session import materialise
-from ordermart.sources.catalog import append_bucketed, materialise_table, publish, publish_bucketed, read_table, size_of, stage_database
+from ordermart.session import fresh_dir, materialise
+from ordermart.sources.catalog import append_bucketed, drop_folder, materialise_table, publish, publish_bucketed, read_table, size_of, stage_database
 
 ROWS = 600_000
 
@@ -73,3 +73,15 @@ def test_products_are_not_broadcast_for_their_statistics(spark, monkeypatch):
     # Above the grouping by product.
     assert "SortMergeJoin [product_id" in plan(joined).split("HashAggregate")[0]
     assert [r["weight"] for r in joined.collect()] == [1]
+
+
+def test_landed_lookups_are_counted_and_dropped(spark):
+    folder = fresh_dir(spark, "landed")
+    landed = land(spark, {"customers": ids(spark).withColumnRenamed("id", "customer_id")}, folder)["customers"]
+    assert size_of(landed) >= ROWS * 20
+    orders = spark.range(1 << 30).withColumnRenamed("id", "customer_id")
+    assert "BroadcastHashJoin" not in plan(orders.join(landed.select("customer_id", "a", "b"), "customer_id", "left"))
+    drop_folder(spark, folder)
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    assert not spark.catalog.databaseExists("ordermart_stage_" + folder.rpartition("/")[2].replace("-", "_"))
